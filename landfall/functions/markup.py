@@ -1,25 +1,26 @@
 """HTML subtrees as column expressions: no explode, no shuffle, no UDF.
 
-A page is cut at the tags that matter (``boundary``) into text runs and tags.
-One pass over the few boundary tags with a running depth finds the subtrees,
-and the remaining pieces are joined again. The state of the pass is a handful of
-integers plus one entry per subtree found, so the cost is linear in the page.
+A page is cut at the tags that matter (a *boundary* pattern) into text runs and
+tags. One pass over the few boundary tags with a running depth finds the
+subtrees, and the remaining pieces are joined again. The state of the pass is a
+handful of integers plus one entry per subtree found.
 
 Subtrees are source slices: nothing is re-serialised, entities and attribute
 quoting stay as they were. An element that is never closed reaches to the end
 of the page; stray closing tags are ignored.
+
+The functions named ``sql_*`` map SQL text to SQL text, so that nested use stays
+one text; the others take and return columns.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 from html.entities import name2codepoint
-from itertools import chain
 
 from pyspark.sql import Column
-from pyspark.sql import functions as F
 
-from landfall.functions.binding import let, strip_space
+from landfall.functions.binding import EDGE_SPACE, bind, let_sql, quote
 
 # Attribute part of a tag. Quotes only count after "=", so that a stray
 # apostrophe cannot swallow the page; possessive loops do not use the stack.
@@ -27,196 +28,239 @@ _ATTRIBUTES = r"""(?:[^>=]++|=\s*+"[^"]*+"|=\s*+'[^']*+'|=)*+"""
 # Comments, scripts and styles are taken whole: tags inside them are text.
 _OPAQUE = rf"<!--.*?-->|<(?:script(?=[\s/>]){_ATTRIBUTES}>.*?</script|style(?=[\s/>]){_ATTRIBUTES}>.*?</style)\s*+>"
 ANY_TAG = rf"(?is){_OPAQUE}|</?[a-z]{_ATTRIBUTES}>"
+# One name=value pair of a tag, starting at an attribute boundary.
+_PAIR = r"""(?s)(?<=[\s"'/])[^\s"'<>/=]++\s*+=\s*+(?:"[^"]*+"|'[^']*+'|[^\s"'>][^\s>]*+)"""
+_REFERENCE = r"&(?:#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[a-zA-Z][a-zA-Z0-9]{1,31});"
+_ENTITIES = ",".join(f"{name}:{code}" for name, code in {**name2codepoint, "apos": 39}.items())
 
 # Elements that never have content.
 _VOID = ("area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr")
 
 
+def _words(values: Sequence[str]) -> str:
+    return ", ".join(map(quote, values))
+
+
 def boundary(*names: str) -> str:
     """Pattern for the opening and closing tags of ``names`` (and opaque parts)."""
     return rf"(?is){_OPAQUE}|</?(?:{'|'.join(names)})(?=[\s/>]){_ATTRIBUTES}>"
 
 
-def tag_name(tag: Column) -> Column:
-    """Element name in lower case; ``''`` for a comment."""
-    return F.lower(F.regexp_extract(tag, r"^</?([a-zA-Z][^\s/>]*)", 1))
+# --- SQL text ---------------------------------------------------------------
 
 
-# One name=value pair of a tag, starting at an attribute boundary.
-_PAIR = r"""(?s)(?<=[\s"'/])[^\s"'<>/=]++\s*+=\s*+(?:"[^"]*+"|'[^']*+'|[^\s"'>][^\s>]*+)"""
+def sql_find_all(text: str, pattern: str) -> str:
+    return f"regexp_extract_all({text}, {quote(pattern)}, 0)"
 
 
-def attribute(tag: Column, name: str) -> Column:
-    """Decoded value of an attribute of an opening tag, null if absent."""
-    pairs = F.regexp_extract_all(tag, F.lit(_PAIR), F.lit(0))
-    named = F.filter(pairs, lambda p: F.lower(F.rtrim(F.substring_index(p, "=", 1))) == name)
+def sql_tag_name(tag: str) -> str:
+    pattern = quote(r"^</?([a-zA-Z][^\s/>]*)")
+    return f"lower(regexp_extract({tag}, {pattern}, 1))"
 
-    def value(raw: Column) -> Column:
-        quoted = raw.startswith('"') | raw.startswith("'")
-        return decode_entities(F.when(quoted, F.substring(raw, F.lit(2), F.length(raw) - 2)).otherwise(raw))
 
-    return let(F.regexp_replace(F.get(named, F.lit(0)), r"(?s)\A[^=]*+=\s*+", ""), value)
+def sql_decode_entities(text: str) -> str:
+    def character(ref: str) -> str:
+        code = (
+            f"CASE WHEN lower(left({ref}, 3)) = '&#x' THEN CAST(conv(substring({ref}, 4, length({ref}) - 4), 16, 10) AS INT)"
+            f" WHEN left({ref}, 2) = '&#' THEN CAST(substring({ref}, 3, length({ref}) - 3) AS INT)"
+            f" ELSE CAST(try_element_at(str_to_map({quote(_ENTITIES)}), substring({ref}, 2, length({ref}) - 2)) AS INT) END"
+        )
+        return bind(code, lambda c: (
+            f"IF({c} > 0 AND {c} <= 1114111 AND {c} NOT BETWEEN 55296 AND 57343,"
+            f" decode(unhex(lpad(hex({c}), 8, '0')), 'UTF-32'), {ref})"))
 
+    def replaced(plain: str) -> str:
+        refs = f"transform({sql_find_all(plain, _REFERENCE)}, ref -> {character('ref')})"
+        runs = f"split({plain}, {quote(_REFERENCE)}, -1)"
+        return f"array_join(flatten(zip_with({runs}, {refs}, (run, ref) -> array(run, ref))), '')"
 
-def has_class(tag: Column, name: str) -> Column:
-    """Whether an opening tag carries the class (case-sensitive, as in CSS)."""
-    return F.array_contains(F.split(F.coalesce(attribute(tag, "class"), F.lit("")), r"\s+"), name)
+    return bind(text, lambda plain: f"IF(contains({plain}, '&'), {replaced(plain)}, {plain})")
 
 
-def has_id(tag: Column, name: str) -> Column:
-    """Whether an opening tag has the id."""
-    return F.coalesce(attribute(tag, "id") == name, F.lit(False))
+def sql_attribute(tag: str, name: str) -> str:
+    named = quote(rf"(?i)\A{name}\s*+=")
+    pair = f"get(filter({sql_find_all(tag, _PAIR)}, pair -> pair RLIKE {named}), 0)"
+    before_value = quote(r"(?s)\A[^=]*+=\s*+")
+    return bind(f"regexp_replace({pair}, {before_value}, '')", lambda raw: sql_decode_entities(
+        f"IF(left({raw}, 1) IN ('\"', '\\''), substring({raw}, 2, length({raw}) - 2), {raw})"))
 
 
-def _cut(html: Column, pattern: str, hit: Callable[[Column, Column], Column],
-         use: Callable[[Column, Column], Column], only_first: bool = False) -> Column:
-    """Find the outermost subtrees whose opening tag satisfies ``hit``.
+def sql_classes(tag: str) -> str:
+    return f"split(coalesce({sql_attribute(tag, 'class')}, ''), '\\\\s+')"
 
-    ``use(pieces, spans)`` gets the alternating array run, tag, run, ... and the
-    spans as tag numbers (1-based, opening and closing tag). Tag n sits at
-    position 2n of ``pieces``.
+
+def sql_has_class(tag: str, name: str) -> str:
+    return f"array_contains({sql_classes(tag)}, {quote(name)})"
+
+
+def _sql_cut(html: str, pattern: str, hit: Callable[[str, str], str],
+             use: Callable[[str, str, str], str], only_first: bool = False) -> str:
+    """Find the outermost subtrees whose opening tag satisfies ``hit(name, tag)``.
+
+    ``use(page, pieces, spans)`` gets the page, the alternating array run, tag,
+    run, ... and the spans as tag numbers (1-based, opening and closing tag). Tag
+    n sits at position 2n of ``pieces``.
     """
-    span_type = "array<struct<first:int,last:int>>"
-
-    def describe(tag: Column) -> Column:
-        def build(name: Column) -> Column:
-            whole = (name == "") | name.isin("script", "style") | name.isin(*_VOID) | tag.endswith("/>")
-            closing = tag.startswith("</")
-            return F.struct(
-                name.alias("name"),
-                F.when(closing, -1).when(whole, 0).otherwise(1).alias("step"),
-                (F.when(closing | (name == ""), False).otherwise(hit(name, tag))).alias("hit"),
+    def describe(tag: str) -> str:
+        def build(name: str) -> str:
+            whole = f"({name} IN ('', 'script', 'style', {_words(_VOID)}) OR endswith({tag}, '/>'))"
+            return (
+                f"named_struct('name', {name},"
+                f" 'step', CASE WHEN startswith({tag}, '</') THEN -1 WHEN {whole} THEN 0 ELSE 1 END,"
+                f" 'hit', IF(startswith({tag}, '</') OR {name} = '', false, {hit(name, tag)}))"
             )
 
-        return let(tag_name(tag), build)
+        return bind(sql_tag_name(tag), build)
 
-    start = F.struct(
-        F.lit(0).alias("at"), F.lit("").alias("name"), F.lit(0).alias("depth"), F.lit(0).alias("first"),
-        F.array().cast(span_type).alias("spans"),
+    def state(name: str = "s.name", depth: str = "s.depth", first: str = "s.first", spans: str = "s.spans") -> str:
+        return (f"named_struct('at', s.at + 1, 'name', {name}, 'depth', {depth}, 'first', {first}, 'spans', {spans})")
+
+    def and_span(first: str, last: str) -> str:
+        return f"array_append(s.spans, named_struct('first', {first}, 'last', {last}))"
+
+    start = ("named_struct('at', 0, 'name', '', 'depth', 0, 'first', 0,"
+             " 'spans', CAST(array() AS ARRAY<STRUCT<first: INT, last: INT>>))")
+    wanted = "tag.hit AND size(s.spans) = 0" if only_first else "tag.hit"
+    advance = (
+        f"CASE WHEN s.depth = 0 AND NOT ({wanted}) THEN {state()}"
+        f" WHEN s.depth = 0 AND tag.step = 0 THEN {state(spans=and_span('s.at + 1', 's.at + 1'))}"
+        f" WHEN s.depth = 0 THEN {state(name='tag.name', depth='1', first='s.at + 1')}"
+        f" WHEN tag.name <> s.name THEN {state()}"
+        f" WHEN s.depth + tag.step = 0 THEN {state(depth='0', spans=and_span('s.first', 's.at + 1'))}"
+        f" ELSE {state(depth='s.depth + tag.step')} END"
     )
+    finish = f"IF(s.depth > 0, {and_span('s.first', 's.at + 1')}, s.spans)"
 
-    def state(at: Column, name: Column, depth: Column, first: Column, spans: Column) -> Column:
-        return F.struct(at.alias("at"), name.alias("name"), depth.alias("depth"), first.alias("first"),
-                        spans.alias("spans"))
-
-    def span(first: Column, last: Column) -> Column:
-        return F.struct(first.cast("int").alias("first"), last.cast("int").alias("last"))
-
-    def advance(s: Column, tag: Column) -> Column:
-        at = s["at"] + 1
-        depth = s["depth"] + tag["step"]
-        wanted = tag["hit"] & (F.size(s["spans"]) == 0) if only_first else tag["hit"]
-        return (
-            F.when((s["depth"] == 0) & ~wanted, state(at, s["name"], s["depth"], s["first"], s["spans"]))
-            .when((s["depth"] == 0) & (tag["step"] == 0),
-                  state(at, s["name"], s["depth"], s["first"], F.array_append(s["spans"], span(at, at))))
-            .when(s["depth"] == 0, state(at, tag["name"], F.lit(1), at, s["spans"]))
-            .when(tag["name"] != s["name"], state(at, s["name"], s["depth"], s["first"], s["spans"]))
-            .when(depth == 0,
-                  state(at, s["name"], depth, s["first"], F.array_append(s["spans"], span(s["first"], at))))
-            .otherwise(state(at, s["name"], depth, s["first"], s["spans"]))
-        )
+    def scan(page: str, tags: str) -> str:
+        runs = f"split({page}, {quote(pattern)}, -1)"
+        pieces = f"flatten(zip_with({runs}, {tags}, (run, tag) -> array(run, tag)))"
+        spans = f"aggregate(transform({tags}, t -> {describe('t')}), {start}, (s, tag) -> {advance}, s -> {finish})"
+        return bind(pieces, lambda p: bind(spans, lambda found: use(page, p, found)))
+
+    return bind(html, lambda page: bind(sql_find_all(page, pattern), lambda tags: scan(page, tags)))
+
+
+def _sql_between(pieces: str, first: str, last: str) -> str:
+    return f"array_join(slice({pieces}, {first}, greatest({last} - ({first}) + 1, 0)), '')"
+
+
+def _sql_inside(pieces: str, span: str) -> str:
+    return _sql_between(pieces, f"{span}.first * 2 + 1", f"{span}.last * 2 - 1")
+
+
+def sql_drop_subtrees(html: str, pattern: str, hit: Callable[[str, str], str]) -> str:
+    def keep(page: str, pieces: str, spans: str) -> str:
+        edge = "named_struct('first', 0, 'last', 0)"
+        end = f"named_struct('first', CAST((size({pieces}) + 1) / 2 AS INT), 'last', 0)"
+        gap = _sql_between(pieces, "l.last * 2 + 1", "r.first * 2 - 1")
+        gaps = f"zip_with(array_prepend({spans}, {edge}), array_append({spans}, {end}), (l, r) -> {gap})"
+        return f"IF(size({spans}) = 0, {page}, array_join({gaps}, ''))"
+
+    return _sql_cut(html, pattern, hit, keep)
 
-    def finish(s: Column) -> Column:
-        return F.when(s["depth"] > 0, F.array_append(s["spans"], span(s["first"], s["at"] + 1))).otherwise(s["spans"])
 
-    def scan(tags: Column) -> Column:
-        runs = F.split(html, pattern, -1)
-        pieces = F.flatten(F.zip_with(runs, tags, lambda r, t: F.array(r, t)))
-        return let(pieces, lambda p: let(F.aggregate(F.transform(tags, describe), start, advance, finish),
-                                         lambda spans: use(p, spans)))
+def _sql_is(element: str, css_class: str) -> Callable[[str, str], str]:
+    return lambda name, tag: f"IF({name} = {quote(element)}, {sql_has_class(tag, css_class)}, false)"
 
-    return let(F.regexp_extract_all(html, F.lit(pattern), F.lit(0)), scan)
 
+def sql_drop_elements(html: str, names: Sequence[str]) -> str:
+    return sql_drop_subtrees(html, boundary(*names), lambda name, tag: f"{name} IN ({_words(names)})")
 
-def _text_between(pieces: Column, first: Column, last: Column) -> Column:
-    """Join ``pieces`` from position ``first`` to ``last`` (both included)."""
-    return F.array_join(F.slice(pieces, first, F.greatest(last - first + 1, F.lit(0))), "")
 
+def sql_first_subtree(html: str, element: str, css_class: str) -> str:
+    return _sql_cut(html, boundary(element), _sql_is(element, css_class),
+                    lambda page, pieces, spans: f"IF(size({spans}) > 0, "
+                    + bind(f"get({spans}, 0)", lambda span: _sql_inside(pieces, span)) + ", NULL)", only_first=True)
 
-def _inside(pieces: Column, span: Column) -> Column:
-    return _text_between(pieces, span["first"] * 2 + 1, span["last"] * 2 - 1)
 
+def sql_subtrees(html: str, element: str, css_class: str) -> str:
+    return _sql_cut(html, boundary(element), _sql_is(element, css_class),
+                    lambda page, pieces, spans: f"transform({spans}, span -> {_sql_inside(pieces, 'span')})")
 
-def drop_subtrees(html: Column, pattern: str, hit: Callable[[Column, Column], Column]) -> Column:
-    """The page without the subtrees whose opening tag satisfies ``hit(name, tag)``."""
-    def keep(pieces: Column, spans: Column) -> Column:
-        edge = F.struct(F.lit(0).alias("first"), F.lit(0).alias("last"))
-        end = F.struct(((F.size(pieces) + 1) / 2).cast("int").alias("first"), F.lit(0).alias("last"))
-        gaps = F.zip_with(F.array_prepend(spans, edge), F.array_append(spans, end),
-                          lambda before, after: _text_between(pieces, before["last"] * 2 + 1, after["first"] * 2 - 1))
-        return F.when(F.size(spans) == 0, html).otherwise(F.array_join(gaps, ""))
 
-    return _cut(html, pattern, hit, keep)
+def sql_body_of(html: str) -> str:
+    tag = rf"(?=[\s/>]){_ATTRIBUTES}>"
+    around = quote(rf"(?is)<!doctype[^>]*+>|<head{tag}.*?</head\s*+>|</?(?:html|body){tag}")
+    before, after = quote(rf"(?is)\A.*?<body{tag}"), quote(r"(?is)</body\s*+>(?:(?!</body\b).)*+\z")
+    has_body = quote(r"(?i)<body[\s/>]")
+    return bind(html, lambda page: (
+        f"IF({page} RLIKE {has_body}, regexp_replace(regexp_replace({page}, {before}, ''), {after}, ''),"
+        f" regexp_replace({page}, {around}, ''))"))
+
+
+def sql_opening_tags(html: str, element: str) -> str:
+    found = sql_find_all(html, rf"(?is){_OPAQUE}|<{element}(?=[\s/>]){_ATTRIBUTES}>")
+    return f"filter({found}, tag -> {sql_tag_name('tag')} = {quote(element)})"
+
+
+def sql_strip(text: str) -> str:
+    return f"regexp_replace({text}, {quote(EDGE_SPACE)}, '')"
+
+
+def sql_text_nodes(html: str) -> str:
+    markup = quote(rf"(?is)(?:<!--.*?-->|</?[a-z!]{_ATTRIBUTES}>)++")
+    return sql_strip(sql_decode_entities(f"regexp_replace({html}, {markup}, ' ')"))
+
+
+def sql_leading_text(inner: str) -> str:
+    child = rf"<!--.*?-->|<([a-z][^\s/>]*+)(?=[\s/>]){_ATTRIBUTES}>.*?</\1\s*+>|</?[a-z]{_ATTRIBUTES}>"
+    pattern = quote(rf"(?is)\A(?:{child})*+([^<]++)")
+    return sql_decode_entities(f"regexp_extract({inner}, {pattern}, 2)")
+
+
+# --- columns ----------------------------------------------------------------
+
+
+def tag_name(tag: Column) -> Column:
+    """Element name in lower case; ``''`` for a comment."""
+    return let_sql(tag, sql_tag_name)
+
+
+def attribute(tag: Column, name: str) -> Column:
+    """Decoded value of an attribute of an opening tag, null if absent."""
+    return let_sql(tag, lambda t: sql_attribute(t, name))
+
+
+def has_class(tag: Column, name: str) -> Column:
+    """Whether an opening tag carries the class (case-sensitive, as in CSS)."""
+    return let_sql(tag, lambda t: sql_has_class(t, name))
 
 
 def drop_elements(html: Column, names: Sequence[str]) -> Column:
     """The page without the given elements and everything inside them."""
-    return drop_subtrees(html, boundary(*names), lambda name, tag: name.isin(*names))
+    return let_sql(html, lambda h: sql_drop_elements(h, names))
 
 
 def first_subtree(html: Column, element: str, css_class: str) -> Column:
     """Markup inside the first ``element`` with the class; null if there is none."""
-    return _cut(html, boundary(element), lambda name, tag: (name == element) & has_class(tag, css_class),
-                lambda pieces, spans: F.when(F.size(spans) > 0, _inside(pieces, F.element_at(spans, 1))),
-                only_first=True)
+    return let_sql(html, lambda h: sql_first_subtree(h, element, css_class))
 
 
 def subtrees(html: Column, element: str, css_class: str) -> Column:
     """Markup inside every outermost ``element`` with the class, in page order."""
-    return _cut(html, boundary(element), lambda name, tag: (name == element) & has_class(tag, css_class),
-                lambda pieces, spans: F.transform(spans, lambda s: _inside(pieces, s)))
+    return let_sql(html, lambda h: sql_subtrees(h, element, css_class))
 
 
 def body_of(html: Column) -> Column:
     """Inside of ``<body>``; a page without one loses doctype, head and html tags."""
-    loose = F.regexp_replace(
-        html, rf"(?is)<!doctype[^>]*+>|<head(?=[\s/>]){_ATTRIBUTES}>.*?</head\s*+>|</?(?:html|body)(?=[\s/>]){_ATTRIBUTES}>",
-        "")
-    opened = F.regexp_replace(html, rf"(?is)\A.*?<body(?=[\s/>]){_ATTRIBUTES}>", "")
-    inside = F.regexp_replace(opened, r"(?is)</body\s*+>(?:(?!</body\b).)*+\z", "")
-    return F.when(html.rlike(r"(?i)<body[\s/>]"), inside).otherwise(loose)
+    return let_sql(html, sql_body_of)
 
 
 def opening_tags(html: Column, element: str) -> Column:
     """Opening tags of ``element`` outside comments and scripts, in page order."""
-    found = F.regexp_extract_all(html, F.lit(rf"(?is){_OPAQUE}|<{element}(?=[\s/>]){_ATTRIBUTES}>"), F.lit(0))
-    return F.filter(found, lambda t: tag_name(t) == element)
+    return let_sql(html, lambda h: sql_opening_tags(h, element))
 
 
 def text_nodes(html: Column) -> Column:
     """All text of a fragment, one blank where markup separated it, trimmed."""
-    spaced = F.regexp_replace(html, rf"(?is)(?:<!--.*?-->|</?[a-z!]{_ATTRIBUTES}>)++", " ")
-    return strip_space(decode_entities(spaced))
+    return let_sql(html, sql_text_nodes)
 
 
 def leading_text(inner: Column) -> Column:
     """First text that is a direct child: child elements in front of it are skipped."""
-    child = rf"<!--.*?-->|<([a-z][^\s/>]*+)(?=[\s/>]){_ATTRIBUTES}>.*?</\1\s*+>|</?[a-z]{_ATTRIBUTES}>"
-    return decode_entities(F.regexp_extract(inner, rf"(?is)\A(?:{child})*+([^<]++)", 2))
+    return let_sql(inner, sql_leading_text)
 
 
 def decode_entities(text: Column) -> Column:
     """Replace character references; unknown names stay as they are."""
-    reference = r"&(?:#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[a-zA-Z][a-zA-Z0-9]{1,31});"
-    names = {**name2codepoint, "apos": 39}
-    table = F.create_map(*[F.lit(v) for v in chain.from_iterable(names.items())])
-
-    def character(ref: Column) -> Column:
-        body = F.substring(ref, F.lit(2), F.length(ref) - 2)
-        code = (
-            F.when(F.lower(body).startswith("#x"), F.conv(F.substring(body, 3, 6), 16, 10).cast("int"))
-            .when(body.startswith("#"), F.substring(body, 2, 7).cast("int"))
-            .otherwise(F.try_element_at(table, body))
-        )
-        return let(code, lambda c: F.when(
-            (c > 0) & (c <= 0x10FFFF) & ~c.between(0xD800, 0xDFFF),
-            F.decode(F.unhex(F.lpad(F.hex(c), 8, "0")), "UTF-32"),
-        ).otherwise(ref))
-
-    def build(refs: Column) -> Column:
-        runs = F.split(text, reference, -1)
-        return F.array_join(F.flatten(F.zip_with(runs, F.transform(refs, character), lambda r, c: F.array(r, c))), "")
-
-    return F.when(F.contains(text, F.lit("&")),
-                  let(F.regexp_extract_all(text, F.lit(reference), F.lit(0)), build)).otherwise(text)
+    return let_sql(text, sql_decode_entities)
