@@ -39,7 +39,7 @@ def ingest(listings: DataFrame, fetches: DataFrame, zone: LandingZone, *, run_id
     requests = landing.url_once(listing.candidates(rows))
     known = zone.read("records", before=run_seq).select("identifier")
     if recheck:
-        wanted, skipped = requests, requests.limit(0)
+        wanted, skipped = requests, requests.filter(F.lit(False))
     else:
         wanted, skipped = landing.skip_known(requests, known)
     captures = stage(landing.digest(fetches), "captures")
