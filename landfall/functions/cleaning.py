@@ -26,12 +26,14 @@ _TAIL = "\n</body>\n</html>\n"
 def _sql_strip_furniture(html: str) -> str:
     ids, classes = (", ".join(map(quote, values)) for values in (FURNITURE_IDS, FURNITURE_CLASSES))
 
+    # Pages, and tags, that name none of the blocks are not looked into.
+    named = quote("|".join(FURNITURE_IDS + FURNITURE_CLASSES))
+
     def is_furniture(name: str, tag: str) -> str:
         own_id = f"coalesce({markup.sql_attribute(tag, 'id')}, '')"
-        return f"(arrays_overlap({markup.sql_classes(tag)}, array({classes})) OR {own_id} IN ({ids}))"
+        return (f"IF({tag} RLIKE {named}, arrays_overlap({markup.sql_classes(tag)}, array({classes}))"
+                f" OR {own_id} IN ({ids}), false)")
 
-    # Pages that name none of the blocks are not scanned.
-    named = quote("|".join(FURNITURE_IDS + FURNITURE_CLASSES))
     return bind(html, lambda page: (
         f"IF({page} RLIKE {named}, {markup.sql_drop_subtrees(page, markup.ANY_TAG, is_furniture)}, {page})"))
 

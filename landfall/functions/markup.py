@@ -131,13 +131,25 @@ def _sql_cut(html: str, pattern: str, hit: Callable[[str, str], str],
     )
     finish = f"IF(s.depth > 0, {and_span('s.first', 's.at + 1')}, s.spans)"
 
-    def scan(page: str, tags: str) -> str:
-        runs = f"split({page}, {quote(pattern)}, -1)"
-        pieces = f"flatten(zip_with({runs}, {tags}, (run, tag) -> array(run, tag)))"
+    def scan(page: str, pieces: str) -> str:
+        tags = f"filter({pieces}, (piece, n) -> n % 2 = 1)"
         spans = f"aggregate(transform({tags}, t -> {describe('t')}), {start}, (s, tag) -> {advance}, s -> {finish})"
-        return bind(pieces, lambda p: bind(spans, lambda found: use(page, p, found)))
+        return bind(spans, lambda found: use(page, pieces, found))
 
-    return bind(html, lambda page: bind(sql_find_all(page, pattern), lambda tags: scan(page, tags)))
+    return bind(html, lambda page: bind(_sql_pieces(page, pattern), lambda pieces: scan(page, pieces)))
+
+
+def _sql_pieces(page: str, pattern: str) -> str:
+    """Alternating text runs and tags.
+
+    Tags are fenced by a control character and the page is split there: the
+    pattern runs once. Pages that contain the character are matched twice.
+    """
+    fence = quote("\x01")
+    runs, tags = f"split({page}, {quote(pattern)}, -1)", sql_find_all(page, pattern)
+    fenced = f"regexp_replace({page}, {quote(pattern)}, concat({fence}, '$0', {fence}))"
+    return (f"IF(contains({page}, {fence}), flatten(zip_with({runs}, {tags}, (run, tag) -> array(run, tag))),"
+            f" split({fenced}, {fence}, -1))")
 
 
 def _sql_between(pieces: str, first: str, last: str) -> str:

@@ -97,25 +97,30 @@ def _sql_entry(row: str) -> str:
     return bind(markup.sql_first_subtree(row, TITLE_ELEMENT, TITLE_CLASS), build)
 
 
+def _entries(html: Column) -> Column:
+    return let_sql(html, lambda page: (
+        f"transform({markup.sql_subtrees(page, ROW_ELEMENT, ROW_CLASS)}, row -> {_sql_entry('row')})"))
+
+
 def listing_rows(pages: DataFrame) -> DataFrame:
     """One row per listing entry with everything read from it.
 
     ``fetch_seq`` orders entries by page and position. ``link`` is null for an
     entry without a document link; its other fields are then not to be used.
     """
+    # Entries are read inside the generator: a filter on them cannot be moved below it, where it would
+    # read every row a second time.
     exploded = captured(pages).select(
         "page_seq", "body_key", "body_id", "body_name", F.col("partition_label").alias("partition_date"),
         F.col("url").alias("listing_url"), page_base(F.col("url"), F.col("html")).alias("base_url"),
-        F.posexplode(row_markup(F.col("html"))).alias("row_pos", "row"))
+        F.posexplode(_entries(F.col("html"))).alias("row_pos", "entry"))
     slots = 1 << ROW_SLOTS_BITS
     seq = F.when(F.col("row_pos") < slots, F.col("page_seq") * slots + F.col("row_pos")).otherwise(
         F.raise_error(F.lit(f"listing page with more than {slots} rows")))
     read = exploded.select(
         "body_key", "body_id", "body_name", "partition_date", "listing_url", "base_url", "row_pos",
-        seq.alias("fetch_seq"),
-        let_sql(F.col("row"), _sql_entry).alias("entry"),
-    ).select("*", "entry.link", "entry.title_text", "entry.reference", "entry.description_text",
-             periods.site_date(F.col("entry.date_text")).alias("published_date")).drop("entry")
+        seq.alias("fetch_seq"), "entry.link", "entry.title_text", "entry.reference", "entry.description_text",
+        periods.site_date(F.col("entry.date_text")).alias("published_date"))
     return read.withColumn("document_url", urls.resolve(F.col("base_url"), F.col("link"))).drop("base_url")
 
 

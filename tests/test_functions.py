@@ -157,10 +157,10 @@ def test_subtrees_are_outermost_and_ordered(spark):
 
 
 def test_drop_elements_edges(spark):
-    pages = ["<nav>a", "</nav>a<nav>b</nav>c", "a<script>if(a<b){'</nav>'}</script>b", "x<nav/>y", "plain", "",
+    pages = ["<nav>a", "</nav>a<nav>b</nav>c", "a<script>if(a<b){'</nav>'}</script>b", "x<nav/>y", "plain", "", "\x01<p>\x01<nav>\x01</nav>\x01",
              "<nav>a</nav><nav>b</nav>", "<navigation>k</navigation>", "<nav><form>x</nav>y"]
     got = column(spark, pages, lambda h: markup.drop_elements(h, ["nav", "form", "script"]))
-    assert got == ["", "</nav>ac", "ab", "xy", "plain", "", "", "<navigation>k</navigation>", "y"]
+    assert got == ["", "</nav>ac", "ab", "xy", "plain", "", "\x01<p>\x01\x01", "", "<navigation>k</navigation>", "y"]
 
 
 def test_attributes(spark):

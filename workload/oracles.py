@@ -204,7 +204,9 @@ _CONTAINER = ("replace(replace(html, '<article>', '<div class=\"main content\"><
               " '</article>', '</div></div>')")
 _BODY = "regexp_replace(regexp_replace(html, '(?is)^.*?<body>', ''), '(?is)</body>.*$', '')"
 _NUMBER = "regexp_extract(url, '/([0-9]+)[^/]*/?$', 1)"
-_DOWNLOAD = (f"replace({_CONTAINER}, '<footer>', '<a class=\"download\" href=\"/files/' || {_NUMBER}"
+_ENDED = (f"CASE WHEN url LIKE '%?%' THEN replace({_CONTAINER}, '</h1>', '</h1></div></div><div><div>')"
+          f" ELSE {_CONTAINER} END")
+_DOWNLOAD = (f"replace({_ENDED}, '<footer>', '<a class=\"download\" href=\"/files/' || {_NUMBER}"
              " || '.pdf?v=1\">file</a><footer>')")
 _SHAPE = "SELECT id AS page_id, sha256(html) AS text_hash, CAST(length(html) AS BIGINT) AS chars FROM"
 

@@ -119,10 +119,15 @@ def with_furniture(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def with_download(spark: SparkSession, folder: str) -> DataFrame:
-    """Pages in a content container with a download link behind it; short ones are stubs."""
+    """Pages in a content container with a download link behind it; short ones are stubs.
+
+    On pages with a query the container ends after the heading.
+    """
     file = F.concat(F.lit('<a class="download" href="/files/'), F.regexp_extract("url", "/([0-9]+)[^/]*/?$", 1),
                     F.lit('.pdf?v=1">file</a><footer>'))
-    return with_container(spark, folder).withColumn("html", F.replace("html", F.lit("<footer>"), file))
+    heading_only = F.replace("html", F.lit("</h1>"), F.lit("</h1></div></div><div><div>"))
+    ended = F.when(F.col("url").contains("?"), heading_only).otherwise(F.col("html"))
+    return with_container(spark, folder).withColumn("html", F.replace(ended, F.lit("<footer>"), file))
 
 
 def stub_captures(spark: SparkSession, folder: str) -> DataFrame:
