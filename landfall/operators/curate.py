@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from landfall.functions import cleaning, content, identity
+from landfall.functions.binding import let
+from landfall.operators.sequence import compute_once
 from landfall.sources.schemas import RECORD_COLUMNS
 
 MISSING_OBJECT = "missing object: "
@@ -52,20 +54,22 @@ def transform(slice_: DataFrame, objects: DataFrame, curated_hashes: DataFrame)
     earlier = curated_hashes.select("identifier", F.col("file_hash").alias("_curated_hash"))
     loaded, missing = load_objects(slice_.join(earlier, "identifier", "left"), objects)
     doc_type = F.col("document_type")
-    output = loaded.withColumn("data", curated_bytes(doc_type, F.col("data"), F.col("identifier")))
-    hashed = output.withColumn("_hash", content.sha256_hex(F.col("data")))
+    output = compute_once(loaded, _output=let(
+        curated_bytes(doc_type, F.col("data"), F.col("identifier")),
+        lambda data: F.struct(data.alias("data"), content.sha256_hex(data).alias("hash"),
+                              content.byte_length(data).alias("length")))).drop("data")
     ext = identity.document_extension(F.col("document_url"), doc_type)
     written = F.when(doc_type == "html", "transformed_html").otherwise("copied_asis")
-    curated = hashed.withColumns({
+    curated = output.withColumns({
         "original_storage_path": F.col("storage_path"),
         "original_file_hash": F.col("file_hash"),
         "storage_path": identity.curated_key(F.col("identifier"), ext),
-        "file_hash": F.col("_hash"),
-        "content_length": content.byte_length(F.col("data")),
+        "file_hash": F.col("_output.hash"),
+        "content_length": F.col("_output.length"),
         "content_type": identity.content_type(doc_type),
-        "outcome": F.when(F.col("_hash") == F.col("_curated_hash"), "unchanged").otherwise(written),
+        "outcome": F.when(F.col("_output.hash") == F.col("_curated_hash"), "unchanged").otherwise(written),
     })
-    curated = curated.withColumn("data", F.when(F.col("outcome") != "unchanged", F.col("data"))).select(
+    curated = curated.withColumn("data", F.when(F.col("outcome") != "unchanged", F.col("_output.data"))).select(
         *RECORD_COLUMNS, "original_storage_path", "original_file_hash", "content_type", "outcome", "data")
     failures = missing.select(
         "identifier", F.concat(F.lit(MISSING_OBJECT), F.col("storage_path")).alias("reason"))

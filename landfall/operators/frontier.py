@@ -99,7 +99,8 @@ def expected_pages(found: DataFrame, total: Column) -> DataFrame:
 
 def listing_gaps(expected: DataFrame, captured: DataFrame) -> DataFrame:
     """Expected pages that were never captured."""
-    return expected.join(captured, ["body_key", "partition_date", "page"], "left_anti")
+    keys = ["body_key", "partition_date", "page"]
+    return expected.join(captured.select(*keys).distinct(), keys, "left_anti")
 
 
 def capped_batch(batch: DataFrame, limit: int | None, order: str = "fetch_seq") -> DataFrame:

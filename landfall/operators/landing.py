@@ -13,13 +13,13 @@ from pyspark.sql import functions as F
 from landfall.functions import content, identity, stubs, urls
 from landfall.functions.binding import let
 from landfall.operators.listing import failure_reason, http_status, page_base
-from landfall.operators.sequence import first_by, latest_by, previous_value
+from landfall.operators.sequence import compute_once, first_by, latest_by, previous_value
 from landfall.sources.schemas import RECORD_COLUMNS
 
 EMPTY_BODY = "empty document body"
 NOT_CAPTURED = "document not captured"
-# Largest decision table (rows) that is broadcast to the document bytes.
-BROADCAST_ROWS = 500_000
+# Largest table of objects to write, in bytes, that is broadcast to the document bytes.
+BROADCAST_BYTES = 128 << 20
 
 
 def digest(fetches: DataFrame) -> DataFrame:
@@ -28,24 +28,27 @@ def digest(fetches: DataFrame) -> DataFrame:
     A failed or empty fetch has a ``reason`` and no hash. Emptiness is judged
     after canonicalisation. Work is done per row, in place.
     """
-    typed = fetches.withColumn("document_type", identity.document_type(F.col("url"))).withColumn(
-        "fetch_failure", failure_reason(F.col("status"), F.col("error")))
-    body = F.when(F.col("fetch_failure").isNull(),
-                  content.canonical_bytes(F.col("document_type"), F.coalesce(F.col("data"), F.lit(bytearray()))))
-    measured = typed.withColumn("_body", body).withColumn("content_length", content.byte_length(F.col("_body")))
-    reason = F.coalesce("fetch_failure", F.when(F.col("content_length") == 0, EMPTY_BODY))
+    typed = fetches.withColumn("document_type", identity.document_type(F.col("url")))
 
     def follow(html: Column) -> Column:
         return let(stubs.download_link(html), lambda link: F.when(
             link.isNotNull(), urls.resolve(page_base(F.col("url"), html), link)))
 
-    is_page = (F.col("document_type") == "html") & F.col("fetch_failure").isNull()
-    return measured.select(
-        "fetch_seq", "url", "document_type", "content_length",
-        F.when(F.col("content_length") > 0, content.sha256_hex(F.col("_body"))).alias("file_hash"),
-        reason.alias("reason"), http_status(F.col("status")).alias("status"),
-        F.when(is_page, follow(content.html_text(F.col("data")))).alias("follow_url"),
-    )
+    is_page = (F.col("document_type") == "html") & failure_reason(F.col("status"), F.col("error")).isNull()
+    link = F.when(is_page, follow(content.html_text(F.col("data"))))
+    read = compute_once(typed, follow_url=link, measured=measure(F.col("document_type")))
+    return read.select("fetch_seq", "url", "document_type", "measured.*", "follow_url")
+
+
+def measure(doc_type: Column) -> Column:
+    """Struct of canonical length and hash, failure reason and HTTP status of a fetch."""
+    failure = failure_reason(F.col("status"), F.col("error"))
+    body = F.when(failure.isNull(), content.canonical_bytes(doc_type, F.coalesce(F.col("data"), F.lit(bytearray()))))
+    return let(body, lambda b: F.struct(
+        content.byte_length(b).alias("content_length"),
+        F.when(F.octet_length(b) > 0, content.sha256_hex(b)).alias("file_hash"),
+        F.coalesce(failure, F.when(F.octet_length(b) == 0, EMPTY_BODY)).alias("reason"),
+        http_status(F.col("status")).alias("status")))
 
 
 def url_once(requests: DataFrame, url: str = "document_url", order: str = "fetch_seq") -> DataFrame:
@@ -129,15 +132,20 @@ def new_objects(named: DataFrame, existing_keys: DataFrame) -> DataFrame:
         existing_keys.select("storage_path"), "storage_path", "left_anti")
 
 
-def attach_bytes(objects: DataFrame, fetches: DataFrame, object_count: int | None = None) -> DataFrame:
+def weight(objects: DataFrame) -> int:
+    """Approximate size in bytes of a (staged) table of objects to write."""
+    return objects.agg(F.coalesce(F.sum(F.octet_length("storage_path") + 100), F.lit(0))).first()[0]
+
+
+def attach_bytes(objects: DataFrame, fetches: DataFrame, weight_bytes: int | None = None) -> DataFrame:
     """Join the canonical bytes to the objects that are written.
 
     Each object has its own fetch, so the join is one-to-one. When the objects
-    are few (``object_count``, counted on the staged table), they are broadcast
-    and the bytes stay where they are read; otherwise the bytes are shuffled
-    once, by a unique key.
+    are measured to be few, they are broadcast and the bytes stay where they are
+    read. Otherwise the join is by the unique fetch number: fetches stored in
+    buckets (``captures.save_fetches``) stay in place again, others are shuffled once.
     """
-    if object_count is not None and object_count <= BROADCAST_ROWS:
+    if weight_bytes is not None and weight_bytes <= BROADCAST_BYTES:
         objects = F.broadcast(objects)
     payload = fetches.select(F.col("fetch_seq").alias("payload_seq"), "data")
     joined = payload.join(objects.drop("fetch_seq"), "payload_seq")

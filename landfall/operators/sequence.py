@@ -48,6 +48,17 @@ def previous_value(rows: DataFrame, key: str, order: str, value: str, output: st
     )
 
 
+def compute_once(rows: DataFrame, **columns: Column) -> DataFrame:
+    """Add columns whose expressions are evaluated exactly once per row.
+
+    A filter on an ordinary computed column is moved below the computation and
+    repeats it there. These columns come out of a generator, which filters do
+    not pass. Meant for expressions that read whole documents.
+    """
+    packed = F.struct(*[column.alias(name) for name, column in columns.items()])
+    return rows.select("*", F.inline(F.array(packed)))
+
+
 def first_by(rows: DataFrame, key: Column | str, order: str) -> DataFrame:
     """The row of each key with the smallest ``order`` (keys compare by value, nulls as one key).
 

@@ -21,8 +21,7 @@ def curate_range(landing: LandingZone, curated: CuratedZone, start: date, end: d
     """
     check_range(start, end)
     chosen = stage(curate.range_slice(landing.current(), F.lit(start), F.lit(end)), "slice")
-    objects = landing.read("objects")
-    rows, failures = curate.transform(chosen, objects, curated.hashes(before=run_seq))
+    rows, failures = curate.transform(chosen, landing.objects_for(chosen), curated.hashes(before=run_seq))
     curated.write_run("curated", rows, run_seq)
     curated.write_run("curation_failures", failures, run_seq)
     return summary(curated, run_seq)

@@ -21,9 +21,9 @@ def land(decided: DataFrame, fetches: DataFrame, zone: LandingZone, run_id: str,
     """
     classified = landing.classify(decided, zone.hashes(before=run_seq), recheck, block)
     named = stage(landing.name_objects(classified), "classified")
-    stored_before = zone.read("objects", before=run_seq).select("storage_path")
+    stored_before = zone.objects_for(named, before=run_seq).select("storage_path")
     objects = stage(landing.new_objects(named, stored_before), "new-objects")
-    zone.write_run("objects", landing.attach_bytes(objects, fetches, objects.count()), run_seq)
+    zone.write_run("objects", landing.attach_bytes(objects, fetches, landing.weight(objects)), run_seq)
     zone.write_run("records", landing.build_records(named, run_id, run_seq), run_seq)
     return named
 

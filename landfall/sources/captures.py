@@ -13,6 +13,16 @@ def read_fetches(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(schemas.FETCHES).parquet(path)
 
 
+def save_fetches(fetches: DataFrame, table: str, buckets: int) -> None:
+    """Store captures as a table bucketed by fetch number.
+
+    Landing joins decisions to the bytes by that number; with buckets the bytes
+    are not shuffled for it. Choose buckets of a few hundred megabytes.
+    """
+    fetches.repartition(buckets, "fetch_seq").write.bucketBy(buckets, "fetch_seq").sortBy("fetch_seq").mode(
+        "overwrite").saveAsTable(table)
+
+
 def read_listing_pages(spark: SparkSession, path: str) -> DataFrame:
     """Listing captures stored as Parquet."""
     return spark.read.schema(schemas.LISTING_PAGES).parquet(path)

@@ -11,6 +11,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from landfall.functions import identity
 from landfall.operators.landing import current_hashes, current_records
 from landfall.operators.sequence import latest_by
 from landfall.sources import schemas
@@ -26,6 +27,8 @@ CURATED_TABLES = {
     "curated": schemas.CURATED_LOG,
     "curation_failures": "identifier STRING, reason STRING, run_seq BIGINT",
 }
+# More labels than this (no calendar of days has as many) and a scan is not narrowed by label.
+MAX_LABELS = 20_000
 # Tables that are also split by label, so that a date slice reads only its labels.
 _SPLIT_BY = {"objects": "partition_date"}
 
@@ -63,6 +66,13 @@ class LandingZone(Zone):
     def __init__(self, spark: SparkSession, root: str):
         super().__init__(spark, root, LANDING_TABLES)
 
+    def objects_for(self, keys: DataFrame, before: int | None = None) -> DataFrame:
+        """Objects that may have one of the (staged) keys: only folders of their labels are read."""
+        label = identity.label_of_key(F.col("storage_path"))
+        labels = [row[0] for row in keys.select(label.alias("label")).distinct().limit(MAX_LABELS + 1).collect()]
+        objects = self.read("objects", before)
+        return objects if len(labels) > MAX_LABELS else objects.filter(F.col("partition_date").isin(labels))
+
     def current(self, before: int | None = None) -> DataFrame:
         """The current record of each identifier."""
         return current_records(self.read("records", before))

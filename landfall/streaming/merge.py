@@ -6,9 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from landfall.functions import content
-from landfall.operators.landing import EMPTY_BODY
-from landfall.operators.listing import failure_reason, http_status
+from landfall.operators.landing import measure
+from landfall.operators.sequence import compute_once
 from landfall.plans.ingest import land
 from landfall.sources.staging import stage
 from landfall.sources.zones import LandingZone
@@ -16,16 +15,9 @@ from landfall.sources.zones import LandingZone
 
 def decide(documents: DataFrame) -> DataFrame:
     """Hash documents that arrive with their metadata and bytes."""
-    failure = failure_reason(F.col("status"), F.col("error"))
-    body = F.when(failure.isNull(), content.canonical_bytes(
-        F.col("document_type"), F.coalesce(F.col("data"), F.lit(bytearray()))))
-    measured = documents.withColumn("_body", body).withColumn("content_length", content.byte_length(F.col("_body")))
-    return measured.withColumns({
-        "file_hash": F.when(F.col("content_length") > 0, content.sha256_hex(F.col("_body"))),
-        "reason": F.coalesce(failure, F.when(F.col("content_length") == 0, EMPTY_BODY)),
-        "status": http_status(F.col("status")),
-        "payload_seq": F.col("fetch_seq"),
-    }).drop("_body", "data", "error")
+    read = compute_once(documents, measured=measure(F.col("document_type")))
+    return read.drop("data", "error", "status").select("*", "measured.*", F.col("fetch_seq").alias("payload_seq")).drop(
+        "measured")
 
 
 def land_documents(documents: DataFrame, zone: LandingZone, *, run_id: str, run_seq: int,

@@ -243,7 +243,7 @@ def append_objects(spark: SparkSession, folder: str) -> DataFrame:
     before = landing.new_objects(_first_run_named(spark, folder), _no_keys(spark))
     named = stage(_second_run_named(spark, folder), "classified")
     objects = stage(landing.new_objects(named, before), "new-objects")
-    written = landing.attach_bytes(objects, scenario.second_run(spark, folder), objects.count())
+    written = landing.attach_bytes(objects, scenario.second_run(spark, folder), landing.weight(objects))
     return written.select("storage_path", "content_type", "partition_date", content.sha256_hex(F.col("data")).alias("object_hash"),
                           content.byte_length(F.col("data")).alias("bytes"))
 
