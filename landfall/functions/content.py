@@ -51,6 +51,7 @@ def byte_length(data: Column) -> Column:
 def html_text(data: Column) -> Column:
     """Markup as a string: UTF-8 where valid, otherwise windows-1252. Never fails."""
     text = data.cast("string")
-    utf8 = F.regexp_replace(text, "^﻿", "")
+    mark = "\ufeff"
+    utf8 = F.when(text.startswith(mark), F.substring(text, 2, 0x7FFFFFFF)).otherwise(text)
     western = F.translate(F.decode(data, "ISO-8859-1"), _C1_CONTROLS, _C1_PRINTED)
     return F.when(F.is_valid_utf8(text), utf8).otherwise(western)

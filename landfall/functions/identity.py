@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from landfall.functions.binding import collapse_space, strip_space, tighten_hyphens
+from landfall.functions.binding import blank_to_null, collapse_space, strip_space, tighten_hyphens
 from landfall.functions.urls import basename, extension, stem, url_path
 
 # Extensions per document type and content types.
@@ -19,6 +19,10 @@ CONTENT_TYPES = {
 DEFAULT_CONTENT_TYPE = "application/octet-stream"
 
 
+def _map(values: dict[str, str]) -> Column:
+    return F.create_map(*[F.lit(v) for pair in values.items() for v in pair])
+
+
 def normalize_identifier(raw: Column) -> Column:
     """Upper case, no blanks around hyphens, single blanks elsewhere."""
     return F.upper(collapse_space(tighten_hyphens(strip_space(raw))))
@@ -35,29 +39,19 @@ def identifier_from_url(url: Column) -> Column:
 
 def document_type(url: Column) -> Column:
     """``pdf``, ``doc`` or (anything else) ``html``."""
-    ext = extension(url)
-    return (
-        F.when(ext.isin(*PDF_EXTENSIONS), "pdf").when(ext.isin(*DOC_EXTENSIONS), "doc").otherwise("html")
-    )
+    types = {**dict.fromkeys(PDF_EXTENSIONS, "pdf"), **dict.fromkeys(DOC_EXTENSIONS, "doc")}
+    return F.coalesce(F.try_element_at(_map(types), extension(url)), F.lit("html"))
 
 
 def document_extension(url: Column, doc_type: Column) -> Column:
     """Extension to store a document under; html is always ``.html``."""
-    ext = extension(url)
-    return (
-        F.when(doc_type == "html", ".html")
-        .when(ext != "", ext)
-        .when(doc_type == "pdf", ".pdf")
-        .otherwise(".bin")
-    )
+    default = F.when(doc_type == "pdf", ".pdf").otherwise(".bin")
+    return F.when(doc_type == "html", ".html").otherwise(F.coalesce(blank_to_null(extension(url)), default))
 
 
 def content_type(doc_type: Column) -> Column:
     """MIME type of a document type."""
-    branches = None
-    for name, mime in CONTENT_TYPES.items():
-        branches = (F if branches is None else branches).when(doc_type == name, mime)
-    return branches.otherwise(DEFAULT_CONTENT_TYPE)
+    return F.coalesce(F.try_element_at(_map(CONTENT_TYPES), doc_type), F.lit(DEFAULT_CONTENT_TYPE))
 
 
 def landing_key(source: Column, label: Column, identifier: Column, ext: Column, version: Column) -> Column:

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from landfall.functions import content, identity, stubs, urls
 from landfall.functions.binding import let
+from landfall.operators.curate import range_slice
 from landfall.operators.listing import failure_reason, http_status, page_base
 from landfall.operators.sequence import compute_once, first_by, latest_by, previous_value
 from landfall.sources.schemas import RECORD_COLUMNS
@@ -57,8 +58,13 @@ def url_once(requests: DataFrame, url: str = "document_url", order: str = "fetch
 
 
 def skip_known(batch: DataFrame, known: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Split a batch into (to process, skipped) by identifiers landed before the run."""
-    keys = known.select("identifier").distinct()
+    """Split a batch into (to process, skipped) by identifiers landed before the run.
+
+    Known identifiers are first reduced to those of the batch, which is a filter
+    in place when the batch is small enough to be broadcast.
+    """
+    asked = batch.select("identifier").distinct()
+    keys = known.select("identifier").join(asked, "identifier", "left_semi").distinct()
     return batch.join(keys, "identifier", "left_anti"), batch.join(keys, "identifier", "left_semi")
 
 
@@ -165,6 +171,17 @@ def current_records(log: DataFrame) -> DataFrame:
     return latest_by(log, "identifier", "run_seq", "fetch_seq")
 
 
+def current_slice(log: DataFrame, start: Column, end: Column) -> DataFrame:
+    """Current records published in ``[start, end)``.
+
+    Which record of an identifier is the current one is decided on four narrow
+    columns; whole records are read from row groups of the range only.
+    """
+    order = ["identifier", "run_seq", "fetch_seq"]
+    heads = range_slice(latest_by(log.select(*order, "published_date"), "identifier", "run_seq", "fetch_seq"), start, end)
+    return range_slice(log, start, end).join(heads.select(*order), order, "left_semi")
+
+
 def current_hashes(log: DataFrame) -> DataFrame:
     """``identifier, file_hash`` of the current records, reading only those columns."""
     return log.groupBy("identifier").agg(

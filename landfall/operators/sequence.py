@@ -8,6 +8,11 @@ from pyspark.sql import functions as F
 BLOCK_SPAN = 1_000_000
 
 
+def blocks(order: str, span: int) -> Column:
+    """Number of the block of ``span`` consecutive values that an integer order column falls in."""
+    return F.expr(f"`{order}` DIV {span}L")
+
+
 def previous_value(rows: DataFrame, key: str, order: str, value: str, output: str,
                    seed: DataFrame | None = None, block: Column | None = None) -> DataFrame:
     """Add ``output``: the latest non-null ``value`` of the same key before this row.
@@ -23,7 +28,7 @@ def previous_value(rows: DataFrame, key: str, order: str, value: str, output: st
     ``order`` divided by a million. ``rows`` is read twice: pass a staged table
     if it is expensive.
     """
-    block = F.floor(F.col(order) / BLOCK_SPAN) if block is None else block
+    block = blocks(order, BLOCK_SPAN) if block is None else block
     split = rows.withColumn("_block", block.cast("bigint"))
     before = Window.partitionBy(key, "_block").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
     within = split.withColumn("_near", F.last(value, ignorenulls=True).over(before))

@@ -5,7 +5,6 @@ from __future__ import annotations
 from datetime import date
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from landfall.operators import curate
 from landfall.operators.frontier import check_range
@@ -20,7 +19,7 @@ def curate_range(landing: LandingZone, curated: CuratedZone, start: date, end: d
     own; metadata and the summary are read from that table without them.
     """
     check_range(start, end)
-    chosen = stage(curate.range_slice(landing.current(), F.lit(start), F.lit(end)), "slice")
+    chosen = stage(landing.current_between(start, end), "slice")
     rows, failures = curate.transform(chosen, landing.objects_for(chosen), curated.hashes(before=run_seq))
     curated.write_run("curated", rows, run_seq)
     curated.write_run("curation_failures", failures, run_seq)

@@ -7,12 +7,14 @@ state is a view over the log. Readers of a run look at earlier runs only.
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from landfall.functions import identity
-from landfall.operators.landing import current_hashes, current_records
+from landfall.operators.landing import current_hashes, current_records, current_slice
 from landfall.operators.sequence import latest_by
 from landfall.sources import schemas
 
@@ -77,6 +79,10 @@ class LandingZone(Zone):
         """The current record of each identifier."""
         return current_records(self.read("records", before))
 
+    def current_between(self, start: date, end: date) -> DataFrame:
+        """The current records published in ``[start, end)``."""
+        return current_slice(self.read("records"), F.lit(start), F.lit(end))
+
     def hashes(self, before: int | None = None) -> DataFrame:
         """``identifier, file_hash`` of the current records."""
         return current_hashes(self.read("records", before))

@@ -263,6 +263,26 @@ units AS (
          greatest(found - (new + changed + unchanged + skipped) - failed, 0) AS missing
   FROM counted)"""
 
+LINKED = LISTING + f""",
+requested AS (
+  SELECT document_url, min(fetch_seq) AS fetch_seq, arg_min(body_key, fetch_seq) AS body_key,
+         arg_min(published_date, fetch_seq) AS published_date,
+         arg_min(trim(CASE WHEN body_key = 'fr' OR text = '' THEN 'R-' || page_seq ELSE text END), fetch_seq) AS title
+  FROM rows WHERE link IS NOT NULL GROUP BY document_url),
+identified AS (
+  SELECT *, {identifier("document_url")} AS identifier, document_url LIKE '%,%' AS gone,
+         '<html><nav>menu</nav><div class=''content''> <p>' || document_url || '</p></div></html>' AS body FROM requested),
+landed AS (
+  SELECT i.*, CASE WHEN fetch_seq > first_ok THEN 'skipped' WHEN gone THEN 'failed' ELSE 'new' END AS outcome
+  FROM identified i LEFT JOIN (SELECT identifier, min(fetch_seq) AS first_ok FROM identified WHERE NOT gone GROUP BY identifier)
+  USING (identifier)),
+link_failures AS (
+  SELECT body_key FROM landed WHERE outcome = 'failed' UNION ALL SELECT body_key FROM ({LISTING_FAILURES})),
+page_rows AS (SELECT page_seq, count(*) AS n FROM rows GROUP BY page_seq),
+announced AS (
+  SELECT body_key, sum(CASE WHEN url LIKE '%?%' THEN length(html) ELSE coalesce(n, 0) END) AS found
+  FROM listed LEFT JOIN page_rows USING (page_seq) WHERE NOT refused AND error IS NULL GROUP BY body_key)"""
+
 _WEEKLY = f"""
 totals AS (
   SELECT c_mktsegment AS body_key, {week("o_orderdate")} AS partition_date, count(*) AS found
@@ -444,6 +464,28 @@ SELECT identifier, props AS description, CAST(ts AS DATE) AS published_date,
        sha256(event_type) AS file_hash, CAST(octet_length(encode(event_type)) AS BIGINT) AS content_length, event_id AS fetch_seq
 FROM steps WHERE previous IS NULL OR previous <> event_type
 QUALIFY row_number() OVER (PARTITION BY identifier ORDER BY ts DESC, event_id DESC) = 1""",
+    "ingest_run": f"""WITH {LINKED},
+marked AS (
+  SELECT body_key, count(*) FILTER (outcome = 'new') AS new, count(*) FILTER (outcome = 'skipped') AS skipped FROM landed
+  GROUP BY body_key),
+lost AS (SELECT body_key, count(*) AS failed FROM link_failures GROUP BY body_key),
+joined AS (
+  SELECT body_key, CAST(coalesce(found, 0) AS BIGINT) AS found, coalesce(new, 0) AS new, coalesce(skipped, 0) AS skipped,
+         coalesce(failed, 0) AS failed
+  FROM announced FULL JOIN marked USING (body_key) FULL JOIN lost USING (body_key))
+SELECT body_key || '/2024-01' AS unit, body_key, '2024-01' AS partition_date, found, new + skipped AS scraped, new,
+       CAST(0 AS BIGINT) AS changed, CAST(0 AS BIGINT) AS unchanged, skipped, failed,
+       greatest(found - new - skipped - failed, 0) AS missing FROM joined""",
+    "ingest_and_curate": f"""WITH {LINKED},
+pages_out AS (
+  SELECT *, '<!DOCTYPE html>' || chr(10) || '<html lang="en">' || chr(10) || '<head>' || chr(10) || '<meta charset="utf-8">'
+         || chr(10) || '<title>' || identifier || '</title>' || chr(10) || '</head>' || chr(10) || '<body>' || chr(10) || '<h1>'
+         || identifier || '</h1>' || chr(10) || '<p>' || document_url || '</p>' || chr(10) || '</body>' || chr(10) || '</html>'
+         || chr(10) AS output
+  FROM landed WHERE outcome = 'new' AND published_date >= DATE '2024-03-01' AND published_date < DATE '2025-06-01')
+SELECT identifier, title, published_date, identifier || '.html' AS storage_path, sha256(output) AS file_hash,
+       {size("output")} AS content_length, body_key || '/2024-01/' || identifier || '.html' AS original_storage_path,
+       sha256(body) AS original_file_hash FROM pages_out""",
     "reconcile": f"WITH {UNITS} SELECT * FROM units",
     "reconcile_totals": f"""WITH {UNITS}
 SELECT CAST(sum(found) AS BIGINT) AS found, CAST(sum(scraped) AS BIGINT) AS scraped, CAST(sum(new) AS BIGINT) AS new,

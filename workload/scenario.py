@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from landfall.functions import identity
+from landfall.operators import listing
 from landfall.streaming.merge import decide
 
 
@@ -144,6 +145,16 @@ def stub_captures(spark: SparkSession, folder: str) -> DataFrame:
     return html.unionByName(files)
 
 
+def link_captures(pages: DataFrame) -> DataFrame:
+    """A capture of every document the listings link to; names with a comma are gone."""
+    rows = listing.listing_rows(pages).filter(F.col("link").isNotNull())
+    targets = rows.groupBy(F.col("document_url").alias("url")).agg(F.min("fetch_seq").alias("fetch_seq"))
+    page = F.concat(F.lit("<html><nav>menu</nav><div class='content'> <p>"), F.col("url"), F.lit("</p></div></html>"))
+    gone = F.col("url").contains(",")
+    return targets.select("fetch_seq", "url", F.when(gone, 404).otherwise(200).alias("status"),
+                          F.lit(None).cast("string").alias("error"), F.when(~gone, page.cast("binary")).alias("data"))
+
+
 def events_as_documents(events: DataFrame) -> DataFrame:
     """Events as documents: the user is the identifier, the event type the content."""
     user = F.concat(F.lit("U"), F.col("user_id").cast("string"))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,9 +12,11 @@ from landfall.functions import cleaning, content, identity, markup, periods, stu
 from landfall.operators import curate as curation
 from landfall.operators import frontier, landing, listing, reconcile
 from landfall.operators.sequence import latest_by
+from landfall.plans.chain import ingest_and_curate
+from landfall.plans.ingest import ingest
 from landfall.sources.schemas import RECORD_COLUMNS
 from landfall.sources.staging import scratch_root, stage
-from landfall.sources.zones import LandingZone
+from landfall.sources.zones import CuratedZone, LandingZone
 from landfall.streaming.merge import merge_stream
 from workload import scenario
 from workload.scenario import table
@@ -287,6 +290,27 @@ def stream_merge(spark: SparkSession, folder: str) -> DataFrame:
                                  "fetch_seq")
 
 
+def _run_zones(spark: SparkSession) -> tuple[LandingZone, CuratedZone]:
+    """New, empty zones in the scratch folder."""
+    run = f"{scratch_root(spark)}/zones-{uuid.uuid4().hex}"
+    return LandingZone(spark, f"{run}/landing"), CuratedZone(spark, f"{run}/curated")
+
+
+def ingest_run(spark: SparkSession, folder: str) -> DataFrame:
+    """A whole landing run over the listings and the documents they link to."""
+    pages, (zone, _) = scenario.listing_pages(spark, folder), _run_zones(spark)
+    return ingest(pages, scenario.link_captures(pages), zone, run_id="r1", run_seq=1)
+
+
+def ingest_and_curate_run(spark: SparkSession, folder: str) -> DataFrame:
+    """The same run followed by curation of a date range; the curated records."""
+    pages, (zone, curated) = scenario.listing_pages(spark, folder), _run_zones(spark)
+    ingest_and_curate(pages, scenario.link_captures(pages), zone, curated, date(2024, 3, 1), date(2025, 6, 1),
+                      run_id="r1", run_seq=1)
+    return curated.current().select("identifier", "title", "published_date", "storage_path", "file_hash", "content_length",
+                                    "original_storage_path", "original_file_hash")
+
+
 # --- reconciliation ----------------------------------------------------------------
 
 
@@ -400,6 +424,8 @@ QUERIES = {
     "hash_mismatch": hash_mismatch,
     "url_once": url_once,
     "stream_merge": stream_merge,
+    "ingest_run": ingest_run,
+    "ingest_and_curate": ingest_and_curate_run,
     "reconcile": reconcile_units,
     "reconcile_totals": reconcile_totals,
     "failure_log": failure_log,
