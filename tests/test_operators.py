@@ -10,6 +10,7 @@ from landfall.operators import curate, frontier, landing, reconcile
 from landfall.operators.sequence import compute_once, previous_value
 from landfall.sources import schemas
 from landfall.sources.captures import fetches_from_files, save_fetches
+from landfall.sources.object_files import export_objects
 from landfall.sources.staging import scratch_root, stage
 
 
@@ -171,3 +172,17 @@ def test_staging_uses_the_shared_folder(spark):
     staged = stage(spark.range(3).toDF("n"), "numbers")
     assert sorted(r.n for r in staged.collect()) == [0, 1, 2]
     assert all(root in f for f in staged.inputFiles())
+
+
+def test_objects_as_files(spark, tmp_path):
+    objects = spark.createDataFrame([("s/2024-01/A.html", bytearray(b"one")), ("s/2024-01/B.pdf", bytearray(b"\x00\xff"))],
+                                    "storage_path string, data binary")
+    root = f"file://{tmp_path}/objects"
+    assert [r.written for r in export_objects(objects, root).collect()] == [True, True]
+    assert (tmp_path / "objects/s/2024-01/B.pdf").read_bytes() == b"\x00\xff"
+    changed = objects.withColumn("data", F.lit(bytearray(b"two")))
+    assert [r.written for r in export_objects(changed, root).collect()] == [False, False]
+    assert (tmp_path / "objects/s/2024-01/A.html").read_bytes() == b"one"
+    assert [r.written for r in export_objects(changed, root, overwrite=True).collect()] == [True, True]
+    assert sorted(p.name for p in (tmp_path / "objects/s/2024-01").iterdir()) == ["A.html", "B.pdf"]
+    assert (tmp_path / "objects/s/2024-01/A.html").read_bytes() == b"two"
