@@ -399,17 +399,19 @@ without AS (
 {dropped("without", "kept")}, trimmed AS (SELECT id, trim(html) AS html FROM kept) {_SHAPE} trimmed""",
     "stub_links": f"WITH {STUBS} SELECT id AS page_id, chars, link FROM links",
     "stub_resolve": f"""WITH {STUBS},
+asked AS (
+  SELECT * FROM links QUALIFY row_number() OVER (PARTITION BY regexp_replace(url, '#.*$', '') ORDER BY id) = 1),
 stub AS (
   SELECT id, url, regexp_extract(url, '^([a-z]+://[^/?#]*)', 1) || link AS target,
          row_number() OVER (PARTITION BY regexp_extract(url, '^([a-z]+://[^/?#]*)', 1) || link ORDER BY id) AS turn
-  FROM links WHERE link IS NOT NULL),
+  FROM asked WHERE link IS NOT NULL),
 file AS (
   SELECT regexp_extract(url, '^([a-z]+://[^/?#]*)', 1) || '/files/' || {_NUMBER} || '.pdf?v=1' AS target,
          min(page_id + 1000000000) AS payload_seq, arg_min(url, page_id) AS url
   FROM pages WHERE url LIKE '%/en/%' GROUP BY 1)
 SELECT id AS fetch_seq, url AS source_url, url AS document_url, 'html' AS document_type, id AS payload_seq,
        sha256(html) AS file_hash, CAST(NULL AS VARCHAR) AS reason, CAST(NULL AS INTEGER) AS status
-FROM links WHERE link IS NULL
+FROM asked WHERE link IS NULL
 UNION ALL
 SELECT s.id, s.url, s.target, 'pdf', f.payload_seq, CASE WHEN f.url NOT LIKE '%www.%' THEN sha256('%PDF ' || f.url) END,
        CASE WHEN f.url IS NULL THEN 'document not captured' WHEN f.url LIKE '%www.%' THEN 'HTTP 410' END,
