@@ -27,6 +27,9 @@ from landfall.functions.binding import EDGE_SPACE, bind, let_sql, quote
 _ATTRIBUTES = r"""(?:[^>=]++|=\s*+"[^"]*+"|=\s*+'[^']*+'|=)*+"""
 # Comments, scripts and styles are taken whole: tags inside them are text.
 _OPAQUE = rf"<!--.*?-->|<(?:script(?=[\s/>]){_ATTRIBUTES}>.*?</script|style(?=[\s/>]){_ATTRIBUTES}>.*?</style)\s*+>"
+# Any tag with "<" in a quoted value, taken whole as well: the value may look like a tag.
+_QUOTING = (r"""<[a-z](?:[^>=]++|=\s*+"[^"<]*+"|=\s*+'[^'<]*+'|=(?!\s*+["']))*+=\s*+(?:"[^"]*+"|'[^']*+')"""
+            rf"{_ATTRIBUTES}>")
 ANY_TAG = rf"(?is){_OPAQUE}|</?[a-z]{_ATTRIBUTES}>"
 # One name=value pair of a tag, starting at an attribute boundary.
 _PAIR = r"""(?s)(?<=[\s"'/])[^\s"'<>/=]++\s*+=\s*+(?:"[^"]*+"|'[^']*+'|[^\s"'>][^\s>]*+)"""
@@ -42,8 +45,8 @@ def _words(values: Sequence[str]) -> str:
 
 
 def boundary(*names: str) -> str:
-    """Pattern for the opening and closing tags of ``names`` (and opaque parts)."""
-    return rf"(?is){_OPAQUE}|</?(?:{'|'.join(names)})(?=[\s/>]){_ATTRIBUTES}>"
+    """Pattern for the opening and closing tags of ``names`` (and parts that may hide some)."""
+    return rf"(?is){_OPAQUE}|</?(?:{'|'.join(names)})(?=[\s/>]){_ATTRIBUTES}>|{_QUOTING}"
 
 
 # --- SQL text ---------------------------------------------------------------
@@ -201,7 +204,7 @@ def sql_body_of(html: str) -> str:
 
 
 def sql_opening_tags(html: str, element: str) -> str:
-    found = sql_find_all(html, rf"(?is){_OPAQUE}|<{element}(?=[\s/>]){_ATTRIBUTES}>")
+    found = sql_find_all(html, rf"(?is){_OPAQUE}|<{element}(?=[\s/>]){_ATTRIBUTES}>|{_QUOTING}")
     return f"filter({found}, tag -> {sql_tag_name('tag')} = {quote(element)})"
 
 

@@ -17,14 +17,14 @@ _SETTING = "spark.checkpoint.dir"
 
 def scratch_root(spark: SparkSession) -> str:
     """The shared folder named by the session; a temporary one only in local mode."""
-    folder = spark.conf.get(_SETTING, None) or spark.sparkContext.getConf().get(_SETTING)
-    if folder:
-        return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError(f"{_SETTING} must name a folder that all executors share")
-    folder = tempfile.mkdtemp(prefix="landfall-")
-    spark.conf.set(_SETTING, folder)
-    return folder
+    context = spark.sparkContext
+    folder = spark.conf.get(_SETTING, None) or context.getCheckpointDir()
+    if not folder:
+        if not context.master.startswith("local"):
+            raise ValueError(f"{_SETTING} must name a folder that all executors share")
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="landfall-"))
+        folder = context.getCheckpointDir()
+    return folder.rstrip("/")
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:

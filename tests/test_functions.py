@@ -198,3 +198,41 @@ def test_long_pages_do_not_exhaust_the_stack(spark):
     inner = column(spark, [deep, words], lambda h: F.length(markup.first_subtree(h, "div", "content")), "v string")
     assert inner == [len(deep) - len("<div class='content'>") - 6, len(words) - len("<div class='content'>") - 6]
     assert column(spark, [words], lambda h: F.length(markup.text_nodes(h))) == [2 * 20000 - 1]
+
+
+def random_page(rng, depth=0):
+    """(page, page without nav and form, insides of the outermost content divs) of a random well-nested tree."""
+    page, kept, parts = "", "", []
+    for _ in range(rng.randint(0, 4)):
+        choice = rng.randint(0, 6)
+        if choice == 0 or depth > 4:
+            text = rng.choice(["text", " a &amp; b ", "x > y", "é", "'quote\"", ""])
+            page, kept = page + text, kept + text
+        elif choice == 1:
+            text = rng.choice(["<!-- <nav> <div class='content'> -->", "<script>if (a<b) '</nav></div>'</script>",
+                               "<br>", "<img class=content src='a>b'/>"])
+            page += text
+            kept += "" if text.startswith("<script") else text
+        else:
+            name = rng.choice(["div", "nav", "form", "p", "DIV", "section"])
+            attributes = rng.choice(["", " class=content", " id='n' class=\"big content\"", " title='<nav>'", " class='contents'",
+                                     ' a data-x="1 > 0 <div class=content>" b=c'])
+            inner, inner_kept, inner_parts = random_page(rng, depth + 1)
+            opened, closed = f"<{name}{attributes}>", f"</{name}>"
+            page += opened + inner + closed
+            kept += "" if name in ("nav", "form") else opened + inner_kept + closed
+            is_content = name.lower() == "div" and attributes.endswith(("=content", 'content"'))
+            parts += [inner] if is_content else inner_parts
+    return page, kept, parts
+
+
+def test_random_trees(spark):
+    import random
+    rng = random.Random(11)
+    samples = [random_page(rng) for _ in range(400)]
+    pages = [s[0] for s in samples]
+    assert sum(len(s[2]) > 1 for s in samples) > 10
+    assert column(spark, pages, lambda h: markup.drop_elements(h, ["nav", "form", "script"])) == [s[1] for s in samples]
+    assert column(spark, pages, lambda h: markup.subtrees(h, "div", "content")) == [s[2] for s in samples]
+    assert column(spark, pages, lambda h: markup.first_subtree(h, "div", "content")) == [
+        s[2][0] if s[2] else None for s in samples]
