@@ -299,14 +299,15 @@ def _run_zones(spark: SparkSession) -> tuple[LandingZone, CuratedZone]:
 def ingest_run(spark: SparkSession, folder: str) -> DataFrame:
     """A whole landing run over the listings and the documents they link to."""
     pages, (zone, _) = scenario.listing_pages(spark, folder), _run_zones(spark)
-    return ingest(pages, scenario.link_captures(pages), zone, run_id="r1", run_seq=1)
+    captures = stage(scenario.link_captures(pages), "captured")
+    return ingest(pages, captures, zone, run_id="r1", run_seq=1)
 
 
 def ingest_and_curate_run(spark: SparkSession, folder: str) -> DataFrame:
     """The same run followed by curation of a date range; the curated records."""
     pages, (zone, curated) = scenario.listing_pages(spark, folder), _run_zones(spark)
-    ingest_and_curate(pages, scenario.link_captures(pages), zone, curated, date(2024, 3, 1), date(2025, 6, 1),
-                      run_id="r1", run_seq=1)
+    captures = stage(scenario.link_captures(pages), "captured")
+    ingest_and_curate(pages, captures, zone, curated, date(2024, 3, 1), date(2025, 6, 1), run_id="r1", run_seq=1)
     return curated.current().select("identifier", "title", "published_date", "storage_path", "file_hash", "content_length",
                                     "original_storage_path", "original_file_hash")
 
