@@ -26,7 +26,7 @@ SELECT doc_id, size, source_size, target,
 FROM placed p JOIN targets t ON p.source IS NOT DISTINCT FROM t.source
 """
 
-_WORDS = r"list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), x -> x <> '')"
+_WORDS = r"list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '')"
 
 OP7 = rf"""
 WITH docs AS (SELECT row_number() OVER () AS id, doc_id, {_WORDS} AS w FROM documents),

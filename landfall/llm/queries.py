@@ -5,10 +5,10 @@ The columns are digests of what the operators return; texts, spans and files are
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from landfall.llm import mixing, sharding, superminhash, toxicity, winnowing
+from landfall.llm import credentials, mixing, ngram_ratio, reply_trees, sharding, superminhash, toxicity, winnowing
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -20,11 +20,38 @@ def fold(column: str, parts: int) -> Column:
     return F.crc32(F.col(column).cast("string").cast("binary")) % parts
 
 
+def op1_reply_trees(spark: SparkSession, folder: str) -> DataFrame:
+    """A conversation is a tree in which each row answers the one before; the longest branch is the best."""
+    rows = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    control = "</s>[INST] ok [/INST]"
+    extra = spark.range(2).select(
+        F.lit(-1).cast("bigint").alias("conv_id"), F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(control).alias("text"))
+    numbered = rows.unionByName(extra).withColumn("id", F.row_number().over(
+        Window.partitionBy("conv_id").orderBy("turn", "role", "text")))
+    messages = numbered.select(F.col("conv_id").alias("tree"), "id", F.when(F.col("id") > 1, F.col("id") - 1).alias("parent"),
+                               "role", "text", F.lit(1.0).alias("score"))
+    formatted = reply_trees.format_conversations(messages)
+    turns = reply_trees.read_turns(F.col("formatted"))
+    read = formatted.select("tree", "formatted", "loss_spans", turns.alias("turns"))
+    told = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
+    loss = F.array_join(F.transform("loss_spans", lambda s: reply_trees.unescape(
+        F.substring(F.col("formatted"), s["start"] + 1, s["length"]))), "")
+    return read.select(
+        F.col("tree").alias("conv_id"), F.size("turns").cast("bigint").alias("n_turns"), F.sha2(told, 256).alias("turns_sha256"),
+        F.length(loss).cast("bigint").alias("loss_chars"), F.sha2(loss, 256).alias("loss_sha256"),
+        F.length("formatted").cast("bigint").alias("formatted_chars"))
+
+
 def op2_jump_shards(spark: SparkSession, folder: str) -> DataFrame:
     shards = sharding.shard_documents(table(spark, folder, "documents"), 16)
     return shards.select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard")
 
 
+def op4_credential_links(spark: SparkSession, folder: str) -> DataFrame:
+    return credentials.summarize(credentials.find_secrets(table(spark, folder, "documents")))
+
+
 def op6_low_discrepancy_mix(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix(table(spark, folder, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
@@ -36,6 +63,13 @@ def op7_winnowing(spark: SparkSession, folder: str) -> DataFrame:
         F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
 
 
+def op8_ngram_ratio(spark: SparkSession, folder: str) -> DataFrame:
+    trusted = table(spark, folder, "labels").where("quality = 1")
+    judged = ngram_ratio.judge(table(spark, folder, "documents").select("doc_id", "text"), trusted)
+    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
+                         "log_ratio")
+
+
 def op9_noisy_channel_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     documents, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
     model = toxicity.fit(documents.select("doc_id", "text"), labels.where(fold("doc_id", 3) != 1).select("doc_id", "toxic"))
@@ -50,4 +84,5 @@ def op10_superminhash(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op2_jump_shards, op6_low_discrepancy_mix, op7_winnowing, op9_noisy_channel_toxicity, op10_superminhash)}
+    op1_reply_trees, op2_jump_shards, op4_credential_links, op6_low_discrepancy_mix, op7_winnowing, op8_ngram_ratio,
+    op9_noisy_channel_toxicity, op10_superminhash)}
