@@ -5,10 +5,13 @@ The columns are digests of what the operators return; texts, spans and files are
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from landfall.llm import credentials, mixing, ngram_ratio, reply_trees, sharding, superminhash, toxicity, winnowing
+from landfall.llm import credentials, mixing, neighbour_quality, ngram_ratio, reply_trees, sharding, superminhash, toxicity, warc, winnowing
+from landfall.sources.staging import scratch_root
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -48,10 +51,24 @@ def op2_jump_shards(spark: SparkSession, folder: str) -> DataFrame:
     return shards.select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard")
 
 
+def op3_warc(spark: SparkSession, folder: str) -> DataFrame:
+    archives = f"{scratch_root(spark)}/warc-{uuid.uuid4().hex}"
+    manifest = warc.write_archives(table(spark, folder, "pages"), archives)
+    return warc.read_archives(manifest).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op4_credential_links(spark: SparkSession, folder: str) -> DataFrame:
     return credentials.summarize(credentials.find_secrets(table(spark, folder, "documents")))
 
 
+def op5_neighbour_quality(spark: SparkSession, folder: str) -> DataFrame:
+    documents, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
+    space = neighbour_quality.fit(documents.select("doc_id", "text"), labels.where(fold("doc_id", 5) != 0).select("doc_id", "quality"))
+    scored = documents.select("doc_id", F.coalesce(fold("doc_id", 5) == 0, F.lit(False)).alias("held_out"),
+                              neighbour_quality.quality_score(F.col("text"), space).alias("score"))
+    return scored.withColumn("predicted", (F.col("score") >= 0.3).cast("int"))
+
+
 def op6_low_discrepancy_mix(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix(table(spark, folder, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
@@ -84,5 +101,5 @@ def op10_superminhash(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_reply_trees, op2_jump_shards, op4_credential_links, op6_low_discrepancy_mix, op7_winnowing, op8_ngram_ratio,
+    op1_reply_trees, op2_jump_shards, op3_warc, op4_credential_links, op5_neighbour_quality, op6_low_discrepancy_mix, op7_winnowing, op8_ngram_ratio,
     op9_noisy_channel_toxicity, op10_superminhash)}
