@@ -13,8 +13,8 @@ from pyspark.sql import functions as F
 from landfall.llm.common import bind, split_words
 from landfall.sources.staging import stage
 
-#: Buckets of the hash, and a count added to each.
-BUCKETS, SMOOTHING = 2**16, 1.0
+#: Buckets of the hash, and the count added to each trusted one; raw counts get the same share of their total.
+BUCKETS, SMOOTHING = 2**16, 2.0
 #: Labelled documents that trusted counts come from at most: those with the least hashes of their ids.
 SAMPLE = 20_000
 #: A text whose mean log ratio is below this is rejected.
@@ -87,8 +87,8 @@ def bucket_ratios(docs: DataFrame, trusted: DataFrame, count: int = BUCKETS, smo
     good, raw = counts.agg(F.coalesce(F.sum("good"), F.lit(0)), F.coalesce(F.sum("raw"), F.lit(0))).first()
     if not good:
         return counts.select("bucket", F.lit(0).cast("bigint").alias("ratio"))
-    each = F.log((F.col("good") + smoothing) / (good + smoothing * count)) - F.log(
-        (F.col("raw") + smoothing) / (raw + smoothing * count))
+    # (good + s) / (all good + s * count) by (raw + s * r) / (all raw + s * r * count), where r = all raw / all good.
+    each = F.log((F.col("good") + smoothing) / (F.col("raw") * (good / raw) + smoothing))
     return counts.select("bucket", F.round(each * _FIXED).cast("bigint").alias("ratio"))
 
 

@@ -94,8 +94,8 @@ def decode(token: str, costs: list) -> str:
     for char in token:
         run = run + 1 if char == before else 1
         letters = [(char, 0.0)] if char.isalpha() else [(c, SUBSTITUTE) for c in LEET.get(char, "")]
-        dropped = SEPARATOR if not letters else SYMBOL if not char.isalpha() else None if run == 1 else (
-            DOUBLED if run == 2 else STRETCHED)
+        dropped = SEPARATOR if not letters else (DOUBLED if run == 2 else STRETCHED) if run > 1 else (
+            None if char.isalpha() else SYMBOL)
         reached: dict[tuple[int, int], tuple[float, str]] = {}
         for (a, b), (cost, text) in best.items():
             if dropped is not None and (old := reached.get((a, b)), cost + dropped)[1] < (old[0] if old else math.inf):
@@ -122,17 +122,19 @@ def restored_words(text: str | None, restore: Callable[[str], str]) -> set[str]:
     lower = text.lower()
     words: set[str] = set()
     for token in set(lower.split()):
-        core = token if token.isalpha() else token.strip(_EDGES)
+        if token.isalpha():
+            words.add(token)
+            continue
+        core = token.strip(_EDGES)
         if core.isalpha():
             words.add(core)
         elif core:
             words.update(re.findall(r"[^\W\d_]+", core))
-        if core is not token:  # marks at the edges may be letters, too
-            whole = token.rstrip(".,;:?\"'").lstrip("\"'([{")
-            if _disguised(whole):
-                words.add(restore(whole))
-            elif core and _disguised(core):
-                words.add(restore(core))
+        whole = token.rstrip(".,;:?\"'").lstrip("\"'([{")  # other marks at the edges may be letters
+        if _disguised(whole):
+            words.add(restore(whole))
+        elif _disguised(core):
+            words.add(restore(core))
     for found in _SEPARATED.finditer(lower):
         words.add(restore(found.group().replace(" ", ".")))
     if _has_stretch(lower):
