@@ -24,9 +24,11 @@ from landfall.sources.staging import stage
 BAND_ROWS, BANDS = 4, 28
 #: Elements that are hashed at a time.
 BLOCK = 400_000
-#: Hub rounds before all open pairs of a bucket are listed, and open pairs per bucket entry that are few enough for it.
-HUB_ROUNDS, FEW_PAIRS = 4, 2
-HUBS = 8
+#: Rounds in which members of a bucket are compared with hubs, hubs of a bucket in rounds after the first, and open
+#: pairs per bucket entry that are few enough to skip the rounds that are left.
+HUB_ROUNDS, HUBS, FEW_PAIRS = 2, 8, 2
+#: 64-bit words of the bitmap of a set, from which a bound of its similarity to another set follows.
+BITMAP_WORDS = 32
 
 
 def shingle_set(text: Column, size: int) -> Column:
@@ -120,7 +122,8 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, band_rows
     its group has an id. Repeated rows are one group. An empty table gives no rows.
 
     Rows with equal sets form one class before any pair is made, so copies cost nothing. Within a bucket, members are
-    compared with hubs, not with each other; only members that are still in different components afterwards are paired.
+    compared with hubs, not with each other; only members that are still in different components afterwards are paired,
+    and of these only pairs that bitmaps of their sets cannot rule out.
     """
     slim = docs.select("doc_id", F.xxhash64("doc_id", "text").alias("row_key"), F.xxhash64("text").alias("text_key"),
                        shingle_set(F.col("text"), size).alias("shingles"))
@@ -152,12 +155,33 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, band_rows
 
 
 def _sets_of(docs: DataFrame, size: int, wanted: DataFrame) -> DataFrame:
-    """``node, n, shingles`` of the wanted classes, from one row of each."""
+    """``node, n, shingles, bitmap`` of the wanted classes, from one row of each."""
     rows = docs.select(F.xxhash64("doc_id", "text").alias("row_key"), F.col("text").alias("_text"))
-    found = rows.join(wanted.select("row_key", "node", "n", "k1", "k2"), "row_key").select(
-        "node", "n", "k1", "k2", shingle_set(F.col("_text"), size).alias("shingles"))
+    # A hash join builds on the short rows and leaves the texts unsorted. The generator keeps the filter from repeating
+    # the work on the text.
+    found = rows.join(wanted.select("row_key", "node", "n", "k1", "k2").hint("shuffle_hash"), "row_key").select(
+        "node", "n", "k1", "k2", F.explode(F.array(shingle_set(F.col("_text"), size))).alias("shingles"))
     exact = found.where((F.xxhash64("shingles") == F.col("k1")) & (F.xxhash64(F.lit(1), "shingles") == F.col("k2")))
-    return stage(exact.select("node", "n", "shingles").dropDuplicates(["node"]), "near-sets")
+    mapped = exact.select("node", "n", "shingles").mapInArrow(
+        _bitmaps(BITMAP_WORDS), "node bigint, n bigint, shingles array<bigint>, bitmap array<bigint>")
+    sets = stage(mapped, "near-sets")
+    rows_of, nodes = sets.agg(F.count("*"), F.countDistinct("node")).first()
+    return sets if rows_of == nodes else stage(sets.dropDuplicates(["node"]), "near-sets-once")  # repeated rows
+
+
+def _bitmaps(words: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            shingles = batch.column(2)
+            offsets = shingles.offsets.to_numpy().astype(np.int64)
+            values = _mix(shingles.values.to_numpy(zero_copy_only=False)[offsets[0]:offsets[-1]].astype(np.int64).view(np.uint64))
+            owner = np.repeat(np.arange(batch.num_rows), np.diff(offsets))
+            table = np.zeros((batch.num_rows, words), dtype=np.uint64)
+            np.bitwise_or.at(table, (owner, (values % np.uint64(words)).astype(np.int64)), np.uint64(1) << (values >> np.uint64(58)))
+            lists = pa.ListArray.from_arrays(pa.array(np.arange(0, table.size + 1, words, dtype=np.int32)), pa.array(table.view(np.int64).ravel()))
+            yield pa.RecordBatch.from_arrays([*batch.columns, lists], names=["node", "n", "shingles", "bitmap"])
+
+    return run
 
 
 def _linked(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -177,7 +201,7 @@ def _linked(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             if not pairs:
                 return roots
             if turn == HUB_ROUNDS or pairs <= FEW_PAIRS * entries:
-                last = _verified(_all_pairs(pending, percent), sets, percent)
+                last = _verified(_all_pairs(pending, sets, percent), sets, percent)
                 return stage(connected_components(links.unionByName(last)), "near-roots")
         fresh = _verified(_hub_pairs(pending, percent, HUBS if turn else 1, turn), sets, percent)
         links = fresh if links is None else links.unionByName(fresh)
@@ -202,13 +226,24 @@ def _hub_pairs(members: DataFrame, percent: int, hubs: int, turn: int) -> DataFr
         F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct()
 
 
-def _all_pairs(members: DataFrame, percent: int) -> DataFrame:
-    """All pairs of a bucket that lie in different components and do not differ too much in size."""
-    left = members.select("bucket", F.col("node").alias("a"), F.col("n").alias("na"), F.col("root").alias("ra"))
-    right = members.select("bucket", F.col("node").alias("b"), F.col("n").alias("nb"), F.col("root").alias("rb"))
+def _all_pairs(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """All pairs of a bucket that lie in different components and may be similar, by their sizes and bitmaps.
+
+    Bits in which two bitmaps differ stand for at least as many elements in which the sets differ; so a pair with too
+    many of them is not similar, and never leaves the join. One side has no members of the bucket's largest component,
+    which is never paired with itself.
+    """
+    counts = members.groupBy("bucket", "root").agg(F.count("*").alias("c"))
+    largest = counts.groupBy("bucket").agg(F.max_by("root", F.struct("c", "root")).alias("main"))
+    mapped = stage(members.join(sets.select("node", "bitmap"), "node").join(largest, "bucket"), "near-mapped")
+    left = mapped.where("root <> main").select("bucket", F.col("node").alias("a"), F.col("n").alias("na"), F.col("root").alias("ra"), F.col("bitmap").alias("ma"))
+    right = mapped.select("bucket", F.col("node").alias("b"), F.col("n").alias("nb"), F.col("root").alias("rb"), F.col("bitmap").alias("mb"),
+                          (F.col("root") == F.col("main")).alias("in_main"))
+    differing = sum(F.bit_count(F.get("ma", F.lit(i)).bitwiseXOR(F.get("mb", F.lit(i)))) for i in range(BITMAP_WORDS))
+    total = F.col("na") + F.col("nb")
     return left.join(right, "bucket").where(
-        (F.col("a") < F.col("b")) & (F.col("ra") != F.col("rb")) & _near_in_size(F.col("na"), F.col("nb"), percent)
-    ).select("a", "b").distinct()
+        (F.col("in_main") | (F.col("a") < F.col("b"))) & (F.col("ra") != F.col("rb")) & _near_in_size(F.col("na"), F.col("nb"), percent)
+        & ((total - differing) * (100 + percent) >= total * (2 * percent))).select("a", "b").distinct()
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
