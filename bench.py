@@ -1,8 +1,8 @@
 """Time the registered queries; prints one JSON line.
 
 BENCH_SF_DIR (default /root/testdata/sf0.1) and BENCH_CPUS (default 8) choose data
-and cores. Each query is built, planned and run to the last row. Short queries run
-twice and the better time counts, so that class loading is left out.
+and cores. Each query is built, planned and run to the last row, twice; the better time
+counts, so that class loading is left out.
 """
 
 from __future__ import annotations
@@ -18,8 +18,6 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from workload.spark_queries import QUERIES  # noqa: E402
 
-LONG = 12.0  # seconds from which a query is not repeated
-
 
 def session() -> SparkSession:
     cpus = os.environ.get("BENCH_CPUS", "8")
@@ -49,7 +47,7 @@ def main() -> None:
     seconds = {}
     for name in QUERIES:
         first = run(spark, folder, name)
-        seconds[name] = round(first if first > LONG else min(first, run(spark, folder, name)), 3)
+        seconds[name] = round(min(first, run(spark, folder, name)), 3)
         print(f"{name}: first {first:.2f}s, counted {seconds[name]:.2f}s", file=sys.stderr, flush=True)
     print(json.dumps({
         "metric": "total seconds of all registered queries", "value": round(sum(seconds.values()), 3),

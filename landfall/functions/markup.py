@@ -25,15 +25,15 @@ from landfall.functions.binding import EDGE_SPACE, bind, let_sql, quote
 # Attribute part of a tag. Quotes only count after "=", so that a stray
 # apostrophe cannot swallow the page; possessive loops do not use the stack.
 _ATTRIBUTES = r"""(?:[^>=]++|=\s*+"[^"]*+"|=\s*+'[^']*+'|=)*+"""
-# Comments, scripts and styles are taken whole: tags inside them are text.
-_OPAQUE = rf"<!--.*?-->|<(?:script(?=[\s/>]){_ATTRIBUTES}>.*?</script|style(?=[\s/>]){_ATTRIBUTES}>.*?</style)\s*+>"
+# Comments, scripts and styles are taken whole: tags inside them are text. Without an end they reach to the end of the page.
+_OPAQUE = rf"<!--.*?-->|<(?:script(?=[\s/>]){_ATTRIBUTES}>.*?(?:</script\s*+>|\z)|style(?=[\s/>]){_ATTRIBUTES}>.*?(?:</style\s*+>|\z))"
 # Any tag with "<" in a quoted value, taken whole as well: the value may look like a tag.
 _QUOTING = (r"""<[a-z](?:[^>=]++|=\s*+"[^"<]*+"|=\s*+'[^'<]*+'|=(?!\s*+["']))*+=\s*+(?:"[^"]*+"|'[^']*+')"""
             rf"{_ATTRIBUTES}>")
 ANY_TAG = rf"(?is){_OPAQUE}|</?[a-z]{_ATTRIBUTES}>"
 # One name=value pair of a tag, starting at an attribute boundary.
 _PAIR = r"""(?s)(?<=[\s"'/])[^\s"'<>/=]++\s*+=\s*+(?:"[^"]*+"|'[^']*+'|[^\s"'>][^\s>]*+)"""
-_REFERENCE = r"&(?:#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[a-zA-Z][a-zA-Z0-9]{1,31});"
+_REFERENCE = r"&(?:#0*[0-9]{1,7}|#[xX]0*[0-9a-fA-F]{1,6}|[a-zA-Z][a-zA-Z0-9]{1,31});"
 _ENTITIES = ",".join(f"{name}:{code}" for name, code in {**name2codepoint, "apos": 39}.items())
 
 # Elements that never have content.
@@ -97,8 +97,8 @@ def sql_has_class(tag: str, name: str) -> str:
 
 
 def _sql_cut(html: str, pattern: str, hit: Callable[[str, str], str],
-             use: Callable[[str, str, str], str], only_first: bool = False) -> str:
-    """Find the outermost subtrees whose opening tag satisfies ``hit(name, tag)``.
+             use: Callable[[str, str, str], str], only_first: bool = False, nested: bool = False) -> str:
+    """Find the outermost (or, ``nested``, all) subtrees whose opening tag satisfies ``hit(name, tag)``.
 
     ``use(page, pieces, spans)`` gets the page, the alternating array run, tag,
     run, ... and the spans as tag numbers (1-based, opening and closing tag). Tag
@@ -134,9 +134,30 @@ def _sql_cut(html: str, pattern: str, hit: Callable[[str, str], str],
     )
     finish = f"IF(s.depth > 0, {and_span('s.first', 's.at + 1')}, s.spans)"
 
+    def outermost(described: str) -> str:
+        return f"aggregate({described}, {start}, (s, tag) -> {advance}, s -> {finish})"
+
+    def every(described: str) -> str:
+        """All spans in order of their opening tags: those that open inside another are closed on their own."""
+        def close(at: str) -> str:
+            # From this opening tag on: how far until its own depth is back to 0.
+            rest = f"slice({described}, {at}, size({described}))"
+            begin = f"named_struct('depth', 0, 'last', 0, 'at', {at} - 1, 'name', element_at({described}, {at}).name)"
+            step = ("IF(s.last > 0 OR tag.name <> s.name, named_struct('depth', s.depth, 'last', s.last, 'at', s.at + 1, 'name', s.name),"
+                    " named_struct('depth', s.depth + tag.step, 'last', IF(s.depth + tag.step <= 0, s.at + 1, 0), 'at', s.at + 1,"
+                    " 'name', s.name))")
+            return f"aggregate({rest}, {begin}, (s, tag) -> {step}, s -> named_struct('first', {at}, 'last', IF(s.last > 0, s.last, s.at + 1)))"
+
+        hits = f"filter(sequence(1, size({described})), n -> element_at({described}, n).hit)"
+        plain = bind(outermost(described), lambda outer: bind(
+            f"size(filter({described}, t -> t.hit))", lambda many: (
+                f"IF({many} = size({outer}), {outer}, transform({hits}, n -> {close('n')}))")))
+        return f"IF(size({described}) = 0, CAST(array() AS ARRAY<STRUCT<first: INT, last: INT>>), {plain})"
+
     def scan(page: str, pieces: str) -> str:
         tags = f"filter({pieces}, (piece, n) -> n % 2 = 1)"
-        spans = f"aggregate(transform({tags}, t -> {describe('t')}), {start}, (s, tag) -> {advance}, s -> {finish})"
+        described = f"transform({tags}, t -> {describe('t')})"
+        spans = bind(described, every) if nested else outermost(described)
         return bind(spans, lambda found: use(page, pieces, found))
 
     return bind(html, lambda page: bind(_sql_pieces(page, pattern), lambda pieces: scan(page, pieces)))
@@ -188,9 +209,9 @@ def sql_first_subtree(html: str, element: str, css_class: str) -> str:
                     + bind(f"get({spans}, 0)", lambda span: _sql_inside(pieces, span)) + ", NULL)", only_first=True)
 
 
-def sql_subtrees(html: str, element: str, css_class: str) -> str:
+def sql_subtrees(html: str, element: str, css_class: str, nested: bool = False) -> str:
     return _sql_cut(html, boundary(element), _sql_is(element, css_class),
-                    lambda page, pieces, spans: f"transform({spans}, span -> {_sql_inside(pieces, 'span')})")
+                    lambda page, pieces, spans: f"transform({spans}, span -> {_sql_inside(pieces, 'span')})", nested=nested)
 
 
 def sql_body_of(html: str) -> str:
@@ -212,9 +233,15 @@ def sql_strip(text: str) -> str:
     return f"regexp_replace({text}, {quote(EDGE_SPACE)}, '')"
 
 
+def sql_all_text(html: str) -> str:
+    """All text of a fragment, one blank where markup separated it, untrimmed."""
+    markup = rf"(?:<!--.*?-->|</?[a-z!]{_ATTRIBUTES}>)++"
+    edges, inner = quote(rf"(?is)\A{markup}|{markup}\z"), quote(rf"(?is){markup}")
+    return sql_decode_entities(f"regexp_replace(regexp_replace({html}, {edges}, ''), {inner}, ' ')")
+
+
 def sql_text_nodes(html: str) -> str:
-    markup = quote(rf"(?is)(?:<!--.*?-->|</?[a-z!]{_ATTRIBUTES}>)++")
-    return sql_strip(sql_decode_entities(f"regexp_replace({html}, {markup}, ' ')"))
+    return sql_strip(sql_all_text(html))
 
 
 def sql_leading_text(inner: str) -> str:
@@ -251,9 +278,9 @@ def first_subtree(html: Column, element: str, css_class: str) -> Column:
     return let_sql(html, lambda h: sql_first_subtree(h, element, css_class))
 
 
-def subtrees(html: Column, element: str, css_class: str) -> Column:
-    """Markup inside every outermost ``element`` with the class, in page order."""
-    return let_sql(html, lambda h: sql_subtrees(h, element, css_class))
+def subtrees(html: Column, element: str, css_class: str, nested: bool = False) -> Column:
+    """Markup inside every outermost (or, ``nested``, every) ``element`` with the class, in page order."""
+    return let_sql(html, lambda h: sql_subtrees(h, element, css_class, nested))
 
 
 def body_of(html: Column) -> Column:

@@ -17,8 +17,10 @@ DOWNLOAD_ENDINGS = r"(?i)^[^?]*\.(?:pdf|doc|docx|rtf)(?:\?|\z)"
 
 def _sql_content_chars(html: str) -> str:
     containers = markup.sql_subtrees(html, CONTENT_ELEMENT, CONTENT_CLASS)
-    texts = f"transform({containers}, part -> {markup.sql_text_nodes('part')})"
-    return f"length(array_join(filter({texts}, t -> t <> ''), ' '))"
+    # Texts of all containers are joined as they are and trimmed once.
+    texts = f"transform({containers}, part -> {markup.sql_all_text('part')})"
+    joined = f"array_join(filter({texts}, t -> t <> ''), ' ')"
+    return f"length({markup.sql_strip(joined)})"
 
 
 def _sql_download_link(html: str) -> str:

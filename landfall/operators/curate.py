@@ -9,6 +9,7 @@ from landfall.functions import cleaning, content, identity
 from landfall.functions.binding import let
 from landfall.operators.sequence import compute_once
 from landfall.sources.schemas import RECORD_COLUMNS
+from landfall.sources.staging import small_side
 
 MISSING_OBJECT = "missing object: "
 
@@ -31,14 +32,13 @@ def load_objects(slice_: DataFrame, objects: DataFrame) -> tuple[DataFrame, Data
     """(records with their bytes, records whose object is missing).
 
     Objects are partitioned by the label inside the key; joining on it as well
-    lets the scan skip other labels. The inner join leaves the planner free to
-    broadcast a small slice to the bytes; missing keys are found from the key
-    column alone.
+    lets the scan skip other labels. The slice is the small side of the join with
+    the bytes; missing keys are found from the key column alone.
     """
     labelled = slice_.withColumn("_label", identity.label_of_key(F.col("storage_path")))
     stored = objects.withColumnRenamed("partition_date", "_label")
     keys = ["_label", "storage_path"]
-    loaded = stored.select(*keys, "data").join(labelled, keys).drop("_label")
+    loaded = stored.select(*keys, "data").join(small_side(labelled), keys).drop("_label")
     missing = labelled.join(stored.select(*keys), keys, "left_anti").drop("_label")
     return loaded, missing
 

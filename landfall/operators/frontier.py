@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import date
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from landfall.functions import periods
@@ -18,6 +18,8 @@ SOURCES = (
     ("employment_appeals_tribunal", 2, "Employment Appeals Tribunal"),
 )
 RESULTS_PER_PAGE = 10
+# Pages that one generated array holds at most.
+PAGE_RUN = 1000
 
 
 def tile_windows(spans: DataFrame, start: Column, end: Column, size: Column | str) -> DataFrame:
@@ -92,9 +94,12 @@ def work_frontier(sources: DataFrame, start: Column, end: Column, size: Column |
 
 def expected_pages(found: DataFrame, total: Column) -> DataFrame:
     """Listing pages 2..n still to be captured for each row; none for up to one page."""
-    last = F.ceil(total / F.lit(RESULTS_PER_PAGE)).cast("int")
-    pages = F.when(last >= 2, F.sequence(F.lit(2), last))
-    return found.select("*", F.explode(pages).alias("page"))
+    # Two generators: runs of pages, then the pages of a run, so that a large announced total makes no long array.
+    last = F.ceil(total / F.lit(RESULTS_PER_PAGE)).cast("bigint")
+    runs = F.when(last >= 2, F.sequence(F.lit(2).cast("bigint"), last, F.lit(PAGE_RUN).cast("bigint")))
+    begun = found.select("*", last.alias("_last"), F.explode(runs).alias("_first"))
+    pages = F.sequence("_first", F.least("_last", F.col("_first") + (PAGE_RUN - 1)))
+    return begun.select("*", F.explode(pages).alias("page")).drop("_first", "_last")
 
 
 def listing_gaps(expected: DataFrame, captured: DataFrame) -> DataFrame:
@@ -103,13 +108,19 @@ def listing_gaps(expected: DataFrame, captured: DataFrame) -> DataFrame:
     return expected.join(captured.select(*keys).distinct(), keys, "left_anti")
 
 
-def capped_batch(batch: DataFrame, limit: int | None, order: str = "fetch_seq") -> DataFrame:
-    """The first ``limit`` rows by ``order``; 0 or none means all.
+def capped_batch(batch: DataFrame, limit: int | None, order: str = "fetch_seq", url: str = "document_url") -> DataFrame:
+    """The first ``limit`` rows by ``order`` (null last), ties by ``url``; 0 or none means all.
 
-    Only the order column goes through the top-n; the rows themselves are
-    filtered where they are.
+    Only these two columns go through the top-n; its last row is the bound that the rows themselves are compared
+    with where they are. Of rows equal in both, which one is taken does not matter, and only as many as fit are.
     """
     if not limit:
         return batch
-    cutoff = batch.select(order).orderBy(order).limit(limit).agg(F.max(order))
-    return batch.filter(F.col(order) <= cutoff.scalar())
+    names = [name for name in (order, url) if name in batch.columns]
+    key = F.struct(*[part for name in names for part in (F.col(name).isNull(), F.col(name))])
+    top = batch.select(key.alias("_key")).orderBy("_key").limit(limit)
+    bound = top.agg(F.max("_key").alias("bound")).select("bound").scalar()
+    equal = top.groupBy("_key").agg(F.count("*").alias("n")).orderBy(F.desc("_key")).limit(1).agg(F.max("n")).scalar()
+    below = batch.filter(key < bound)
+    return below.unionByName(batch.filter(key == bound).limit(limit).withColumn("_n", F.row_number().over(
+        Window.orderBy(F.lit(1)))).filter(F.col("_n") <= equal).drop("_n"))

@@ -16,11 +16,10 @@ from landfall.operators.curate import range_slice
 from landfall.operators.listing import failure_reason, http_status, page_base
 from landfall.operators.sequence import compute_once, first_by, latest_by, previous_value
 from landfall.sources.schemas import RECORD_COLUMNS
+from landfall.sources.staging import small_side, stage
 
 EMPTY_BODY = "empty document body"
 NOT_CAPTURED = "document not captured"
-# Largest table of objects to write, in bytes, that is broadcast to the document bytes.
-BROADCAST_BYTES = 128 << 20
 
 
 def digest(fetches: DataFrame) -> DataFrame:
@@ -41,6 +40,18 @@ def digest(fetches: DataFrame) -> DataFrame:
     return read.select("fetch_seq", "url", "document_type", "measured.*", "follow_url")
 
 
+def captures_of(fetches: DataFrame, wanted: DataFrame) -> DataFrame:
+    """Digest of the first capture of each ``url`` in ``wanted``; documents of other captures are not read.
+
+    Which captures these are is decided on the numbers and URLs alone. Their numbers are the small side of the join
+    with the bytes (see :func:`landfall.sources.staging.small_side`), so bytes are never sorted.
+    """
+    key = urls.same_request_key(F.col("url")).alias("_key")
+    firsts = fetches.select(key, "fetch_seq").groupBy("_key").agg(F.min("fetch_seq").alias("fetch_seq"))
+    chosen = stage(firsts.join(wanted.select(key).distinct(), "_key", "left_semi").select("fetch_seq"), "chosen")
+    return digest(fetches.join(small_side(chosen), "fetch_seq", "left_semi"))
+
+
 def measure(doc_type: Column) -> Column:
     """Struct of canonical length and hash, failure reason and HTTP status of a fetch."""
     failure = failure_reason(F.col("status"), F.col("error"))
@@ -68,13 +79,14 @@ def skip_known(batch: DataFrame, known: DataFrame) -> tuple[DataFrame, DataFrame
     return batch.join(keys, "identifier", "left_anti"), batch.join(keys, "identifier", "left_semi")
 
 
-def attach_captures(requests: DataFrame, captures: DataFrame) -> DataFrame:
+def attach_captures(requests: DataFrame, captures: DataFrame, seen: DataFrame | None = None) -> DataFrame:
     """Give each requested document the digest of its capture, following stubs one hop.
 
     ``requests`` are distinct by URL (``url_once``); of several captures of a URL
     the first counts. Stubs pointing to one file, or to a file that is requested
     anyway, fetch it once: the remaining stubs are dropped. Both joins are
-    therefore one-to-one, whatever the share of a single link.
+    therefore one-to-one, whatever the share of a single link. ``seen`` holds all
+    requests of the run, skipped ones included, if these are not all of them.
     """
     key = urls.same_request_key
     by_url = first_by(captures, key(F.col("url")), "fetch_seq").select(
@@ -90,7 +102,8 @@ def attach_captures(requests: DataFrame, captures: DataFrame) -> DataFrame:
         "source_url": F.col("document_url"), "document_url": F.col("follow_url"),
         "document_type": identity.document_type(F.col("follow_url"))}).drop("follow_url")
     hop = url_once(hop).withColumn("_key", key(F.col("document_url")))
-    hop = hop.join(asked.select("_key"), "_key", "left_anti")
+    requested = requests if seen is None else seen
+    hop = hop.join(requested.select(key(F.col("document_url")).alias("_key")), "_key", "left_anti")
     followed = hop.join(by_url.drop("follow_url"), "_key", "left").drop("_key")
 
     missing = F.col("payload_seq").isNull()
@@ -138,23 +151,16 @@ def new_objects(named: DataFrame, existing_keys: DataFrame) -> DataFrame:
         existing_keys.select("storage_path"), "storage_path", "left_anti")
 
 
-def weight(objects: DataFrame) -> int:
-    """Approximate size in bytes of a (staged) table of objects to write."""
-    return objects.agg(F.coalesce(F.sum(F.octet_length("storage_path") + 100), F.lit(0))).first()[0]
-
-
-def attach_bytes(objects: DataFrame, fetches: DataFrame, weight_bytes: int | None = None) -> DataFrame:
-    """Join the canonical bytes to the objects that are written.
+def attach_bytes(objects: DataFrame, fetches: DataFrame) -> DataFrame:
+    """Join the canonical bytes to the (staged) objects that are written.
 
-    Each object has its own fetch, so the join is one-to-one. When the objects
-    are measured to be few, they are broadcast and the bytes stay where they are
-    read. Otherwise the join is by the unique fetch number: fetches stored in
-    buckets (``captures.save_fetches``) stay in place again, others are shuffled once.
+    Each object has its own fetch, so the join is one-to-one. Few objects are
+    broadcast and the bytes stay where they are read. Otherwise the join is by the
+    unique fetch number: fetches stored in buckets (``captures.save_fetches``) stay
+    in place again, others are shuffled once, unsorted.
     """
-    if weight_bytes is not None and weight_bytes <= BROADCAST_BYTES:
-        objects = F.broadcast(objects)
     payload = fetches.select(F.col("fetch_seq").alias("payload_seq"), "data")
-    joined = payload.join(objects.drop("fetch_seq"), "payload_seq")
+    joined = payload.join(small_side(objects.drop("fetch_seq")), "payload_seq")
     return joined.select(
         "storage_path", content.canonical_bytes(F.col("document_type"), F.col("data")).alias("data"),
         identity.content_type(F.col("document_type")).alias("content_type"), "partition_date")

@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from landfall.functions import identity, markup, periods, urls
 from landfall.functions.binding import bind, blank_to_null, first_present, let_sql, quote, strip_space
+from landfall.operators.sequence import number_rows
+from landfall.sources.staging import stage
 
 # How a listing marks up its rows.
 ROW_ELEMENT, ROW_CLASS = "li", "each-item"
@@ -18,9 +20,6 @@ DATE_ELEMENT, DATE_CLASS = "span", "date"
 RESULT_COUNT = r"(?iU)of\s+([0-9,]+)\s+results"
 NO_LINK = "unparsable listing row (no document link)"
 
-# Rows of a page are numbered within this many slots of the run order.
-ROW_SLOTS_BITS = 20
-
 
 def failure_reason(status: Column, error: Column) -> Column:
     """Why a capture failed, null if it did not: ``HTTP n`` or the error text."""
@@ -45,16 +44,21 @@ def result_count(html: Column) -> Column:
 
 
 def row_markup(html: Column) -> Column:
-    """Markup of every row of a page, in order, broken rows included."""
-    return markup.subtrees(html, ROW_ELEMENT, ROW_CLASS)
+    """Markup of every row of a page, in order, broken rows and rows inside rows included."""
+    return markup.subtrees(html, ROW_ELEMENT, ROW_CLASS, nested=True)
+
 
+def found_counts(pages: DataFrame, rows: DataFrame) -> DataFrame:
+    """Announced total per first page; without an announcement, its number of rows.
 
-def found_counts(pages: DataFrame) -> DataFrame:
-    """Announced total per first page; without an announcement, its number of rows."""
+    ``rows`` are the pages' entries (:func:`listing_rows`), so no page is cut into rows a second time.
+    """
     first = captured(pages).filter(F.col("page") == 1)
-    return first.select("body_key", F.col("partition_label").alias("partition_date"),
-                        F.coalesce(result_count(F.col("html")), F.size(row_markup(F.col("html"))).cast("bigint"))
-                        .alias("found"))
+    counts = rows.groupBy("page_seq").agg(F.count("*").alias("_rows"))
+    announced = first.select("page_seq", "body_key", F.col("partition_label").alias("partition_date"),
+                             result_count(F.col("html")).alias("_announced"))
+    return announced.join(counts, "page_seq", "left").select(
+        "body_key", "partition_date", F.coalesce("_announced", "_rows", F.lit(0)).cast("bigint").alias("found"))
 
 
 def page_base(url: Column, html: Column) -> Column:
@@ -79,7 +83,7 @@ def _sql_text(row: str, element: str, css_class: str) -> str:
 
 def _sql_entry(row: str) -> str:
     """Everything read from a row, as a struct."""
-    def build(title: str) -> str:
+    def fields(title: str) -> str:
         anchor = quote(r"(?is)<a(?=[\s>]).*?</a\s*+>")
         edges = quote(r"(?is)\A<a[^>]*+>|</a\s*+>\z")
         title_text = markup.sql_leading_text(f"regexp_replace(regexp_extract({title}, {anchor}, 0), {edges}, '')")
@@ -94,19 +98,21 @@ def _sql_entry(row: str) -> str:
             f" 'date_text', {_sql_text(row, DATE_ELEMENT, DATE_CLASS)})"
         )
 
-    return bind(markup.sql_first_subtree(row, TITLE_ELEMENT, TITLE_CLASS), build)
+    # A row may have several titles: the first link of any of them counts.
+    return bind(f"array_join({markup.sql_subtrees(row, TITLE_ELEMENT, TITLE_CLASS)}, '')", fields)
 
 
 def _entries(html: Column) -> Column:
     return let_sql(html, lambda page: (
-        f"transform({markup.sql_subtrees(page, ROW_ELEMENT, ROW_CLASS)}, row -> {_sql_entry('row')})"))
+        f"transform({markup.sql_subtrees(page, ROW_ELEMENT, ROW_CLASS, nested=True)}, row -> {_sql_entry('row')})"))
 
 
 def listing_rows(pages: DataFrame) -> DataFrame:
     """One row per listing entry with everything read from it.
 
-    ``fetch_seq`` orders entries by page and position. ``link`` is null for an
-    entry without a document link; its other fields are then not to be used.
+    ``fetch_seq`` numbers all entries by page and position, from 0. ``link`` is null for an
+    entry without a document link; its other fields are then not to be used. Entries are
+    staged: pages are read once, however often the result is used.
     """
     # Entries are read inside the generator: a filter on them cannot be moved below it, where it would
     # read every row a second time.
@@ -114,12 +120,10 @@ def listing_rows(pages: DataFrame) -> DataFrame:
         "page_seq", "body_key", "body_id", "body_name", F.col("partition_label").alias("partition_date"),
         F.col("url").alias("listing_url"), page_base(F.col("url"), F.col("html")).alias("base_url"),
         F.posexplode(_entries(F.col("html"))).alias("row_pos", "entry"))
-    slots = 1 << ROW_SLOTS_BITS
-    seq = F.when(F.col("row_pos") < slots, F.col("page_seq") * slots + F.col("row_pos")).otherwise(
-        F.raise_error(F.lit(f"listing page with more than {slots} rows")))
-    read = exploded.select(
-        "body_key", "body_id", "body_name", "partition_date", "listing_url", "base_url", "row_pos",
-        seq.alias("fetch_seq"), "entry.link", "entry.title_text", "entry.reference", "entry.description_text",
+    numbered = number_rows(stage(exploded, "listing-entries"), "page_seq", "row_pos", "fetch_seq")
+    read = numbered.select(
+        "page_seq", "body_key", "body_id", "body_name", "partition_date", "listing_url", "base_url", "row_pos",
+        "fetch_seq", "entry.link", "entry.title_text", "entry.reference", "entry.description_text",
         periods.site_date(F.col("entry.date_text")).alias("published_date"))
     return read.withColumn("document_url", urls.resolve(F.col("base_url"), F.col("link"))).drop("base_url")
 

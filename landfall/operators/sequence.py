@@ -53,6 +53,24 @@ def previous_value(rows: DataFrame, key: str, order: str, value: str, output: st
     )
 
 
+def number_rows(rows: DataFrame, group: str, position: str, output: str) -> DataFrame:
+    """Add ``output``: the number of each row, from 0, in the order of an integer ``group`` and ``position`` within it.
+
+    Positions of a group run from 0 without gaps. Group sizes are summed up in blocks of the group number, blocks
+    in a window that sees one row per block, so nothing is packed into a limited number of digits and no window
+    sees the rows themselves. ``rows`` is read twice: pass a staged table.
+    """
+    sizes = rows.groupBy(group).agg(F.count("*").alias("_size")).withColumn("_block", blocks(group, BLOCK_SPAN))
+    ahead = (Window.unboundedPreceding, -1)
+    inside = F.sum("_size").over(Window.partitionBy("_block").orderBy(group).rowsBetween(*ahead))
+    totals = sizes.groupBy("_block").agg(F.sum("_size").alias("_total"))
+    before = totals.select("_block", F.sum("_total").over(Window.orderBy("_block").rowsBetween(*ahead)).alias("_before"))
+    none = F.lit(0).cast("bigint")
+    starts = sizes.withColumn("_inside", inside).join(before, "_block").select(
+        group, (F.coalesce("_inside", none) + F.coalesce("_before", none)).alias("_start"))
+    return rows.join(starts, group).withColumn(output, F.col("_start") + F.col(position)).drop("_start")
+
+
 def compute_once(rows: DataFrame, **columns: Column) -> DataFrame:
     """Add columns whose expressions are evaluated exactly once per row.
 

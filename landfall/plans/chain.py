@@ -13,7 +13,7 @@ from landfall.sources.zones import CuratedZone, LandingZone
 
 def ingest_and_curate(listings: DataFrame, fetches: DataFrame, landing: LandingZone, curated: CuratedZone,
                       start: date, end: date, *, run_id: str, run_seq: int,
-                      recheck: bool = False) -> tuple[DataFrame, DataFrame]:
+                      recheck: bool = False, limit: int | None = None) -> tuple[DataFrame, DataFrame]:
     """(reconciliation, curation summary). Curation runs only after ingest succeeded."""
-    reconciliation = ingest(listings, fetches, landing, run_id=run_id, run_seq=run_seq, recheck=recheck)
+    reconciliation = ingest(listings, fetches, landing, run_id=run_id, run_seq=run_seq, recheck=recheck, limit=limit)
     return reconciliation, curate_range(landing, curated, start, end, run_seq=run_seq)

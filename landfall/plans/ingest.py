@@ -5,25 +5,26 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from landfall.operators import landing, listing, reconcile
-from landfall.operators.sequence import BLOCK_SPAN, blocks
+from landfall.operators import frontier, landing, listing, reconcile
 from landfall.sources.staging import stage
 from landfall.sources.zones import LandingZone
 
 
 def land(decided: DataFrame, fetches: DataFrame, zone: LandingZone, run_id: str, run_seq: int,
-         recheck: bool, block=None) -> DataFrame:
+         recheck: bool, known: DataFrame | None = None) -> DataFrame:
     """Classify documents, append objects and records; returns the classified rows.
 
+    ``known`` are the hashes landed before, if it is not the zone's log that has them.
+
     Objects are written before records, so a record never points to bytes that
     are not there. Classification sees earlier runs only and a retry replaces
     what the run wrote before, so retrying is harmless.
     """
-    classified = landing.classify(decided, zone.hashes(before=run_seq), recheck, block)
+    classified = landing.classify(decided, zone.hashes(before=run_seq) if known is None else known, recheck)
     named = stage(landing.name_objects(classified), "classified")
-    stored_before = zone.objects_for(named, before=run_seq).select("storage_path")
+    stored_before = zone.objects_for(landing.stored(named), before=run_seq).select("storage_path")
     objects = stage(landing.new_objects(named, stored_before), "new-objects")
-    zone.write_run("objects", landing.attach_bytes(objects, fetches, landing.weight(objects)), run_seq)
+    zone.write_run("objects", landing.attach_bytes(objects, fetches), run_seq)
     # Dates close together share row groups, which a date slice can then skip.
     records = landing.build_records(named, run_id, run_seq).sortWithinPartitions("published_date")
     zone.write_run("records", records, run_seq)
@@ -31,24 +32,30 @@ def land(decided: DataFrame, fetches: DataFrame, zone: LandingZone, run_id: str,
 
 
 def ingest(listings: DataFrame, fetches: DataFrame, zone: LandingZone, *, run_id: str, run_seq: int,
-           recheck: bool = False) -> DataFrame:
+           recheck: bool = False, limit: int | None = None) -> DataFrame:
     """One run over captured listing pages and documents; returns its reconciliation.
 
     A run has a number, higher than those of earlier runs; repeating a run under
-    its number replaces it.
+    its number replaces it. A number belongs to the ``run_id`` that used it first.
+    ``limit`` is the number of documents requested at most (none or 0: all). Without
+    ``recheck``, documents with a known identifier are skipped before anything of
+    them but the URL is read.
     """
+    run_seq = zone.claim(run_id, run_seq)
     rows = stage(listing.listing_rows(listings), "listing-rows")
-    requests = stage(landing.url_once(listing.candidates(rows)), "requests")
+    requests = stage(frontier.capped_batch(landing.url_once(listing.candidates(rows)), limit), "requests")
     known = zone.read("records", before=run_seq).select("identifier")
     if recheck:
         wanted, skipped = requests, requests.filter(F.lit(False))
     else:
-        wanted, skipped = landing.skip_known(requests, known)
-    captures = stage(landing.digest(fetches), "captures")
-    decided = stage(landing.attach_captures(wanted, captures), "decided")
-    # Listing rows are numbered with room for many rows per page: see listing_rows.
-    block = blocks("fetch_seq", BLOCK_SPAN << (listing.ROW_SLOTS_BITS - 3))
-    named = land(decided, fetches, zone, run_id, run_seq, recheck, block)
+        wanted, skipped = (stage(part, "split") for part in landing.skip_known(requests, known))
+    direct = stage(landing.captures_of(fetches, wanted.select(F.col("document_url").alias("url"))), "captures")
+    stubs = direct.filter(F.col("follow_url").isNotNull()).select(F.col("follow_url").alias("url"))
+    followed = stage(landing.captures_of(fetches, stubs), "followed")
+    decided = stage(landing.attach_captures(wanted, direct.unionByName(followed), seen=requests), "decided")
+    # Whatever is known has been skipped, so nothing that landed before can matter.
+    nothing = None if recheck else decided.select("identifier", "file_hash").filter(F.lit(False))
+    named = land(decided, fetches, zone, run_id, run_seq, recheck, nothing)
 
     columns = ["fetch_seq", "identifier", *reconcile.UNIT, "outcome"]
     outcomes = named.select(*columns).unionByName(
@@ -56,7 +63,7 @@ def ingest(listings: DataFrame, fetches: DataFrame, zone: LandingZone, *, run_id
     failures = (
         listing.listing_failures(listings).unionByName(listing.row_failures(rows))
         .unionByName(reconcile.document_failures(named)))
-    zone.write_run("found", listing.found_counts(listings), run_seq)
+    zone.write_run("found", listing.found_counts(listings, rows), run_seq)
     zone.write_run("outcomes", outcomes, run_seq)
     zone.write_run("failures", failures, run_seq)
     return report(zone, run_seq)

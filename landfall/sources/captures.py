@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from landfall.sources import schemas
+from landfall.sources.staging import small_side, stage
 
 
 def read_fetches(spark: SparkSession, path: str) -> DataFrame:
@@ -31,11 +34,16 @@ def read_listing_pages(spark: SparkSession, path: str) -> DataFrame:
 def fetches_from_files(spark: SparkSession, folder: str, manifest: DataFrame) -> DataFrame:
     """Document captures stored one file each below ``folder``.
 
-    ``manifest`` has ``file_name, fetch_seq, url, status, error``; a row whose
-    file is missing keeps its status or error and has no data.
+    ``manifest`` has ``file_name`` (the path below ``folder``), ``fetch_seq, url, status, error``; a row whose file is
+    missing keeps its status or error and has no data. Files of one name in different folders are different files.
     """
-    files = (
-        spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder)
-        .select(F.element_at(F.split("path", "/"), -1).alias("file_name"), F.col("content").alias("data"))
-    )
-    return manifest.join(files, "file_name", "left").select("fetch_seq", "url", "status", "error", "data")
+    root = re.sub(r"^[a-zA-Z][a-zA-Z0-9+.-]*:(//[^/]*)?", "", folder).strip("/")
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder)
+    path = F.regexp_replace("path", r"^[a-zA-Z][a-zA-Z0-9+.-]*:(//[^/]*)?/*", "")
+    named = files.withColumn("_path", path).select(
+        F.substring("_path", F.lit(len(root) + 2), F.length("_path")).alias("file_name"), "content")
+    listed = stage(manifest.select("file_name", "fetch_seq", "url", "status", "error"), "manifest")
+    columns = ["fetch_seq", "url", "status", "error"]
+    present = named.join(small_side(listed), "file_name").select(*columns, F.col("content").alias("data"))
+    missing = listed.join(named.select("file_name"), "file_name", "left_anti").select(*columns, F.lit(None).cast("binary").alias("data"))
+    return present.unionByName(missing)

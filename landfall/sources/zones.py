@@ -1,12 +1,15 @@
 """The Parquet tables of a zone: append-only logs, one folder per run.
 
 A run writes its rows below ``table/run_seq=n`` and replaces that folder when it
-is retried, so a run that was killed half-way leaves nothing twice. Current
-state is a view over the log. Readers of a run look at earlier runs only.
+is retried, so a run that was killed half-way leaves nothing twice. A number
+belongs to the run that claimed it first: another one is refused it, so no run
+can replace what another has written. Current state is a view over the log.
+Readers of a run look at earlier runs only.
 """
 
 from __future__ import annotations
 
+import uuid
 from datetime import date
 
 from pyspark.errors import AnalysisException
@@ -17,6 +20,7 @@ from landfall.functions import identity
 from landfall.operators.landing import current_hashes, current_records, current_slice
 from landfall.operators.sequence import latest_by
 from landfall.sources import schemas
+from landfall.sources.staging import small_side, stage
 
 LANDING_TABLES = {
     "records": schemas.LANDING_LOG,
@@ -29,8 +33,8 @@ CURATED_TABLES = {
     "curated": schemas.CURATED_LOG,
     "curation_failures": "identifier STRING, reason STRING, run_seq BIGINT",
 }
-# More labels than this (no calendar of days has as many) and a scan is not narrowed by label.
-MAX_LABELS = 20_000
+# Which run has which number.
+RUNS = "run_seq BIGINT, owner STRING"
 # Tables that are also split by label, so that a date slice reads only its labels.
 _SPLIT_BY = {"objects": "partition_date"}
 
@@ -43,25 +47,63 @@ class Zone:
 
     def read(self, table: str, before: int | None = None) -> DataFrame:
         """A table's rows of all runs, or of the runs before ``before``."""
-        schema = self.tables[table]
+        rows = self._stored(table, self.tables[table])
+        return rows if before is None else rows.filter(F.col("run_seq") < before)
+
+    def _stored(self, table: str, schema: str) -> DataFrame:
         try:
-            rows = self.spark.read.schema(schema).parquet(f"{self.root}/{table}")
+            return self.spark.read.schema(schema).parquet(f"{self.root}/{table}")
         except AnalysisException as error:
             if "PATH_NOT_FOUND" not in str(error):
                 raise
-            rows = self.spark.createDataFrame([], schema)
-        return rows if before is None else rows.filter(F.col("run_seq") < before)
+            return self.spark.createDataFrame([], schema)
+
+    def claim(self, owner: str, run_seq: int | None = None) -> int:
+        """The number of a run: ``run_seq`` if it is free or the owner's already, else an error.
+
+        Without ``run_seq``, the owner's number if it has one, else the next one after all runs. Runs that start at
+        the same moment need numbers of their own choice.
+        """
+        runs = self._stored("runs", RUNS)
+        mine = runs.filter((F.col("owner") == owner) if run_seq is None else (F.col("run_seq") == run_seq)).select(
+            "run_seq", "owner").first()
+        if mine is not None:
+            if mine["owner"] != owner:
+                raise ValueError(f"run {run_seq} belongs to {mine['owner']}, not to {owner}")
+            return mine["run_seq"]
+        if run_seq is None:
+            last = runs.agg(F.max("run_seq")).first()[0]
+            if last is None:  # a zone whose runs claimed nothing
+                last = self.read(next(iter(self.tables))).agg(F.max("run_seq")).first()[0]
+            run_seq = 0 if last is None else last + 1
+        row = self.spark.createDataFrame([(owner,)], "owner STRING")
+        row.coalesce(1).write.mode("overwrite").parquet(f"{self.root}/runs/run_seq={run_seq}")
+        return run_seq
 
     def read_run(self, table: str, run_seq: int) -> DataFrame:
         """A table's rows of one run."""
         return self.read(table).filter(F.col("run_seq") == run_seq)
 
     def write_run(self, table: str, rows: DataFrame, run_seq: int) -> None:
-        """Write (or replace) the rows of one run."""
-        writer = rows.drop("run_seq").write.mode("overwrite").option("partitionOverwriteMode", "static")
+        """Write (or replace) the rows of one run.
+
+        Rows are written to a folder that readers pass over and take their place when they are complete: a write that
+        is killed leaves the earlier rows of the run as they were.
+        """
+        aside = f"{self.root}/{table}/_writing-{uuid.uuid4().hex}"
+        writer = rows.drop("run_seq").write
         if table in _SPLIT_BY:
             writer = writer.partitionBy(_SPLIT_BY[table])
-        writer.parquet(f"{self.root}/{table}/run_seq={run_seq}")
+        writer.parquet(aside)
+        self._publish(aside, f"{self.root}/{table}/run_seq={run_seq}")
+
+    def _publish(self, source: str, target: str) -> None:
+        hadoop = self.spark._jvm.org.apache.hadoop.fs.Path
+        place = hadoop(target)
+        files = place.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        files.delete(place, True)
+        if not files.rename(hadoop(source), place):
+            raise OSError(f"{source} could not be renamed to {target}")
 
 
 class LandingZone(Zone):
@@ -69,11 +111,11 @@ class LandingZone(Zone):
         super().__init__(spark, root, LANDING_TABLES)
 
     def objects_for(self, keys: DataFrame, before: int | None = None) -> DataFrame:
-        """Objects that may have one of the (staged) keys: only folders of their labels are read."""
-        label = identity.label_of_key(F.col("storage_path"))
-        labels = [row[0] for row in keys.select(label.alias("label")).distinct().limit(MAX_LABELS + 1).collect()]
-        objects = self.read("objects", before)
-        return objects if len(labels) > MAX_LABELS else objects.filter(F.col("partition_date").isin(labels))
+        """Objects that may have one of the (staged) keys: folders of other labels are pruned when the join runs."""
+        label = identity.label_of_key(F.col("storage_path")).alias("_label")
+        # The filter tells the planner that the labels are worth pruning by.
+        labels = keys.filter(F.col("storage_path").isNotNull()).select(label).distinct()
+        return self.read("objects", before).join(labels, F.col("partition_date") == F.col("_label"), "left_semi")
 
     def current(self, before: int | None = None) -> DataFrame:
         """The current record of each identifier."""
@@ -107,4 +149,4 @@ class CuratedZone(Zone):
         """``storage_path, data, content_type``: the last bytes written to each key."""
         rows = self.written().select("storage_path", "run_seq", "content_type", "data")
         newest = rows.groupBy("storage_path").agg(F.max("run_seq").alias("run_seq"))
-        return rows.join(newest, ["storage_path", "run_seq"]).drop("run_seq")
+        return rows.join(small_side(stage(newest, "newest")), ["storage_path", "run_seq"]).drop("run_seq")

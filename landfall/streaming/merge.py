@@ -23,20 +23,28 @@ def decide(documents: DataFrame) -> DataFrame:
 def land_documents(documents: DataFrame, zone: LandingZone, *, run_id: str, run_seq: int,
                    recheck: bool = True) -> DataFrame:
     """Land a batch of documents that need no listing (one run)."""
+    run_seq = zone.claim(run_id, run_seq)
     named = land(stage(decide(documents), "decided"), documents, zone, run_id, run_seq, recheck)
-    zone.write_run("outcomes", named.select("fetch_seq", "identifier", "body_key", "partition_date", "outcome"), run_seq)
+    write_outcomes(named, zone, run_seq)
     return named
 
 
+def write_outcomes(named: DataFrame, zone: LandingZone, run_seq: int) -> None:
+    zone.write_run("outcomes", named.select("fetch_seq", "identifier", "body_key", "partition_date", "outcome"), run_seq)
+
+
 def merge_stream(documents: DataFrame, zone: LandingZone, checkpoint: str, *, run_id: str = "stream",
-                 first_run_seq: int = 0, recheck: bool = True) -> StreamingQuery:
+                 recheck: bool = True) -> StreamingQuery:
     """Land a stream of documents; stops once the input that exists is processed.
 
-    The batch number takes the place of the run number. A batch repeated after a
-    failure replaces its own folders, so each document takes effect once.
+    Every batch is a run with the zone's next number, which the zone keeps under the checkpoint and the batch. A
+    batch repeated after a failure finds its number again and replaces its own folders, so each document takes
+    effect once, and runs of others are never touched.
     """
     def merge(batch: DataFrame, batch_id: int) -> None:
-        land_documents(batch, zone, run_id=run_id, run_seq=first_run_seq + batch_id, recheck=recheck)
+        run_seq = zone.claim(f"{run_id} {checkpoint} {batch_id}")
+        named = land(stage(decide(batch), "decided"), batch, zone, run_id, run_seq, recheck)
+        write_outcomes(named, zone, run_seq)
 
     return (
         documents.writeStream.foreachBatch(merge)

@@ -139,7 +139,8 @@ def test_range_reaches_the_scan(spark, tmp_path):
     assert "GreaterThanOrEqual(published_date,2024-01-10), LessThan(published_date,2024-01-31)" in text
 
 
-def test_bucketed_bytes_are_not_shuffled(spark):
+def test_bucketed_bytes_are_not_shuffled(spark, monkeypatch):
+    monkeypatch.setattr("landfall.sources.staging.BROADCAST_BYTES", -1)
     fetches = spark.createDataFrame([(i, f"http://h/{i}", 200, None, bytearray(b"x%d" % i)) for i in range(20)],
                                     schemas.FETCHES)
     save_fetches(fetches, "bucketed_fetches", 4)
@@ -150,7 +151,7 @@ def test_bucketed_bytes_are_not_shuffled(spark):
     try:
         joined = landing.attach_bytes(objects, spark.table("bucketed_fetches"))
         text = plan(joined)
-        assert text.count("Exchange hashpartitioning") == 1 and "Bucketed: true" in text
+        assert text.count("Exchange hashpartitioning") == 1 and "Bucketed: true" in text and "Sort " not in text
         assert sorted(bytes(r.data) for r in joined.collect()) == [b"x%d" % i for i in range(5)]
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
@@ -160,7 +161,7 @@ def test_bucketed_bytes_are_not_shuffled(spark):
 def test_fetches_from_files(spark, tmp_path):
     (tmp_path / "sub").mkdir()
     (tmp_path / "sub" / "a.pdf").write_bytes(b"%PDF \x00\xff")
-    manifest = spark.createDataFrame([("a.pdf", 1, "http://h/a.pdf", 200, None), ("b.pdf", 2, "http://h/b.pdf", 404, None)],
+    manifest = spark.createDataFrame([("sub/a.pdf", 1, "http://h/a.pdf", 200, None), ("b.pdf", 2, "http://h/b.pdf", 404, None)],
                                      "file_name string, fetch_seq bigint, url string, status int, error string")
     rows = fetches_from_files(spark, str(tmp_path), manifest).orderBy("fetch_seq").collect()
     assert [(r.status, None if r.data is None else bytes(r.data)) for r in rows] == [(200, b"%PDF \x00\xff"), (404, None)]
@@ -186,3 +187,25 @@ def test_objects_as_files(spark, tmp_path):
     assert [r.written for r in export_objects(changed, root, overwrite=True).collect()] == [True, True]
     assert sorted(p.name for p in (tmp_path / "objects/s/2024-01").iterdir()) == ["A.html", "B.pdf"]
     assert (tmp_path / "objects/s/2024-01/A.html").read_bytes() == b"two"
+
+
+def test_capped_batch_with_nulls_and_ties(spark):
+    rows = [(None, "a"), (None, "b"), (5, "c"), (5, "b"), (5, "b"), (5, "b"), (1, "z")]
+    batch = spark.createDataFrame(rows, "fetch_seq bigint, document_url string")
+    ordered = sorted(rows, key=lambda r: (r[0] is None, r[0] or 0, r[1]))
+    for limit in range(1, 9):
+        got = sorted((tuple(r) for r in frontier.capped_batch(batch, limit).collect()), key=lambda r: (r[0] is None, r[0] or 0, r[1]))
+        assert got == ordered[:limit]
+
+
+def test_large_totals_make_no_long_array(spark):
+    found = spark.createDataFrame([("a", 25), ("b", 10), ("c", None), ("d", 31000)], "k string, total bigint")
+    got = frontier.expected_pages(found, F.col("total")).groupBy("k").agg(F.count("*"), F.min("page"), F.max("page")).collect()
+    assert sorted(map(tuple, got)) == [("a", 2, 2, 3), ("d", 3099, 2, 3100)]
+
+
+def test_rows_are_numbered_without_gaps(spark):
+    from landfall.operators.sequence import number_rows
+    rows = [(g, p) for g in (3, 0, 2_500_000, 1_000_001, 7) for p in range(g % 5 + 1)]
+    got = number_rows(spark.createDataFrame(rows, "g bigint, p int"), "g", "p", "n").orderBy("g", "p").collect()
+    assert [(r.g, r.p) for r in got] == sorted(rows) and [r.n for r in got] == list(range(len(rows)))

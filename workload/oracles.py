@@ -146,7 +146,7 @@ entries AS (
                regexp_extract_all(html, '<li><a href="[^"]*">([^<]*)', 1) AS texts
         FROM listed WHERE error IS NULL AND NOT refused), unnest(range(1, len(words) + 1)) AS u(pos)),
 rows AS (
-  SELECT *, page_seq * 1048576 + row_pos AS fetch_seq, CASE WHEN body_key <> 'de' THEN word END AS link,
+  SELECT *, row_number() OVER (ORDER BY page_seq, row_pos) - 1 AS fetch_seq, CASE WHEN body_key <> 'de' THEN word END AS link,
          CAST(DATE '2024-01-01' + number AS DATE) AS published_date,
          regexp_extract(url, '^([a-z]+://[^/?#]*)', 1) || word AS document_url
   FROM entries)"""
@@ -288,7 +288,7 @@ totals AS (
   SELECT c_mktsegment AS body_key, {week("o_orderdate")} AS partition_date, count(*) AS found
   FROM orders JOIN customer ON c_custkey = o_custkey GROUP BY ALL),
 fanout AS (
-  SELECT t.*, CAST(u.page AS INTEGER) AS page
+  SELECT t.*, CAST(u.page AS BIGINT) AS page
   FROM totals t, unnest(range(2, CAST(ceil(found / 10.0) AS BIGINT) + 1)) AS u(page))"""
 
 
@@ -331,8 +331,8 @@ SELECT s_suppkey, s_name, label, window_start, window_end FROM ({windows("spans"
     "page_fanout": f"WITH {_WEEKLY} SELECT * FROM fanout",
     "listing_gaps": f"""WITH {_WEEKLY},
 captured AS (
-  SELECT DISTINCT c_mktsegment AS body_key, {week("o_orderdate")} AS partition_date, l_linenumber AS page
-  FROM lineitem JOIN orders ON o_orderkey = l_orderkey JOIN customer ON c_custkey = o_custkey WHERE l_returnflag = 'R')
+  SELECT DISTINCT c_mktsegment AS body_key, {week("l_shipdate")} AS partition_date, l_linenumber AS page
+  FROM lineitem JOIN orders ON o_orderkey = l_orderkey JOIN customer ON c_custkey = o_custkey)
 SELECT body_key, partition_date, page FROM fanout ANTI JOIN captured USING (body_key, partition_date, page)""",
     "capped_batch": f"""WITH {RUNS}
 SELECT fetch_seq, identifier, file_hash FROM second_hash ORDER BY fetch_seq LIMIT 50""",

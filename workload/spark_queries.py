@@ -78,20 +78,20 @@ def page_fanout(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def listing_gaps(spark: SparkSession, folder: str) -> DataFrame:
-    """Expected pages whose number no line number of the segment's orders of the week reaches."""
+    """Expected pages of a segment's week that no line shipped in that week has the number of."""
     orders = table(spark, folder, "orders").select("o_orderkey", "o_custkey", F.col("o_orderdate").cast("date").alias("day"))
     customers = table(spark, folder, "customer").select(
         F.col("c_custkey").alias("o_custkey"), F.col("c_mktsegment").alias("body_key"))
-    lines = table(spark, folder, "lineitem").select(F.col("l_orderkey").alias("o_orderkey"), "l_linenumber", "l_returnflag")
+    lines = table(spark, folder, "lineitem").select(
+        F.col("l_orderkey").alias("o_orderkey"), "l_linenumber", F.col("l_shipdate").cast("date").alias("shipped"))
     captured = frontier.assign_partition(
-        lines.filter(F.col("l_returnflag") == "R").join(orders, "o_orderkey").join(customers, "o_custkey"),
-        F.col("day"), "weekly").select("body_key", "partition_date", F.col("l_linenumber").alias("page"))
+        lines.join(orders.drop("day"), "o_orderkey").join(customers, "o_custkey"), F.col("shipped"), "weekly").select("body_key", "partition_date", F.col("l_linenumber").alias("page"))
     return frontier.listing_gaps(page_fanout(spark, folder), captured).select("body_key", "partition_date", "page")
 
 
 def capped_batch(spark: SparkSession, folder: str) -> DataFrame:
-    batch = scenario.decided(scenario.second_run(spark, folder))
-    return frontier.capped_batch(batch, 50).select("fetch_seq", "identifier", "file_hash")
+    batch = frontier.capped_batch(scenario.second_run(spark, folder), 50)  # before the documents are read
+    return scenario.decided(batch).select("fetch_seq", "identifier", "file_hash")
 
 
 # --- listing extraction --------------------------------------------------------
@@ -133,7 +133,7 @@ def url_parts(spark: SparkSession, folder: str) -> DataFrame:
     links = table(spark, folder, "pages").select(
         "page_id", "url", F.posexplode(markup.opening_tags(html, "a")).alias("pos", "tag")).select(
         "page_id", "url", "pos", markup.attribute(F.col("tag"), "href").alias("href"))
-    word = F.substring("href", 2, 1000)
+    word = F.expr("substring(href, 2)")
     url = F.col("url")
     return links.select(
         "page_id", "pos", urls.resolve(url, F.col("href")).alias("from_root"), urls.resolve(url, word).alias("relative"),
@@ -246,7 +246,7 @@ def append_objects(spark: SparkSession, folder: str) -> DataFrame:
     before = landing.new_objects(_first_run_named(spark, folder), _no_keys(spark))
     named = stage(_second_run_named(spark, folder), "classified")
     objects = stage(landing.new_objects(named, before), "new-objects")
-    written = landing.attach_bytes(objects, scenario.second_run(spark, folder), landing.weight(objects))
+    written = landing.attach_bytes(objects, scenario.second_run(spark, folder))
     return written.select("storage_path", "content_type", "partition_date", content.sha256_hex(F.col("data")).alias("object_hash"),
                           content.byte_length(F.col("data")).alias("bytes"))
 
