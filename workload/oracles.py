@@ -133,6 +133,9 @@ second_named AS (
          || CASE WHEN o.previous IS NULL THEN '' ELSE '__' || substr(s.file_hash, 1, 12) END || s.ext AS storage_path
   FROM second_hash s LEFT JOIN second_ok o USING (fetch_seq))"""
 
+# The same with a first run of all pages.
+WHOLE_RUNS = RUNS.replace(" WHERE page_url LIKE 'https:%'", "")
+
 _LISTING_HREF = f"""CASE {_LANG} WHEN 'de' THEN NULL ELSE word END"""
 LISTING = f"""
 listed AS (
@@ -219,7 +222,7 @@ links AS (
          CASE WHEN t.chars < 200 THEN '/files/' || """ + _NUMBER.replace("url", "s.url") + r""" || '.pdf?v=1' END AS link
   FROM shown s JOIN texts t USING (id))"""
 
-CURATION = RUNS + f""",
+CURATION = WHOLE_RUNS + f""",
 records AS (
   SELECT * FROM first_named WHERE outcome IN ('new', 'changed')
   QUALIFY row_number() OVER (PARTITION BY identifier ORDER BY fetch_seq DESC) = 1),
@@ -450,7 +453,7 @@ SELECT identifier, 'Page ' || identifier AS title, page_url AS description, publ
        upper(body_key) AS body_name, ascii(body_key) AS body_id, partition_date, page_url AS source_url, document_url,
        document_type, storage_path, file_hash, content_length, last_run_id, fetch_seq, CAST(run_seq AS BIGINT) AS run_seq
 FROM log QUALIFY row_number() OVER (PARTITION BY identifier ORDER BY run_seq DESC, fetch_seq DESC) = 1""",
-    "hash_mismatch": f"""WITH {RUNS}
+    "hash_mismatch": f"""WITH {WHOLE_RUNS}
 SELECT r.identifier, r.storage_path, r.file_hash, sha256(s.body) AS object_hash
 FROM first_named r JOIN first_named o ON o.storage_path = r.storage_path AND o.outcome <> 'unchanged'
 JOIN second_text s ON s.fetch_seq = o.fetch_seq

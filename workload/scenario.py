@@ -1,8 +1,8 @@
 """Captured sites derived from the ``pages`` table.
 
 Two landing runs: first the pages served over https, then all pages with some of
-them revised, emptied or failing. All conditions are facts of the URL; every page
-takes part with its whole text.
+them revised, emptied or failing; and a run of all pages as they are, to curate. All
+conditions are facts of the URL; every page takes part with its whole text.
 """
 
 from __future__ import annotations
@@ -48,7 +48,12 @@ def documents(spark: SparkSession, folder: str) -> DataFrame:
 
 def first_run(spark: SparkSession, folder: str) -> DataFrame:
     """The pages served over https, as they are."""
-    return documents(spark, folder).filter(F.col("page_url").startswith("https:")).withColumns({
+    return whole_run(spark, folder).filter(F.col("page_url").startswith("https:"))
+
+
+def whole_run(spark: SparkSession, folder: str) -> DataFrame:
+    """All pages, as they are."""
+    return documents(spark, folder).withColumns({
         "status": F.lit(200), "error": F.lit(None).cast("string"), "data": F.col("html").cast("binary"),
     }).drop("html")
 

@@ -215,8 +215,8 @@ def _second_run_named(spark: SparkSession, folder: str, recheck: bool = True) ->
     return landing.name_objects(landing.classify(batch, known, recheck))
 
 
-def _first_run_named(spark: SparkSession, folder: str) -> DataFrame:
-    batch = stage(scenario.decided(scenario.first_run(spark, folder)), "decided")
+def _first_run_named(spark: SparkSession, folder: str, run=scenario.first_run) -> DataFrame:
+    batch = stage(scenario.decided(run(spark, folder)), "decided")
     nothing = batch.select("identifier", "file_hash").filter(F.lit(False))
     return landing.name_objects(landing.classify(batch, nothing, recheck=True))
 
@@ -234,7 +234,14 @@ def merge_outcome(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def skip_known(spark: SparkSession, folder: str) -> DataFrame:
-    return _second_run_named(spark, folder, recheck=False).select("fetch_seq", "identifier", "outcome")
+    """The second run against what the first one landed: known identifiers are split off, the rest is classified."""
+    known = scenario.as_landed(scenario.first_run(spark, folder), 1).filter(F.col("file_hash").isNotNull()).select("identifier")
+    batch = stage(scenario.decided(scenario.second_run(spark, folder)), "decided")
+    wanted, skipped = landing.skip_known(batch, known)
+    nothing = batch.select("identifier", "file_hash").filter(F.lit(False))
+    columns = ["fetch_seq", "identifier", "outcome"]
+    return landing.classify(stage(wanted, "wanted"), nothing, recheck=False).select(*columns).unionByName(
+        skipped.withColumn("outcome", F.lit("skipped")).select(*columns))
 
 
 def landing_key(spark: SparkSession, folder: str) -> DataFrame:
@@ -265,11 +272,12 @@ def merge_current(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def hash_mismatch(spark: SparkSession, folder: str) -> DataFrame:
-    """Records of the first run whose object existed before with the bytes of the second run."""
+    """Records of a run of all pages whose object existed before with the bytes of the second run."""
+    named = stage(_first_run_named(spark, folder, scenario.whole_run), "named")
     objects = scenario.second_run(spark, folder).filter(F.col("data").isNotNull()).join(
-        landing.stored(_first_run_named(spark, folder)).select("fetch_seq", "storage_path"), "fetch_seq").select(
+        landing.stored(named).select("fetch_seq", "storage_path"), "fetch_seq").select(
         "storage_path", content.canonical_bytes(F.col("document_type"), F.col("data")).alias("data"))
-    records = landing.build_records(_first_run_named(spark, folder), "r1", 1)
+    records = landing.build_records(named, "r1", 1)
     return landing.hash_mismatches(records, objects).select("identifier", "storage_path", "file_hash", "object_hash")
 
 
@@ -356,13 +364,13 @@ def range_slice(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _curation(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
-    """Curate the pages landed by the first run and published in a range.
+    """Curate the current records of a run of all pages that are published in a range.
 
     Objects of French pages were lost; pages of blogs were curated before.
     """
-    batch = scenario.first_run(spark, folder)
-    records = stage(latest_by(landing.build_records(_first_run_named(spark, folder), "r1", 1), "identifier", "fetch_seq"),
-                    "records")
+    batch = scenario.whole_run(spark, folder)
+    named = _first_run_named(spark, folder, scenario.whole_run)
+    records = stage(latest_by(landing.build_records(named, "r1", 1), "identifier", "fetch_seq"), "records")
     canonical = content.canonical_bytes(F.col("document_type"), F.col("data"))
     objects = records.filter(F.col("body_key") != "fr").select("storage_path", "partition_date", "fetch_seq").join(
         batch.select("fetch_seq", canonical.alias("data")), "fetch_seq").drop("fetch_seq")
