@@ -18,7 +18,7 @@ BUCKETS, SMOOTHING = 2**16, 2.0
 #: Labelled documents that trusted counts come from at most: those with the least hashes of their ids.
 SAMPLE = 20_000
 #: A text whose mean log ratio is below this is rejected.
-THRESHOLD = -0.2
+THRESHOLD = -0.15
 #: Rules: words at least, share of repeated words in per cent at most, words of a window.
 LEAST_WORDS, MOST_REPEATED, WINDOW = 20, 30, 8
 _FIXED = float(2**24)

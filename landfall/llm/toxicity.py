@@ -36,7 +36,7 @@ LEAST_SEEN, SIGNS = 4, 6_000
 #: Lengths of beginnings of words.
 STEMS = (4, 5, 6)
 #: Strength of the pull of the weights to zero, and steps of the fit.
-RIDGE, STEPS = 0.3, 400
+RIDGE, STEPS = 0.1, 400
 
 _SEPARATED = re.compile(r"(?<![^\W_])(?:[^\W\d_]|[0134578@$!|])(?:[ .\-_*]{1,2}(?:[^\W\d_]|[0134578@$!|])){3,}(?![^\W_])")
 _STRETCH = re.compile(r"([^\W\d_])\1\1+")
