@@ -1,5 +1,7 @@
 """DuckDB SQL for the registered queries that SQL can express."""
 
+from landfall.llm.credentials import ACCESS, ASSIGN, BARE, BLANK, ENDPOINT, HEX
+
 #: Where a document lies in its source's word stream decides what the schedule takes of it: the stream's first
 #: ``floor(target)`` words, the stream being repeated.
 OP6 = r"""
@@ -45,4 +47,65 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, c
 FROM docs LEFT JOIN hit USING (id) LEFT JOIN named USING (id)
 """
 
-ORACLES = {"op6_low_discrepancy_mix": OP6, "op7_winnowing": OP7}
+#: The template's length: marks of a turn, its role's marks, two blanks, and the escaped text.
+_ESCAPED = r"length(regexp_replace({}, '([<\[])(\\*)(/?(?:s>|(?:INST|SYS|ROLE)\]))', '\1\\\2\3', 'g'))"
+
+OP1 = f"""
+WITH turns AS (
+    SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+    UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'),
+spoken AS (
+    SELECT conv_id, count(*) AS n_turns, string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text) AS told,
+           coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '') AS loss,
+           sum(9 + {_ESCAPED.format("text")} + CASE role WHEN 'assistant' THEN 0 WHEN 'user' THEN 13 WHEN 'system' THEN 11
+               ELSE 15 + {_ESCAPED.format("role")} END)::BIGINT AS formatted_chars
+    FROM turns GROUP BY conv_id)
+SELECT conv_id, n_turns, sha256(told) AS turns_sha256, length(loss)::BIGINT AS loss_chars, sha256(loss) AS loss_sha256, formatted_chars
+FROM spoken
+"""
+
+OP3 = """
+WITH payloads AS (SELECT page_id, coalesce(html, '') AS payload, octet_length(encode(coalesce(html, '')))::BIGINT AS size FROM pages),
+kept AS (SELECT *, CASE WHEN size >= 1000 THEN max(page_id) OVER (PARTITION BY payload) END AS keeper FROM payloads)
+SELECT page_id, size AS payload_bytes, sha1(payload) AS payload_digest,
+       CASE WHEN keeper IS NOT NULL AND page_id IS DISTINCT FROM keeper THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN page_id IS DISTINCT FROM keeper THEN keeper END AS refers_to
+FROM kept
+"""
+
+
+
+def _pieces(kind: int, pattern: str) -> str:
+    quoted = pattern.replace("'", "''")
+    return (rf"SELECT id, {kind} AS kind, string_split(regexp_replace(t, '{quoted}', chr(1) || '\0' || chr(1), 'g'), chr(1)) AS parts FROM docs")
+
+
+_NEAR = "SELECT 1 FROM {} a WHERE a.id = c.id AND a.scope = c.scope AND abs(a.s - c.s) <= 400"
+OP4 = rf"""
+WITH docs AS (SELECT row_number() OVER () AS id, doc_id, translate(coalesce(text, ''), chr(1), chr(2)) AS t FROM documents),
+pieces AS (
+    SELECT id, kind, unnest(parts) AS piece, generate_subscripts(parts, 1) AS turn
+    FROM ({" UNION ALL ".join(_pieces(k, p) for k, p in enumerate((ASSIGN, ACCESS, HEX, BARE, ENDPOINT, BLANK)))})),
+ends AS (SELECT *, sum(length(piece)) OVER (PARTITION BY id, kind ORDER BY turn) AS e FROM pieces),
+spans AS (
+    SELECT id, kind, e - length(piece) AS s, e FROM ends
+    WHERE turn % 2 = 0 AND CASE kind WHEN 0 THEN length(regexp_extract(piece, '{ASSIGN.replace("'", "''")}', 2)) >= 12
+        WHEN 3 THEN length(piece) = 40 AND regexp_matches(piece, '[A-Z]') AND regexp_matches(piece, '[a-z]') AND regexp_matches(piece, '[0-9]')
+        ELSE true END),
+scoped AS (
+    SELECT *, count(*) FILTER (kind = 5) OVER (PARTITION BY id ORDER BY s, e, kind ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS scope
+    FROM spans),
+access AS (SELECT * FROM scoped WHERE kind = 1),
+bare AS (SELECT * FROM scoped c WHERE kind = 3 AND EXISTS ({_NEAR.format("access")})),
+secrets AS (SELECT * FROM bare UNION ALL SELECT * FROM scoped WHERE kind = 0),
+ends_at AS (SELECT * FROM scoped c WHERE kind = 4 AND EXISTS ({_NEAR.format("access")}) AND EXISTS ({_NEAR.format("secrets")})),
+found AS (
+    SELECT id, kind, s, e, ['assign', 'access', 'hex', 'secret', 'endpoint'][kind + 1] || ':' || s || ':' || e AS span
+    FROM (SELECT * FROM scoped WHERE kind < 3 UNION ALL SELECT * FROM bare UNION ALL SELECT * FROM ends_at))
+SELECT any_value(doc_id) AS doc_id, count(*) FILTER (kind = 0) AS n_assign, count(*) FILTER (kind = 1) AS n_access,
+       count(*) FILTER (kind = 2) AS n_hex, sha256(coalesce(string_agg(span, ',' ORDER BY s, kind) FILTER (kind < 3), '')) AS base_sha256,
+       coalesce(string_agg(span, ',' ORDER BY s, kind), '') AS spans
+FROM docs LEFT JOIN found USING (id) GROUP BY id
+"""
+
+ORACLES = {"op4_credential_links": OP4, "op1_reply_trees": OP1, "op3_warc": OP3, "op6_low_discrepancy_mix": OP6, "op7_winnowing": OP7}
