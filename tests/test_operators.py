@@ -189,6 +189,16 @@ def test_objects_as_files(spark, tmp_path):
     assert (tmp_path / "objects/s/2024-01/A.html").read_bytes() == b"two"
 
 
+def test_an_object_that_cannot_be_written_is_a_row(spark, tmp_path):
+    (tmp_path / "taken").write_bytes(b"a file where a folder is needed")
+    objects = spark.createDataFrame([("taken/A.html", bytearray(b"1")), ("fine/B.html", bytearray(b"2")), ("fine/C.html", None)],
+                                    "storage_path string, data binary")
+    got = {r.storage_path: r for r in export_objects(objects, f"file://{tmp_path}").collect()}
+    assert {k: r.written for k, r in got.items()} == {"taken/A.html": False, "fine/B.html": True, "fine/C.html": False}
+    assert got["fine/B.html"].reason is None and got["taken/A.html"].reason.startswith("persist: ")
+    assert got["fine/C.html"].reason == "persist: no data"
+
+
 def test_capped_batch_with_nulls_and_ties(spark):
     rows = [(None, "a"), (None, "b"), (5, "c"), (5, "b"), (5, "b"), (5, "b"), (1, "z")]
     batch = spark.createDataFrame(rows, "fetch_seq bigint, document_url string")
