@@ -21,8 +21,9 @@ BASE = 3
 ASSIGN = r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
 ACCESS = r"AKIA[A-Z0-9]{14,}"
 HEX = r"[0-9a-f]{16,}"
-#: Weak candidates: a run of 40 characters of base 64 with all three classes, addresses; and blank lines.
-BARE = r"[A-Za-z0-9+/=]{40,}"
+#: Weak candidates: a whole run of 40 characters of base 64, padding at its end included, with all three classes; addresses;
+#: and blank lines. A '=' before the run is no part of it: it may follow a name.
+BARE = r"(?<![A-Za-z0-9+/])[A-Za-z0-9+/]{38,40}={0,2}(?![A-Za-z0-9+/=])"
 ENDPOINT = r"[a-z][a-z0-9+.-]*://[^\x00-\x20\x22\x27<>\x7F]+|[a-z0-9-]+(?:\.[a-z0-9-]+)*\.amazonaws\.com"
 BLANK = r"\n[\x20\x09\x0D]*\n"
 LEAST_VALUE, BARE_LENGTH = 12, 40

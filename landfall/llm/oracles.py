@@ -1,6 +1,9 @@
 """DuckDB SQL for the registered queries that SQL can express."""
 
-from landfall.llm.credentials import ACCESS, ASSIGN, BARE, BLANK, ENDPOINT, HEX
+from landfall.llm.credentials import ACCESS, ASSIGN, BLANK, ENDPOINT, HEX
+
+#: Bare secrets in SQL, which has no lookarounds: a '=' before the run counts to it, so a secret right after ``NAME=`` is missed.
+BARE = r"[A-Za-z0-9+/=]{40,}"
 
 #: Where a document lies in its source's word stream decides what the schedule takes of it: the stream's first
 #: ``floor(target)`` words, the stream being repeated.
