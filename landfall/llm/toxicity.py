@@ -39,6 +39,7 @@ STEMS = (4, 5, 6)
 RIDGE, STEPS = 0.1, 400
 
 _SEPARATED = re.compile(r"(?<![^\W_])(?:[^\W\d_]|[0134578@$!|])(?:[ .\-_*]{1,2}(?:[^\W\d_]|[0134578@$!|])){3,}(?![^\W_])")
+_BREAK = re.compile(r"(?:[^\w@$!|+(€£]|_)+")
 _STRETCH = re.compile(r"([^\W\d_])\1\1+")
 _EDGES = "".join(c for c in map(chr, range(33, 127)) if not c.isalnum()) + "«»„“”‘’…—–¿¡"
 _LETTERS = 28  # 0: edge of a word, 1 to 26: a to z, 27: any other letter
@@ -89,30 +90,36 @@ def letter_costs(counts: np.ndarray) -> np.ndarray:
 
 def decode(token: str, costs: list) -> str:
     """The likeliest letters behind a disguised token in lower case, by Viterbi over states of two letters."""
-    best: dict[tuple[int, int], tuple[float, str]] = {(0, 0): (0.0, "")}
+    # A path is its last letter and the path before, so that long tokens take time in proportion to their length.
+    best: dict[tuple[int, int], tuple[float, tuple]] = {(0, 0): (0.0, ())}
     before, run = "", 0
     for char in token:
         run = run + 1 if char == before else 1
         letters = [(char, 0.0)] if char.isalpha() else [(c, SUBSTITUTE) for c in LEET.get(char, "")]
         dropped = SEPARATOR if not letters else (DOUBLED if run == 2 else STRETCHED) if run > 1 else (
             None if char.isalpha() else SYMBOL)
-        reached: dict[tuple[int, int], tuple[float, str]] = {}
-        for (a, b), (cost, text) in best.items():
+        reached: dict[tuple[int, int], tuple[float, tuple]] = {}
+        for (a, b), (cost, path) in best.items():
             if dropped is not None and (old := reached.get((a, b)), cost + dropped)[1] < (old[0] if old else math.inf):
-                reached[a, b] = cost + dropped, text
+                reached[a, b] = cost + dropped, path
             for letter, price in letters:
                 c = _class(letter)
                 now = cost + price + costs[a][b][c]
                 if (old := reached.get((b, c))) is None or now < old[0]:
-                    reached[b, c] = now, text + letter
+                    reached[b, c] = now, (letter, path)
         best, before = reached, char
-    return min((cost + costs[a][b][0], text) for (a, b), (cost, text) in best.items())[1]
+    path = min(((cost + costs[a][b][0], path) for (a, b), (cost, path) in best.items()), key=lambda end: end[0])[1]
+    text = []
+    while path:
+        letter, path = path
+        text.append(letter)
+    return "".join(reversed(text))
 
 
 def _disguised(core: str) -> bool:
-    """A token with letters in it and other characters that could be letters, not mostly digits."""
-    letters = sum(c.isalpha() for c in core)
-    return 2 * letters >= len(core) and any(c in LEET for c in core) and len(core) <= 40
+    """A token with characters that could be letters, other than a plain number."""
+    could = {c for c in core if c in LEET}
+    return bool(could) and (any(not c.isdigit() for c in could) or any(c.isalpha() for c in core))
 
 
 def restored_words(text: str | None, restore: Callable[[str], str]) -> set[str]:
@@ -131,14 +138,15 @@ def restored_words(text: str | None, restore: Callable[[str], str]) -> set[str]:
         elif core:
             words.update(re.findall(r"[^\W\d_]+", core))
         whole = token.rstrip(".,;:?\"'").lstrip("\"'([{")  # other marks at the edges may be letters
-        if _disguised(whole):
-            words.add(restore(whole))
-        elif _disguised(core):
-            words.add(restore(core))
+        if form := whole if _disguised(whole) else core if _disguised(core) else "":
+            words.add(restore(form))
+            if len(pieces := _BREAK.split(form)) > 1:  # its separators may join words
+                words.update(restore(piece) for piece in pieces if _disguised(piece))
     for found in _SEPARATED.finditer(lower):
         words.add(restore(found.group().replace(" ", ".")))
     if _has_stretch(lower):
         words.update(restore(word) for word in list(words) if _STRETCH.search(word))
+    words.discard("")
     return words
 
 

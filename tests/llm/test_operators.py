@@ -327,6 +327,19 @@ def test_disguises_are_undone(spark):
     assert toxicity.restored_words(None, str) == toxicity.restored_words("", str) == set()
 
 
+@pytest.fixture(scope="module")
+def restore(spark):
+    words = "the idiot said that the moron is a loser and a stupid person of this other world shit ass " * 30
+    costs = toxicity.letter_costs(toxicity.letter_counts(spark.createDataFrame([(words,)], "text string"))).tolist()
+    return lambda token: toxicity.decode(token, costs)
+
+
+def test_mostly_substituted_and_long_tokens_are_decoded(restore):
+    found = toxicity.restored_words("A 1d10t, l053r! 5h17 @$$ 1030 12:30 " + "the-" * 12 + "m0r0n st" + "u" * 50 + "p1d", restore)
+    assert {"idiot", "loser", "shit", "ass", "moron", "stupid"} <= found and not any(w[:1] in ("i", "l") for w in found - {"idiot", "loser", "l"})
+    assert len(restore("st" + "uo" * 50_000 + "p1d")) == 100_005
+
+
 def labelled(spark, n: int = 120):
     texts = [(i, prose(40, i) + (" what an idiot" if i % 4 == 0 else " fine"), int(i % 4 == 0)) for i in range(n)]
     frame = spark.createDataFrame([(i, t) for i, t, _ in texts] + [(None, None), (n, ""), (n + 1, "what an 1d1ot " + prose(9, 3)), (n + 2, prose(5000, 1))],
