@@ -3,7 +3,8 @@
 A noisy channel: the writer's letters are wanted, the text's characters are seen. A disguised token is a lattice (a
 character may stand for itself or a letter, a separator or a stretched letter for nothing), and Viterbi decoding picks
 the path with the best sum of channel costs and a character trigram model. The model counts the letters of all
-documents. Restored words, and their beginnings, are then scored by a logistic regression on labelled documents.
+documents. Any separator between spaced-out letters
+may also end a word. Restored words, and their beginnings, are then scored by a logistic regression on labelled documents.
 """
 
 from __future__ import annotations
@@ -35,10 +36,13 @@ SAMPLE = 30_000
 LEAST_SEEN, SIGNS = 4, 6_000
 #: Lengths of beginnings of words.
 STEMS = (4, 5, 6)
+#: Letters of the words that are looked for inside a run of spaced-out characters.
+LEAST_SPACED, LONGEST = 3, 30
 #: Strength of the pull of the weights to zero, and steps of the fit.
 RIDGE, STEPS = 0.1, 400
 
-_SEPARATED = re.compile(r"(?<![^\W_])(?:[^\W\d_]|[0134578@$!|])(?:[ .\-_*]{1,2}(?:[^\W\d_]|[0134578@$!|])){3,}(?![^\W_])")
+_SEPARATED = re.compile(r"(?<![^\W_])(?:[^\W\d_]|[0134578@$!|])(?:[ .\-_*]{1,2}(?:[^\W\d_]|[0134578@$!|])){2,}(?![^\W_])")
+_GAP, _WIDE = re.compile(r"[ .\-_*]+"), re.compile(r"[ .\-_*]{2}")
 _BREAK = re.compile(r"(?:[^\w@$!|+(€£]|_)+")
 _STRETCH = re.compile(r"([^\W\d_])\1\1+")
 _EDGES = "".join(c for c in map(chr, range(33, 127)) if not c.isalnum()) + "«»„“”‘’…—–¿¡"
@@ -122,6 +126,22 @@ def _disguised(core: str) -> bool:
     return bool(could) and (any(not c.isdigit() for c in could) or any(c.isalpha() for c in core))
 
 
+def _spaced(run: str, restore: Callable[[str], str]) -> set[str]:
+    """Words that spaced-out characters may spell: each separator is also read as a break between words.
+
+    Trigrams cannot tell which separators are breaks, so all words from one to another count, up to ``LONGEST`` letters;
+    the run as a whole, and what lies between its wider gaps, count at any length.
+    """
+    words: set[str] = set()
+    for part in {run, *_WIDE.split(run)}:
+        letters = _GAP.sub("", part)
+        word = restore(letters)
+        words.add(word)
+        if not letters.isdigit():
+            words.update(word[i:i + n] for n in range(LEAST_SPACED, LONGEST + 1) for i in range(len(word) - n + 1))
+    return words
+
+
 def restored_words(text: str | None, restore: Callable[[str], str]) -> set[str]:
     """The distinct words of a text in lower case, those of disguised tokens restored."""
     if not text:
@@ -143,7 +163,7 @@ def restored_words(text: str | None, restore: Callable[[str], str]) -> set[str]:
             if len(pieces := _BREAK.split(form)) > 1:  # its separators may join words
                 words.update(restore(piece) for piece in pieces if _disguised(piece))
     for found in _SEPARATED.finditer(lower):
-        words.add(restore(found.group().replace(" ", ".")))
+        words.update(_spaced(found.group(), restore))
     if _has_stretch(lower):
         words.update(restore(word) for word in list(words) if _STRETCH.search(word))
     words.discard("")

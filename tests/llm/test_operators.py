@@ -340,6 +340,12 @@ def test_mostly_substituted_and_long_tokens_are_decoded(restore):
     assert len(restore("st" + "uo" * 50_000 + "p1d")) == 100_005
 
 
+def test_spaced_letters_have_word_breaks(restore):
+    for text in ("you are a s t u p i d person", "y o u a r e s t u p i d", "y o u  a r e  s t u p i d", "a 5 t u u u p 1 d", "s.t.u.p.i.d"):
+        assert "stupid" in toxicity.restored_words(text, restore), text
+    assert "ass" in toxicity.restored_words("an a s s", restore) and "you" in toxicity.restored_words("y o u  a r e", restore)
+
+
 def labelled(spark, n: int = 120):
     texts = [(i, prose(40, i) + (" what an idiot" if i % 4 == 0 else " fine"), int(i % 4 == 0)) for i in range(n)]
     frame = spark.createDataFrame([(i, t) for i, t, _ in texts] + [(None, None), (n, ""), (n + 1, "what an 1d1ot " + prose(9, 3)), (n + 2, prose(5000, 1))],
