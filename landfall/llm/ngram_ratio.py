@@ -15,8 +15,6 @@ from landfall.sources.staging import stage
 
 #: Buckets of the hash, and the count added to each trusted one; raw counts get the same share of their total.
 BUCKETS, SMOOTHING = 2**16, 2.0
-#: Labelled documents that trusted counts come from at most: those with the least hashes of their ids.
-SAMPLE = 20_000
 #: A text whose mean log ratio is below this is rejected.
 THRESHOLD = -0.15
 #: Rules: words at least, share of repeated words in per cent at most, words of a window.
@@ -72,15 +70,14 @@ def base_counts(words: Column, text: Column) -> dict[str, Column]:
     }
 
 
-def bucket_ratios(docs: DataFrame, trusted: DataFrame, count: int = BUCKETS, smoothing: float = SMOOTHING,
-                  sample: int = SAMPLE) -> DataFrame:
+def bucket_ratios(docs: DataFrame, trusted: DataFrame, count: int = BUCKETS, smoothing: float = SMOOTHING) -> DataFrame:
     """``bucket, ratio``: fixed-point log ratio of trusted to raw probability, for buckets seen in any text.
 
-    ``trusted`` has the ``doc_id`` of trusted documents, of which ``sample`` are used; raw counts cover all documents.
+    ``trusted`` has the ``doc_id`` of trusted documents, all of which are counted; raw counts cover all documents.
     """
-    chosen = trusted.where("doc_id is not null").select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
-    chosen = stage(chosen.select(F.col("doc_id").alias("_trusted")), "ratio-sample")
-    grams = docs.join(F.broadcast(chosen), F.col("doc_id") == F.col("_trusted"), "left").select(  # ``sample`` ids at most
+    chosen = trusted.where("doc_id is not null").select(F.col("doc_id").alias("_trusted")).distinct()
+    chosen = stage(chosen, "ratio-trusted")
+    grams = docs.select("doc_id", "text").join(chosen, F.col("doc_id") == F.col("_trusted"), "left").select(
         F.col("_trusted").isNotNull().cast("bigint").alias("_good"),
         F.explode(bind(split_words(F.col("text")), lambda w: buckets(w, count))).alias("bucket"))
     counts = stage(grams.groupBy("bucket").agg(F.sum("_good").alias("good"), F.count("*").alias("raw")), "ratio-counts")
@@ -92,8 +89,7 @@ def bucket_ratios(docs: DataFrame, trusted: DataFrame, count: int = BUCKETS, smo
     return counts.select("bucket", F.round(each * _FIXED).cast("bigint").alias("ratio"))
 
 
-def judge(docs: DataFrame, trusted: DataFrame, threshold: float = THRESHOLD, count: int = BUCKETS,
-          sample: int = SAMPLE) -> DataFrame:
+def judge(docs: DataFrame, trusted: DataFrame, threshold: float = THRESHOLD, count: int = BUCKETS) -> DataFrame:
     """Every document's counts, ``log_ratio`` (mean over its n-grams), ``base_failed`` and ``kept``.
 
     ``docs`` has ``doc_id, text``; other columns are not read. Null and empty texts have no words: all counts are 0,
@@ -101,7 +97,7 @@ def judge(docs: DataFrame, trusted: DataFrame, threshold: float = THRESHOLD, cou
     An empty table gives no rows.
     """
     # ``count`` buckets at most: 1 MB.
-    ratios = stage(bucket_ratios(docs, trusted, count, sample=sample), "ratios")
+    ratios = stage(bucket_ratios(docs, trusted, count), "ratios")
     counted = docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", "text").select(
         "row", "doc_id", F.inline(bind(split_words(F.col("text")), lambda w: F.array(F.struct(
             *[c.alias(n) for n, c in base_counts(w, F.col("text")).items()], buckets(w, count).alias("_buckets"))))

@@ -228,6 +228,12 @@ def test_ratio_tells_trusted_from_other_words(spark):
     assert kept == {i for i, _ in good}
 
 
+def test_all_trusted_texts_are_counted(spark):
+    docs = spark.range(20_100).select(F.col("id").alias("doc_id"), F.concat(F.lit("w"), "id").alias("text"))
+    ratios = ngram_ratio.bucket_ratios(docs, docs.select("doc_id"), count=2**12)
+    assert ratios.where("ratio <> 0").count() == 0 and ratios.count() > 4000  # both multinomials are the same
+
+
 # --- secrets ----------------------------------------------------------------
 
 
