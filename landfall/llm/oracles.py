@@ -111,4 +111,23 @@ SELECT any_value(doc_id) AS doc_id, count(*) FILTER (kind = 0) AS n_assign, coun
 FROM docs LEFT JOIN found USING (id) GROUP BY id
 """
 
-ORACLES = {"op4_credential_links": OP4, "op1_reply_trees": OP1, "op3_warc": OP3, "op6_low_discrepancy_mix": OP6, "op7_winnowing": OP7}
+OP11 = rf"""
+WITH docs AS (SELECT row_number() OVER () AS id, doc_id, {_WORDS} AS w FROM documents),
+held AS (SELECT id, doc_id, w, len(w)::BIGINT AS n FROM docs WHERE len(w) > 0),
+size AS (SELECT count(*)::BIGINT AS docs, sum(n)::BIGINT AS words FROM held),
+counts AS (SELECT id, term, count(*)::BIGINT AS tf FROM (SELECT id, unnest(w) AS term FROM held) GROUP BY id, term),
+items AS (SELECT row_number() OVER () AS item, item_id, {_WORDS} AS w FROM benchmark),
+wanted AS (SELECT DISTINCT item, item_id, unnest(w) AS term FROM items),
+weights AS (
+    SELECT term, floor(1000 * ln((2 * (SELECT docs FROM size) + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS weight
+    FROM counts GROUP BY term),
+scored AS (
+    SELECT item, any_value(item_id) AS item_id, id, any_value(doc_id) AS doc_id, sum(weight * ((1000000000 * tf)
+           // (1000 * tf + 8 * (10 + (90 * n * (SELECT docs FROM size)) // (SELECT words FROM size)))))::BIGINT AS score
+    FROM wanted JOIN weights USING (term) JOIN counts USING (term) JOIN held USING (id) GROUP BY item, id),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id NULLS LAST) AS place FROM scored WHERE score > 0)
+SELECT item_id, place::INT AS rank, doc_id, score FROM ranked WHERE place <= 10
+"""
+
+ORACLES = {"op4_credential_links": OP4, "op1_reply_trees": OP1, "op3_warc": OP3, "op6_low_discrepancy_mix": OP6, "op7_winnowing": OP7,
+           "op11_reversed_search": OP11}

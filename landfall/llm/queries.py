@@ -10,7 +10,8 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from landfall.llm import credentials, mixing, neighbour_quality, ngram_ratio, reply_trees, sharding, superminhash, toxicity, warc, winnowing
+from landfall.llm import (credentials, mixing, neighbour_quality, ngram_ratio, reply_trees, reversed_search, sharding, superminhash, toxicity,
+                          warc, winnowing)
 from landfall.sources.staging import scratch_root
 
 
@@ -100,6 +101,11 @@ def op10_superminhash(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "n_shingles", "component_id", "kept")
 
 
+def op11_reversed_search(spark: SparkSession, folder: str) -> DataFrame:
+    return reversed_search.rank_documents(table(spark, folder, "documents"), table(spark, folder, "benchmark")).select(
+        "item_id", "rank", "doc_id", "score")
+
+
 QUERIES = {f.__name__: f for f in (
     op1_reply_trees, op2_jump_shards, op3_warc, op4_credential_links, op5_neighbour_quality, op6_low_discrepancy_mix, op7_winnowing, op8_ngram_ratio,
-    op9_noisy_channel_toxicity, op10_superminhash)}
+    op9_noisy_channel_toxicity, op10_superminhash, op11_reversed_search)}

@@ -27,7 +27,7 @@ def result(spark, name):
 
 
 def test_all_operators_are_registered():
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
     assert set(QUERIES) | {"pipeline"} <= set(__spark_entry__.queries())
     assert set(ORACLES) <= set(QUERIES) and set(ORACLES) <= set(__spark_entry__.oracle_sql())
 
