@@ -1,6 +1,8 @@
 """DuckDB SQL for the registered queries that SQL can express."""
 
 from landfall.llm.credentials import ACCESS, ASSIGN, BLANK, ENDPOINT, HEX
+from landfall.llm.license_index import SLACK, phrase_spans, template_words
+from landfall.llm.license_texts import TEMPLATES
 
 #: Bare secrets in SQL, which has no lookarounds: a '=' before the run counts to it, so a secret right after ``NAME=`` is missed.
 BARE = r"[A-Za-z0-9+/=]{40,}"
@@ -129,5 +131,55 @@ ranked AS (SELECT *, row_number() OVER (PARTITION BY item ORDER BY score DESC, d
 SELECT item_id, place::INT AS rank, doc_id, score FROM ranked WHERE place <= 10
 """
 
+
+
+def _quoted(words: list[bytes]) -> str:
+    return "[" + ", ".join("'" + w.decode() + "'" for w in words) + "]"
+
+
+_TEMPLATES = ", ".join(
+    f"({n}, '{t.label}', {str(t.base).lower()}, {_quoted(template_words(t))})" for n, t in enumerate(TEMPLATES))
+_PHRASES = ", ".join(f"({n}, {k}, {start}, {length})" for n, t in enumerate(TEMPLATES) for k, (start, length) in enumerate(phrase_spans(t)))
+
+#: All phrases at all places, without an index: a phrase is where as many of its words as it has agree.
+OP12 = rf"""
+WITH docs AS (SELECT row_number() OVER () AS id, doc_id, {_WORDS} AS w FROM documents),
+templates(t, label, base, words) AS (VALUES {_TEMPLATES}),
+phrases(t, k, o, n) AS (VALUES {_PHRASES}),
+places AS (SELECT id, unnest(w) AS word, generate_subscripts(w, 1) - 1 AS pos FROM docs),
+spelled AS (SELECT t, unnest(words) AS word, generate_subscripts(words, 1) - 1 AS q FROM templates),
+size AS (SELECT count(*) FILTER (len(w) > 0) AS docs FROM docs),
+weights AS (
+    SELECT s.word, 1 + floor(1000 * ln((2 * (SELECT docs FROM size) + 2)::DOUBLE / (2 * count(DISTINCT p.id) + 1)::DOUBLE))::BIGINT AS weight
+    FROM (SELECT DISTINCT word FROM spelled) s LEFT JOIN places p ON s.word = p.word GROUP BY s.word),
+total AS (SELECT t, sum(weight) AS weight FROM spelled JOIN weights USING (word) GROUP BY t),
+hits AS (
+    SELECT p.id, f.t, f.k, p.pos - (s.q - f.o) AS place, p.pos - s.q AS shift
+    FROM places p JOIN spelled s ON p.word = s.word JOIN phrases f ON f.t = s.t AND s.q >= f.o AND s.q < f.o + f.n
+    GROUP BY p.id, f.t, f.k, place, shift HAVING count(*) = any_value(f.n)),
+near AS (
+    SELECT a.id, a.t, a.shift AS d, b.k, arg_min(b.shift, (abs(b.shift - a.shift), b.shift)) AS shift
+    FROM hits a JOIN hits b ON a.id = b.id AND a.t = b.t WHERE a.k = 0 AND (b.k > 0 OR b.shift = a.shift)
+    GROUP BY a.id, a.t, a.shift, b.k),
+aligned AS (
+    SELECT id, t, d FROM near JOIN phrases USING (t, k) GROUP BY id, t, d
+    HAVING count(*) = (SELECT count(*) FROM phrases p WHERE p.t = near.t) AND max(abs(shift - d)) <= {SLACK}),
+agreeing AS (
+    SELECT DISTINCT a.id, a.t, a.d, s.q, s.word FROM aligned a JOIN near n ON a.id = n.id AND a.t = n.t AND a.d = n.d
+    JOIN spelled s ON s.t = a.t JOIN places p ON p.id = a.id AND p.pos = s.q + n.shift AND p.word = s.word),
+shares AS (
+    SELECT id, t, sum(w.weight)::DOUBLE / any_value(x.weight)::DOUBLE AS share
+    FROM agreeing JOIN weights w USING (word) JOIN total x USING (t) GROUP BY id, t, d),
+named AS (SELECT id, max(share) AS score, list(DISTINCT label) AS labels FROM shares JOIN templates USING (t) GROUP BY id),
+based AS (
+    SELECT id, count(*) AS n_base, min(place) AS first_word, max(place) AS last_word, list(DISTINCT label) AS labels
+    FROM hits JOIN templates USING (t) WHERE base GROUP BY id)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_base, 0)::BIGINT AS n_base, first_word, last_word,
+       coalesce(array_to_string(list_sort(b.labels), ','), '') AS base_labels,
+       coalesce(array_to_string(list_sort(list_distinct(list_concat(coalesce(b.labels, []), coalesce(n.labels, [])))), ','), '') AS labels,
+       coalesce(score, 0)::DOUBLE AS score
+FROM docs LEFT JOIN based b USING (id) LEFT JOIN named n USING (id)
+"""
+
 ORACLES = {"op4_credential_links": OP4, "op1_reply_trees": OP1, "op3_warc": OP3, "op6_low_discrepancy_mix": OP6, "op7_winnowing": OP7,
-           "op11_reversed_search": OP11}
+           "op11_reversed_search": OP11, "op12_license_index": OP12}

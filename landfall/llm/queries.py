@@ -10,7 +10,7 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from landfall.llm import (credentials, mixing, neighbour_quality, ngram_ratio, reply_trees, reversed_search, sharding, superminhash, toxicity,
+from landfall.llm import (credentials, license_index, mixing, neighbour_quality, ngram_ratio, reply_trees, reversed_search, sharding, superminhash, toxicity,
                           warc, winnowing)
 from landfall.sources.staging import scratch_root
 
@@ -106,6 +106,17 @@ def op11_reversed_search(spark: SparkSession, folder: str) -> DataFrame:
         "item_id", "rank", "doc_id", "score")
 
 
+def op12_license_index(spark: SparkSession, folder: str) -> DataFrame:
+    found = license_index.find_licenses(table(spark, folder, "documents"))
+    base, all_labels = F.col("places.label"), F.concat("places.label", "licenses.label")
+    return found.select(
+        "doc_id", "n_words", F.size("places").cast("bigint").alias("n_base"), F.array_min("places.start").alias("first_word"),
+        F.array_max("places.start").alias("last_word"), F.array_join(F.array_sort(F.array_distinct(base)), ",").alias("base_labels"),
+        F.array_join(F.array_sort(F.array_distinct(all_labels)), ",").alias("labels"),
+        F.coalesce(F.array_max("licenses.share"), F.lit(0.0)).alias("score"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_reply_trees, op2_jump_shards, op3_warc, op4_credential_links, op5_neighbour_quality, op6_low_discrepancy_mix, op7_winnowing, op8_ngram_ratio,
-    op9_noisy_channel_toxicity, op10_superminhash, op11_reversed_search)}
+    op9_noisy_channel_toxicity, op10_superminhash, op11_reversed_search,
+    op12_license_index)}
