@@ -77,7 +77,7 @@ def test_many_places_in_one_file(spark):
 
 @pytest.mark.parametrize("slack", [0, 5])
 def test_other_templates_and_slack(spark, slack):
-    templates = (Template("aa", "a b a c a b", ("a b", "c a"), True), Template("x", "x", ("x",)))
+    templates = (Template("aa", "a b a c a b", ("a b", "c a")), Template("x", "x", ("x",)), Template("ab", "c a b", ("a b",), True))
     rows = [(1, "a b a c a b"), (2, "a b q a c a b a b"), (3, "a b q q q q q q a c a"), (4, "a a a b b a"), (5, "x"), (6, "b a c a")]
     frame = spark.createDataFrame(rows, "doc_id bigint, text string")
     assert got(license_index.find_licenses(frame, templates, slack)) == expected(rows, templates, slack)
