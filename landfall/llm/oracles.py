@@ -181,5 +181,36 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_base, 0)::BIGINT AS n_base,
 FROM docs LEFT JOIN based b USING (id) LEFT JOIN named n USING (id)
 """
 
+#: Unsigned checksum (CRC-32) of a short ASCII text, bit by bit.
+_CRC = ("xor(list_reduce(list_concat([4294967295::BIGINT], list_transform(range(1, length({0}) + 1), lambda i: ascii({0}[i])::BIGINT)),"
+        " lambda crc, byte: list_reduce([xor(crc, byte), 0, 0, 0, 0, 0, 0, 0, 0], lambda c, step: xor(c >> 1, 3988292384 * (c & 1)))), 4294967295)")
+
+OP13 = f"""
+WITH turns AS (
+    SELECT conv_id, turn, octet_length(encode(coalesce(text, '')))::BIGINT AS n,
+           sha256(octet_length(encode(coalesce(role, '')))::VARCHAR || ':' || coalesce(role, '') || coalesce(text, '')) AS k
+    FROM conversations WHERE conv_id IS NOT NULL),
+lists AS (SELECT conv_id AS c, list({{'k': k, 'n': n}} ORDER BY turn NULLS FIRST, k[:30]) AS l FROM turns GROUP BY conv_id),
+taken AS (SELECT c, l, c - c % 5 AS base, {_CRC.format("(c::VARCHAR)")} % 9 AS h FROM lists),
+rebuilt AS (
+    SELECT t.c, list_concat(coalesce(b.l[1:t.h], []), t.l[t.h + 1:]) AS l FROM taken t LEFT JOIN lists b ON b.c = t.base),
+members AS (
+    SELECT c, d, d = len(l) AS ends, md5(array_to_string(list_transform(l[1:d], lambda x: x.k), ',')) AS p, coalesce(l[d].n, 0) AS n
+    FROM (SELECT c, l, unnest(range(0, len(l) + 1)) AS d FROM rebuilt)),
+nodes AS (
+    SELECT d, p, min(c) AS conv_id, count(*) AS n_convs, (count(*) - 1) * max(n) AS saved,
+           sha256(coalesce(string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (ends), '')) AS ends_sha256
+    FROM members GROUP BY d, p),
+named AS (SELECT m.c, m.d, n.conv_id FROM members m JOIN nodes n USING (d, p)),
+linked AS (SELECT n.*, u.conv_id AS parent FROM nodes n LEFT JOIN named u ON u.c = n.conv_id AND u.d = n.d - 1),
+fans AS (SELECT parent, d - 1 AS d, count(*) AS n_children FROM linked WHERE d > 0 GROUP BY parent, d),
+full_nodes AS (SELECT l.*, coalesce(f.n_children, 0) AS n_children FROM linked l LEFT JOIN fans f ON f.parent = l.conv_id AND f.d = l.d),
+totals AS (
+    SELECT a.conv_id, a.d, count(*) FILTER (n_children = 0) AS n_leaves, sum(saved) AS saved_tokens
+    FROM full_nodes y JOIN named a ON a.c = y.conv_id AND a.d <= y.d GROUP BY a.conv_id, a.d)
+SELECT conv_id, d::BIGINT AS depth, parent AS parent_conv_id, n_convs, n_children, n_leaves, saved_tokens::BIGINT AS saved_tokens, ends_sha256
+FROM full_nodes JOIN totals USING (conv_id, d)
+"""
+
 ORACLES = {"op4_credential_links": OP4, "op1_reply_trees": OP1, "op3_warc": OP3, "op6_low_discrepancy_mix": OP6, "op7_winnowing": OP7,
-           "op11_reversed_search": OP11, "op12_license_index": OP12}
+           "op11_reversed_search": OP11, "op12_license_index": OP12, "op13_prefix_trie": OP13}

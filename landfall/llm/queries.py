@@ -10,9 +10,9 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from landfall.llm import (credentials, license_index, mixing, neighbour_quality, ngram_ratio, reply_trees, reversed_search, sharding, superminhash, toxicity,
-                          warc, winnowing)
-from landfall.sources.staging import scratch_root
+from landfall.llm import (credentials, license_index, mixing, neighbour_quality, ngram_ratio, prefix_trie, reply_trees, reversed_search, sharding, superminhash,
+                          toxicity, warc, winnowing)
+from landfall.sources.staging import scratch_root, stage
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -116,7 +116,25 @@ def op12_license_index(spark: SparkSession, folder: str) -> DataFrame:
         F.coalesce(F.array_max("licenses.share"), F.lit(0.0)).alias("score"))
 
 
+#: Turns that a conversation may take over from the first of its five.
+_TAKEN = 8
+
+
+def op13_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    """Conversations of five consecutive ids begin alike: with first turns of the first of them."""
+    digested = prefix_trie.digest_turns(table(spark, folder, "conversations"))
+    turns = stage(prefix_trie.number_turns(digested, "trie-original"), "trie-original")
+    taken = fold("conv_id", _TAKEN + 1)
+    all_ids = stage(turns.select("conv_id").distinct(), "trie-ids")
+    first = turns.where(F.col("place") < _TAKEN).select(F.col("conv_id").alias("_first"), "place", "a", "b", "bytes")
+    heads = all_ids.withColumn("taken", taken).join(first, F.col("conv_id") - F.col("conv_id") % 5 == F.col("_first")).where("place < taken")
+    columns = ["conv_id", F.col("place").alias("turn"), "a", "b", "bytes"]
+    rebuilt = heads.select(*columns).unionByName(turns.where(F.col("place") >= taken).select(*columns))
+    return prefix_trie.prefix_trie(rebuilt, all_ids).withColumnRenamed("saved_bytes", "saved_tokens").select(
+        "conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", "ends_sha256")
+
+
 QUERIES = {f.__name__: f for f in (
     op1_reply_trees, op2_jump_shards, op3_warc, op4_credential_links, op5_neighbour_quality, op6_low_discrepancy_mix, op7_winnowing, op8_ngram_ratio,
     op9_noisy_channel_toxicity, op10_superminhash, op11_reversed_search,
-    op12_license_index)}
+    op12_license_index, op13_prefix_trie)}
