@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import math
 import re
 from collections import Counter, defaultdict
 
+import xxhash
+
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
@@ -109,3 +112,24 @@ def branches(messages: list[tuple], best: int) -> dict:
             at = up[at]
         found[leaf[0]].append((-sum(score[n] for n in path), leaf[1], [n[1] for n in reversed(path)]))
     return {t: [p for _, _, p in sorted(v)[:best]] for t, v in found.items()}
+
+
+def bucket_list(text: str | None, count: int) -> list[int]:
+    """Buckets of words and word pairs, by the seeded hash that Spark's ``xxhash64`` documents."""
+    w = [x.encode() for x in words(text)]
+    firsts = [xxhash.xxh64_intdigest(x, seed=42) for x in w]
+    hashes = firsts + [xxhash.xxh64_intdigest(b, seed=a) for a, b in zip(firsts, w[1:])]
+    return [(h - (1 << 64) if h >> 63 else h) % count for h in hashes]
+
+
+def log_ratios(rows: list[tuple[int | None, str | None]], trusted: set[int], count: int, smoothing: float) -> list[tuple[int, float | None]]:
+    """Words and mean log ratio of each row; a trusted one is left out of the counts it is compared with."""
+    grams = [Counter(bucket_list(text, count)) for _, text in rows]
+    raw, good = sum(grams, Counter()), sum((g for (i, _), g in zip(rows, grams) if i in trusted), Counter())
+    out = []
+    for (i, text), g in zip(rows, grams):
+        own = g if i in trusted else Counter()
+        r, t = raw.total() - own.total(), good.total() - own.total()
+        each = sum(n * math.log((good[b] - own[b] + smoothing) / ((raw[b] - own[b]) * (t / r) + smoothing)) for b, n in g.items()) if t else 0.0
+        out.append((len(words(text)), each / g.total() if g else None))
+    return out

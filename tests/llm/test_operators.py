@@ -1,6 +1,7 @@
 """Each operator against plain Python, over nulls, empty and long texts, ties, repeated rows and clashing columns."""
 
 import hashlib
+import os
 import random
 import zlib
 
@@ -230,8 +231,32 @@ def test_ratio_tells_trusted_from_other_words(spark):
 
 def test_all_trusted_texts_are_counted(spark):
     docs = spark.range(20_100).select(F.col("id").alias("doc_id"), F.concat(F.lit("w"), "id").alias("text"))
-    ratios = ngram_ratio.bucket_ratios(docs, docs.select("doc_id"), count=2**12)
-    assert ratios.where("ratio <> 0").count() == 0 and ratios.count() > 4000  # both multinomials are the same
+    counts = ngram_ratio.bucket_counts(docs, docs.select("doc_id"), count=2**12)
+    assert counts.where("good <> raw").count() == 0 and counts.agg(F.sum("raw")).first()[0] == 20_100
+
+
+def test_verdicts_equal_plain_python(spark, docs, monkeypatch):
+    trusted = [1, 10, 11, 15, 15, 16, 77, None]
+    frame = spark.createDataFrame([(i,) for i in trusted], "doc_id bigint")
+    ids = {i for i in trusted if i is not None}
+    want = order((i, *v) for (i, _), v in zip(pairs(), brute.log_ratios(pairs(), ids, 2**10, ngram_ratio.SMOOTHING)))
+    for limit in (128 << 20, 0):  # few ids are broadcast, many are hashed: one answer
+        monkeypatch.setattr("landfall.sources.staging.BROADCAST_BYTES", limit)
+        got = ngram_ratio.judge(docs, frame, threshold=-0.05, count=2**10).collect()
+        assert [(i, n, None if m is None else round(m, 6)) for i, n, m in order((r.doc_id, r.n_words, r.log_ratio) for r in got)] == [
+            (i, n, None if m is None else round(m, 6)) for i, n, m in want]
+        assert all(r.kept == (not r.base_failed and r.log_ratio >= -0.05) for r in got)
+
+
+def test_held_out_good_texts_are_kept(spark):
+    folder = "/root/testdata/sf0.01"
+    if not os.path.isdir(folder):
+        pytest.skip("driver tables are not here")
+    documents, labels = (spark.read.parquet(f"{folder}/{t}.parquet") for t in ("documents", "labels"))
+    judged = ngram_ratio.judge(documents, labels.where("quality = 1 and doc_id % 2 = 0"))
+    rows = judged.where("not base_failed").join(labels.where("doc_id % 2 = 1"), "doc_id").select("quality", "kept").collect()
+    good, low = ([r.kept for r in rows if r.quality == q] for q in (1, 0))
+    assert sum(good) >= 0.95 * len(good) and sum(low) <= 0.2 * len(low)
 
 
 # --- secrets ----------------------------------------------------------------
