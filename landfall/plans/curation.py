@@ -26,7 +26,7 @@ def curate_range(landing: LandingZone, curated: CuratedZone, start: date, end: d
     check_range(start, end)
     run_seq = curated.claim(f"{start}..{end}" if run_seq is not None else f"{start}..{end} {uuid.uuid4().hex}", run_seq)
     chosen = stage(landing.current_between(start, end), "slice")
-    rows, failures = curate.transform(chosen, landing.objects_for(chosen), curated.hashes(before=run_seq))
+    rows, failures = curate.transform(chosen, landing.objects_for(chosen), curated.hashes(before=run_seq, asked=chosen))
     curated.write_run("curated", rows, run_seq)
     curated.write_run("curation_failures", failures, run_seq)
     return summary(curated, run_seq)

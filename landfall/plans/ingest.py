@@ -20,7 +20,7 @@ def land(decided: DataFrame, fetches: DataFrame, zone: LandingZone, run_id: str,
     are not there. Classification sees earlier runs only and a retry replaces
     what the run wrote before, so retrying is harmless.
     """
-    classified = landing.classify(decided, zone.hashes(before=run_seq) if known is None else known, recheck)
+    classified = landing.classify(decided, zone.hashes(before=run_seq, asked=decided) if known is None else known, recheck)
     named = stage(landing.name_objects(classified), "classified")
     stored_before = zone.objects_for(landing.stored(named), before=run_seq).select("storage_path")
     objects = stage(landing.new_objects(named, stored_before), "new-objects")
@@ -44,7 +44,7 @@ def ingest(listings: DataFrame, fetches: DataFrame, zone: LandingZone, *, run_id
     run_seq = zone.claim(run_id, run_seq)
     rows = stage(listing.listing_rows(listings), "listing-rows")
     requests = stage(frontier.capped_batch(landing.url_once(listing.candidates(rows)), limit), "requests")
-    known = zone.read("records", before=run_seq).select("identifier")
+    known = zone.identifiers(before=run_seq)
     if recheck:
         wanted, skipped = requests, requests.filter(F.lit(False))
     else:

@@ -16,6 +16,7 @@ RECORD_FIELDS = """identifier STRING, title STRING, description STRING, publishe
     scraped_at TIMESTAMP, last_run_id STRING"""
 LANDING_LOG = f"{RECORD_FIELDS}, fetch_seq BIGINT, run_seq BIGINT"
 CURATED_FIELDS = f"{RECORD_FIELDS}, original_storage_path STRING, original_file_hash STRING"
+CURATED_HEADS = f"{CURATED_FIELDS}, content_type STRING, outcome STRING, run_seq BIGINT"
 CURATED_LOG = f"{CURATED_FIELDS}, content_type STRING, outcome STRING, data BINARY, run_seq BIGINT"
 
 # Landed bytes. The label is part of the storage path and a partition column of the table.

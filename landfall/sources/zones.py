@@ -3,8 +3,9 @@
 A run writes its rows below ``table/run_seq=n`` and replaces that folder when it
 is retried, so a run that was killed half-way leaves nothing twice. A number
 belongs to the run that claimed it first: another one is refused it, so no run
-can replace what another has written. Current state is a view over the log.
-Readers of a run look at earlier runs only.
+can replace what another has written. Current state is a view: the last snapshot
+(:mod:`landfall.sources.snapshots`) and the rows of the runs since. Readers of a
+run look at earlier runs only.
 """
 
 from __future__ import annotations
@@ -17,9 +18,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from landfall.functions import identity
-from landfall.operators.landing import current_hashes, current_records, current_slice
+from landfall.operators.curate import range_slice
+from landfall.operators.landing import current_slice
 from landfall.operators.sequence import latest_by
 from landfall.sources import schemas
+from landfall.sources.snapshots import Snapshots
 from landfall.sources.staging import small_side, stage
 
 LANDING_TABLES = {
@@ -39,11 +42,85 @@ RUNS = "run_seq BIGINT, owner STRING"
 _SPLIT_BY = {"objects": "partition_date"}
 
 
+#: Runs since the last snapshot after which :meth:`Zone.maintain` takes the next one.
+COMPACT_EVERY = 16
+
+
 class Zone:
-    """Tables below one root folder."""
+    """Tables below one root folder.
+
+    ``log`` is the table whose latest row per identifier, in the order of the columns ``order``, is the current state;
+    ``heads`` is the schema of these rows.
+    """
+
+    def __init__(self, spark: SparkSession, root: str, tables: dict[str, str], log: str, order: list[str], heads: str):
+        self.spark, self.root, self.tables, self.log, self.order = spark, root.rstrip("/"), tables, log, order
+        self.columns = schemas.field_names(heads)
+        self.snapshots = Snapshots(spark, f"{self.root}/current", heads, "identifier")
+
+    def _changes(self, before: int | None, after: int | None) -> DataFrame:
+        """Rows of the log that set the state of an identifier, of the runs after ``after`` and before ``before``."""
+        rows = self.read(self.log, before)
+        return (rows if after is None else rows.filter(F.col("run_seq") > after)).select(*self.columns)
+
+    def _state(self, before: int | None) -> tuple[DataFrame | None, DataFrame]:
+        """(snapshot, changes since then) before a run. Rows without identifier count as changes: no join finds them."""
+        snapshot = self.snapshots.latest(before)
+        changes = self._changes(before, None if snapshot is None else snapshot.through)
+        if snapshot is None:
+            return None, changes
+        base = self.snapshots.read(snapshot)
+        return base.filter("identifier is not null"), changes.unionByName(base.filter("identifier is null"))
 
-    def __init__(self, spark: SparkSession, root: str, tables: dict[str, str]):
-        self.spark, self.root, self.tables = spark, root.rstrip("/"), tables
+    def current(self, before: int | None = None) -> DataFrame:
+        """The current row of each identifier. The snapshot is read in place; changes since then are laid over it."""
+        base, changes = self._state(before)
+        newer = latest_by(changes, "identifier", *self.order)
+        if base is None:
+            return newer
+        return base.join(changes.select("identifier"), "identifier", "left_anti").unionByName(newer)
+
+    def identifiers(self, before: int | None = None) -> DataFrame:
+        """Identifiers that have a current row, some several times."""
+        base, changes = self._state(before)
+        keys = changes.select("identifier")
+        return keys if base is None else base.select("identifier").unionByName(keys)
+
+    def hashes(self, before: int | None = None, asked: DataFrame | None = None) -> DataFrame:
+        """``identifier, file_hash`` of the current rows, of all or of the ones in ``asked`` (a staged table).
+
+        Snapshot and changes are reduced to the asked identifiers before anything is aggregated.
+        """
+        columns = ["identifier", "file_hash", *self.order]
+        parts = [part.select(*columns) for part in self._state(before) if part is not None]
+        if asked is not None:
+            keys = asked.select("identifier").distinct()
+            parts = [part.join(keys, "identifier", "left_semi") for part in parts]
+        rows = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+        return rows.groupBy("identifier").agg(F.max_by("file_hash", F.struct(*self.order)).alias("file_hash"))
+
+    def compact(self) -> None:
+        """Take a snapshot of the current state; runs that follow read the rows of later runs only."""
+        last, base = max(self._written_runs(), default=None), self.snapshots.latest()
+        if last is None or base is not None and base.through >= last:
+            return
+        newer = stage(latest_by(self._changes(last + 1, None if base is None else base.through), "identifier", *self.order), "changes")
+        self.snapshots.merge(base, newer, last)
+        self.snapshots.keep()
+
+    def maintain(self, every: int = COMPACT_EVERY) -> None:
+        """Compact if ``every`` or more runs have written since the last snapshot."""
+        base = self.snapshots.latest()
+        if sum(base is None or run > base.through for run in self._written_runs()) >= every:
+            self.compact()
+
+    def _written_runs(self) -> list[int]:
+        """Numbers of the runs in the log, from its folder names."""
+        hadoop = self.spark._jvm.org.apache.hadoop.fs.Path
+        place = hadoop(f"{self.root}/{self.log}")
+        files = place.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        names = [status.getPath().getName() for status in files.listStatus(place)] if files.exists(place) else []
+        return [int(name.removeprefix("run_seq=")) for name in names if name.startswith("run_seq=")]
 
     def read(self, table: str, before: int | None = None) -> DataFrame:
         """A table's rows of all runs, or of the runs before ``before``."""
@@ -95,20 +172,31 @@ class Zone:
         if table in _SPLIT_BY:
             writer = writer.partitionBy(_SPLIT_BY[table])
         writer.parquet(aside)
+        if table == self.log:
+            self.snapshots.forget(run_seq)  # they hold what is replaced
         self._publish(aside, f"{self.root}/{table}/run_seq={run_seq}")
 
     def _publish(self, source: str, target: str) -> None:
+        """Rename a complete folder; rows that it replaces are set aside first and removed last."""
         hadoop = self.spark._jvm.org.apache.hadoop.fs.Path
-        place = hadoop(target)
+        place, former = hadoop(target), hadoop(f"{source}-former")
         files = place.getFileSystem(self.spark._jsc.hadoopConfiguration())
-        files.delete(place, True)
-        if not files.rename(hadoop(source), place):
+        replaced = files.exists(place) and files.rename(place, former)
+        done = False
+        try:
+            done = files.rename(hadoop(source), place)
+        finally:
+            if replaced and not done:
+                files.rename(former, place)
+        if not done:
             raise OSError(f"{source} could not be renamed to {target}")
+        if replaced:
+            files.delete(former, True)
 
 
 class LandingZone(Zone):
     def __init__(self, spark: SparkSession, root: str):
-        super().__init__(spark, root, LANDING_TABLES)
+        super().__init__(spark, root, LANDING_TABLES, "records", ["run_seq", "fetch_seq"], schemas.LANDING_LOG)
 
     def objects_for(self, keys: DataFrame, before: int | None = None) -> DataFrame:
         """Objects that may have one of the (staged) keys: folders of other labels are pruned when the join runs."""
@@ -117,34 +205,28 @@ class LandingZone(Zone):
         labels = keys.filter(F.col("storage_path").isNotNull()).select(label).distinct()
         return self.read("objects", before).join(labels, F.col("partition_date") == F.col("_label"), "left_semi")
 
-    def current(self, before: int | None = None) -> DataFrame:
-        """The current record of each identifier."""
-        return current_records(self.read("records", before))
-
     def current_between(self, start: date, end: date) -> DataFrame:
         """The current records published in ``[start, end)``."""
-        return current_slice(self.read("records"), F.lit(start), F.lit(end))
-
-    def hashes(self, before: int | None = None) -> DataFrame:
-        """``identifier, file_hash`` of the current records."""
-        return current_hashes(self.read("records", before))
+        base, changes = self._state(None)
+        if base is None:
+            return current_slice(changes, F.lit(start), F.lit(end)).select(*self.columns)
+        # Records of the snapshot are current unless their identifier changed since; the range reaches both scans.
+        kept = range_slice(base, F.lit(start), F.lit(end)).join(changes.select("identifier"), "identifier", "left_anti")
+        return kept.select(*self.columns).unionByName(current_slice(changes, F.lit(start), F.lit(end)))
 
 
 class CuratedZone(Zone):
     def __init__(self, spark: SparkSession, root: str):
-        super().__init__(spark, root, CURATED_TABLES)
+        super().__init__(spark, root, CURATED_TABLES, "curated", ["run_seq"], schemas.CURATED_HEADS)
+
+    def _changes(self, before: int | None, after: int | None) -> DataFrame:
+        rows = self.written(before)
+        return (rows if after is None else rows.filter(F.col("run_seq") > after)).select(*self.columns)
 
     def written(self, before: int | None = None) -> DataFrame:
         """Rows that changed the zone: no-ops are in the log for accounting only."""
         return self.read("curated", before).filter(F.col("outcome") != "unchanged")
 
-    def current(self, before: int | None = None) -> DataFrame:
-        """The current metadata of each identifier; bytes are not read."""
-        return latest_by(self.written(before).drop("data"), "identifier", "run_seq")
-
-    def hashes(self, before: int | None = None) -> DataFrame:
-        return self.written(before).groupBy("identifier").agg(F.max_by("file_hash", "run_seq").alias("file_hash"))
-
     def objects(self) -> DataFrame:
         """``storage_path, data, content_type``: the last bytes written to each key."""
         rows = self.written().select("storage_path", "run_seq", "content_type", "data")

@@ -314,6 +314,17 @@ _ORIGIN = "regexp_extract(url, '^([a-z]+://[^/?#]*)', 1)"
 _DIRECTORY = f"regexp_replace({_BASE_PATH}, '[^/]*$', '')"
 _ODD = r"regexp_replace(url, '/([0-9]+)(\.html|/)?', ' /ir  -  sc - _\1_.tar.PDF;v=\1')"
 
+#: The last change of content of each user.
+LAST_EVENTS = """
+WITH steps AS (
+  SELECT *, 'U' || user_id AS identifier, lag(event_type) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS previous FROM events)
+SELECT identifier, props AS description, CAST(ts AS DATE) AS published_date,
+       'events/' || strftime(ts, '%Y-%m') || '/' || identifier
+       || CASE WHEN previous IS NULL THEN '' ELSE '__' || substr(sha256(event_type), 1, 12) END || '.html' AS storage_path,
+       sha256(event_type) AS file_hash, CAST(octet_length(encode(event_type)) AS BIGINT) AS content_length, event_id AS fetch_seq
+FROM steps WHERE previous IS NULL OR previous <> event_type
+QUALIFY row_number() OVER (PARTITION BY identifier ORDER BY ts DESC, event_id DESC) = 1"""
+
 ORACLES = {
     "partition_calendar": f"""WITH {_SPANS}
 SELECT c_nationkey, o_orderpriority, label, window_start, window_end FROM (
@@ -460,15 +471,8 @@ JOIN second_text s ON s.fetch_seq = o.fetch_seq
 WHERE r.outcome <> 'unchanged' AND s.body IS NOT NULL AND sha256(s.body) <> r.file_hash""",
     "url_once": f"""WITH {LISTING}
 SELECT min(fetch_seq) AS fetch_seq, document_url FROM rows WHERE link IS NOT NULL GROUP BY document_url""",
-    "stream_merge": """
-WITH steps AS (
-  SELECT *, 'U' || user_id AS identifier, lag(event_type) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS previous FROM events)
-SELECT identifier, props AS description, CAST(ts AS DATE) AS published_date,
-       'events/' || strftime(ts, '%Y-%m') || '/' || identifier
-       || CASE WHEN previous IS NULL THEN '' ELSE '__' || substr(sha256(event_type), 1, 12) END || '.html' AS storage_path,
-       sha256(event_type) AS file_hash, CAST(octet_length(encode(event_type)) AS BIGINT) AS content_length, event_id AS fetch_seq
-FROM steps WHERE previous IS NULL OR previous <> event_type
-QUALIFY row_number() OVER (PARTITION BY identifier ORDER BY ts DESC, event_id DESC) = 1""",
+    "stream_merge": LAST_EVENTS,
+    "snapshot_merge": LAST_EVENTS,
     "ingest_run": f"""WITH {LINKED},
 marked AS (
   SELECT body_key, count(*) FILTER (outcome = 'new') AS new, count(*) FILTER (outcome = 'skipped') AS skipped FROM landed

@@ -17,7 +17,7 @@ from landfall.plans.ingest import ingest
 from landfall.sources.schemas import RECORD_COLUMNS
 from landfall.sources.staging import scratch_root, stage
 from landfall.sources.zones import CuratedZone, LandingZone
-from landfall.streaming.merge import merge_stream
+from landfall.streaming.merge import decide, merge_stream
 from workload import scenario
 from workload.scenario import table
 
@@ -229,8 +229,23 @@ def sequence_outcome(spark: SparkSession, folder: str) -> DataFrame:
     return landing.classify(events, nothing, recheck=True).select("fetch_seq", "identifier", "previous_hash", "outcome")
 
 
+def _zone_after_first_run(spark: SparkSession, folder: str) -> LandingZone:
+    """A landing zone with the records of the first run, compacted."""
+    zone, _ = _run_zones(spark)
+    zone.write_run("records", landing.build_records(_first_run_named(spark, folder), "r1", 1), 1)
+    zone.compact()
+    return zone
+
+
+def _second_run_into(spark: SparkSession, folder: str, zone: LandingZone) -> DataFrame:
+    batch = stage(scenario.decided(scenario.second_run(spark, folder)), "decided")
+    return landing.name_objects(landing.classify(batch, zone.hashes(before=2, asked=batch), recheck=True))
+
+
 def merge_outcome(spark: SparkSession, folder: str) -> DataFrame:
-    return _second_run_named(spark, folder).select("fetch_seq", "identifier", "file_hash", "content_length", "outcome")
+    """The second run against the zone's snapshot of the first."""
+    named = _second_run_into(spark, folder, _zone_after_first_run(spark, folder))
+    return named.select("fetch_seq", "identifier", "file_hash", "content_length", "outcome")
 
 
 def skip_known(spark: SparkSession, folder: str) -> DataFrame:
@@ -262,13 +277,24 @@ def _no_keys(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([], "storage_path string")
 
 
-def _log(spark: SparkSession, folder: str) -> DataFrame:
-    first = landing.build_records(_first_run_named(spark, folder), "r1", 1)
-    return first.unionByName(landing.build_records(_second_run_named(spark, folder), "r2", 2))
+def merge_current(spark: SparkSession, folder: str) -> DataFrame:
+    """The snapshot of the first run with the second laid over it."""
+    zone = _zone_after_first_run(spark, folder)
+    zone.write_run("records", landing.build_records(_second_run_into(spark, folder, zone), "r2", 2), 2)
+    return zone.current().drop("scraped_at")
 
 
-def merge_current(spark: SparkSession, folder: str) -> DataFrame:
-    return landing.current_records(_log(spark, folder)).drop("scraped_at")
+def snapshot_merge(spark: SparkSession, folder: str) -> DataFrame:
+    """Events as one run per week; every second run is merged into the snapshot. The current records afterwards."""
+    zone, _ = _run_zones(spark)
+    events = stage(decide(scenario.events_as_documents(table(spark, folder, "events"))).withColumn(
+        "week", F.floor((F.dayofmonth("published_date") - 1) / 8)), "weeks")
+    for week in range(4):
+        batch = events.filter(F.col("week") == week)
+        named = landing.name_objects(landing.classify(batch, zone.hashes(before=week, asked=batch), recheck=True))
+        zone.write_run("records", landing.build_records(named, f"w{week}", week), week)
+        zone.maintain(every=2)
+    return zone.current().select("identifier", "description", "published_date", "storage_path", "file_hash", "content_length", "fetch_seq")
 
 
 def hash_mismatch(spark: SparkSession, folder: str) -> DataFrame:
@@ -363,10 +389,10 @@ def range_slice(spark: SparkSession, folder: str) -> DataFrame:
     return curation.range_slice(orders, start, end, "o_orderdate").select("o_orderkey", "o_totalprice")
 
 
-def _curation(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
+def _curation(spark: SparkSession, folder: str, curated: CuratedZone | None = None) -> tuple[DataFrame, DataFrame]:
     """Curate the current records of a run of all pages that are published in a range.
 
-    Objects of French pages were lost; pages of blogs were curated before.
+    Objects of French pages were lost; pages of blogs were curated before (in the zone, if there is one).
     """
     batch = scenario.whole_run(spark, folder)
     named = _first_run_named(spark, folder, scenario.whole_run)
@@ -379,6 +405,14 @@ def _curation(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
     earlier = landed.join(batch.select("fetch_seq", canonical.alias("data")), "fetch_seq").select(
         "identifier", content.sha256_hex(curation.curated_bytes(
             F.col("document_type"), F.col("data"), F.col("identifier"))).alias("file_hash"))
+    if curated is not None:
+        rows = records.drop("file_hash", "run_seq", "fetch_seq").join(earlier, "identifier").withColumns({
+            "original_storage_path": F.col("storage_path"), "original_file_hash": F.lit(None).cast("string"),
+            "content_type": identity.content_type(F.col("document_type")), "outcome": F.lit("copied_asis"),
+            "data": F.lit(None).cast("binary")})
+        curated.write_run("curated", rows, 1)
+        curated.compact()
+        earlier = curated.hashes(before=2, asked=stage(chosen.select("identifier"), "chosen"))
     return curation.transform(chosen, objects, earlier)
 
 
@@ -390,7 +424,8 @@ def curate(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def curate_outcome(spark: SparkSession, folder: str) -> DataFrame:
-    rows, _ = _curation(spark, folder)
+    """The second curation run of a zone, against its snapshot."""
+    rows, _ = _curation(spark, folder, _run_zones(spark)[1])
     return rows.select("identifier", "document_type", "outcome")
 
 
@@ -430,6 +465,7 @@ QUERIES = {
     "landing_key": landing_key,
     "append_objects": append_objects,
     "merge_current": merge_current,
+    "snapshot_merge": snapshot_merge,
     "hash_mismatch": hash_mismatch,
     "url_once": url_once,
     "stream_merge": stream_merge,
