@@ -23,12 +23,17 @@ def land(decided: DataFrame, fetches: DataFrame, zone: LandingZone, run_id: str,
     classified = landing.classify(decided, zone.hashes(before=run_seq, asked=decided) if known is None else known, recheck)
     named = stage(landing.name_objects(classified), "classified")
     stored_before = zone.objects_for(landing.stored(named), before=run_seq).select("storage_path")
-    objects = stage(landing.new_objects(named, stored_before), "new-objects")
+    write_landed(named, landing.new_objects(named, stored_before), fetches, zone, run_id, run_seq)
+    return named
+
+
+def write_landed(named: DataFrame, appended: DataFrame, fetches: DataFrame, zone: LandingZone, run_id: str, run_seq: int) -> None:
+    """Write the objects of the ``appended`` rows, then the records of all that are stored."""
+    objects = stage(appended.select("storage_path", "partition_date", "document_type", "payload_seq", "fetch_seq"), "new-objects")
     zone.write_run("objects", landing.attach_bytes(objects, fetches), run_seq)
     # Dates close together share row groups, which a date slice can then skip.
     records = landing.build_records(named, run_id, run_seq).sortWithinPartitions("published_date")
     zone.write_run("records", records, run_seq)
-    return named
 
 
 def ingest(listings: DataFrame, fetches: DataFrame, zone: LandingZone, *, run_id: str, run_seq: int,

@@ -151,12 +151,16 @@ class Zone:
         if run_seq is None:
             last = runs.agg(F.max("run_seq")).first()[0]
             if last is None:  # a zone whose runs claimed nothing
-                last = self.read(next(iter(self.tables))).agg(F.max("run_seq")).first()[0]
+                last = max(self._written_runs(), default=None)
             run_seq = 0 if last is None else last + 1
         row = self.spark.createDataFrame([(owner,)], "owner STRING")
         row.coalesce(1).write.mode("overwrite").parquet(f"{self.root}/runs/run_seq={run_seq}")
         return run_seq
 
+    def owners(self) -> DataFrame:
+        """``run_seq, owner`` of all runs that claimed a number."""
+        return self._stored("runs", RUNS)
+
     def read_run(self, table: str, run_seq: int) -> DataFrame:
         """A table's rows of one run."""
         return self.read(table).filter(F.col("run_seq") == run_seq)

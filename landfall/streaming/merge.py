@@ -39,12 +39,14 @@ def merge_stream(documents: DataFrame, zone: LandingZone, checkpoint: str, *, ru
 
     Every batch is a run with the zone's next number, which the zone keeps under the checkpoint and the batch. A
     batch repeated after a failure finds its number again and replaces its own folders, so each document takes
-    effect once, and runs of others are never touched.
+    effect once, and runs of others are never touched. Every so many batches the zone is compacted, so a batch reads the
+    rows of a few others besides the snapshot.
     """
     def merge(batch: DataFrame, batch_id: int) -> None:
         run_seq = zone.claim(f"{run_id} {checkpoint} {batch_id}")
         named = land(stage(decide(batch), "decided"), batch, zone, run_id, run_seq, recheck)
         write_outcomes(named, zone, run_seq)
+        zone.maintain()
 
     return (
         documents.writeStream.foreachBatch(merge)

@@ -473,6 +473,7 @@ WHERE r.outcome <> 'unchanged' AND s.body IS NOT NULL AND sha256(s.body) <> r.fi
 SELECT min(fetch_seq) AS fetch_seq, document_url FROM rows WHERE link IS NOT NULL GROUP BY document_url""",
     "stream_merge": LAST_EVENTS,
     "snapshot_merge": LAST_EVENTS,
+    "stream_keyed": LAST_EVENTS,
     "ingest_run": f"""WITH {LINKED},
 marked AS (
   SELECT body_key, count(*) FILTER (outcome = 'new') AS new, count(*) FILTER (outcome = 'skipped') AS skipped FROM landed

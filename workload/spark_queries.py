@@ -17,6 +17,7 @@ from landfall.plans.ingest import ingest
 from landfall.sources.schemas import RECORD_COLUMNS
 from landfall.sources.staging import scratch_root, stage
 from landfall.sources.zones import CuratedZone, LandingZone
+from landfall.streaming.keyed import keyed_stream
 from landfall.streaming.merge import decide, merge_stream
 from workload import scenario
 from workload.scenario import table
@@ -324,6 +325,30 @@ def stream_merge(spark: SparkSession, folder: str) -> DataFrame:
                                  "fetch_seq")
 
 
+def _event_files(spark: SparkSession, folder: str, parts: int) -> str:
+    """The events in files of consecutive numbers, written one after another."""
+    path = f"{scratch_root(spark)}/events-{uuid.uuid4().hex}"
+    events = table(spark, folder, "events")
+    first, last = events.agg(F.min("event_id"), F.max("event_id")).first()
+    step = (last - first) // parts + 1 if last is not None else 1
+    for part in range(parts):
+        low = (first or 0) + part * step
+        events.filter((F.col("event_id") >= low) & (F.col("event_id") < low + step)).coalesce(1).write.mode("append").parquet(path)
+    return path
+
+
+def stream_keyed(spark: SparkSession, folder: str) -> DataFrame:
+    """Events in four micro-batches, against the state of their users; the current records afterwards."""
+    run, source = f"{scratch_root(spark)}/keyed-{uuid.uuid4().hex}", _event_files(spark, folder, 4)
+    schema = table(spark, folder, "events").schema
+    events = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(source)
+    zone = LandingZone(spark, f"{run}/zone")
+    keyed_stream(scenario.events_as_documents(events), lambda files: scenario.events_as_documents(
+        spark.read.schema(schema).parquet(*files)), zone, f"{run}/checkpoint").awaitTermination()
+    return zone.current().select("identifier", "description", "published_date", "storage_path", "file_hash", "content_length",
+                                 "fetch_seq")
+
+
 def _run_zones(spark: SparkSession) -> tuple[LandingZone, CuratedZone]:
     """New, empty zones in the scratch folder."""
     run = f"{scratch_root(spark)}/zones-{uuid.uuid4().hex}"
@@ -469,6 +494,7 @@ QUERIES = {
     "hash_mismatch": hash_mismatch,
     "url_once": url_once,
     "stream_merge": stream_merge,
+    "stream_keyed": stream_keyed,
     "ingest_run": ingest_run,
     "ingest_and_curate": ingest_and_curate_run,
     "reconcile": reconcile_units,
