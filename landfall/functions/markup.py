@@ -7,7 +7,8 @@ handful of integers plus one entry per subtree found.
 
 Subtrees are source slices: nothing is re-serialised, entities and attribute
 quoting stay as they were. An element that is never closed reaches to the end
-of the page; stray closing tags are ignored.
+of the page; stray closing tags are ignored. List items may omit their end
+tags: these are cut with a stack of the open lists and containers.
 
 The functions named ``sql_*`` map SQL text to SQL text, so that nested use stays
 one text; the others take and return columns.
@@ -39,6 +40,11 @@ _ENTITIES = ",".join(f"{name}:{code}" for name, code in {**name2codepoint, "apos
 # Elements that never have content.
 _VOID = ("area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr")
 
+# Containers that an item may be in, and how strong they are: no end tag reaches over a stronger one.
+_CONTAINERS = {"ul": 100, "ol": 100, "menu": 100, "dir": 100, "div": 150, "td": 160, "table": 190}
+_WEAK = 100
+_SPANS = 100
+
 
 def _words(values: Sequence[str]) -> str:
     return ", ".join(map(quote, values))
@@ -96,25 +102,27 @@ def sql_has_class(tag: str, name: str) -> str:
     return f"array_contains({sql_classes(tag)}, {quote(name)})"
 
 
+def _sql_describe(tag: str, hit: Callable[[str, str], str]) -> str:
+    """Struct of a tag's ``name``, ``step`` (1 opens, -1 closes, 0 neither) and whether it is an opening tag that is looked for."""
+    def build(name: str) -> str:
+        whole = f"({name} IN ('', 'script', 'style', {_words(_VOID)}) OR endswith({tag}, '/>'))"
+        return (
+            f"named_struct('name', {name},"
+            f" 'step', CASE WHEN startswith({tag}, '</') THEN -1 WHEN {whole} THEN 0 ELSE 1 END,"
+            f" 'hit', IF(startswith({tag}, '</') OR {name} = '', false, {hit(name, tag)}))"
+        )
+
+    return bind(sql_tag_name(tag), build)
+
+
 def _sql_cut(html: str, pattern: str, hit: Callable[[str, str], str],
-             use: Callable[[str, str, str], str], only_first: bool = False, nested: bool = False) -> str:
-    """Find the outermost (or, ``nested``, all) subtrees whose opening tag satisfies ``hit(name, tag)``.
+             use: Callable[[str, str, str], str], only_first: bool = False) -> str:
+    """Find the outermost subtrees whose opening tag satisfies ``hit(name, tag)``.
 
     ``use(page, pieces, spans)`` gets the page, the alternating array run, tag,
     run, ... and the spans as tag numbers (1-based, opening and closing tag). Tag
     n sits at position 2n of ``pieces``.
     """
-    def describe(tag: str) -> str:
-        def build(name: str) -> str:
-            whole = f"({name} IN ('', 'script', 'style', {_words(_VOID)}) OR endswith({tag}, '/>'))"
-            return (
-                f"named_struct('name', {name},"
-                f" 'step', CASE WHEN startswith({tag}, '</') THEN -1 WHEN {whole} THEN 0 ELSE 1 END,"
-                f" 'hit', IF(startswith({tag}, '</') OR {name} = '', false, {hit(name, tag)}))"
-            )
-
-        return bind(sql_tag_name(tag), build)
-
     def state(name: str = "s.name", depth: str = "s.depth", first: str = "s.first", spans: str = "s.spans") -> str:
         return (f"named_struct('at', s.at + 1, 'name', {name}, 'depth', {depth}, 'first', {first}, 'spans', {spans})")
 
@@ -137,29 +145,63 @@ def _sql_cut(html: str, pattern: str, hit: Callable[[str, str], str],
     def outermost(described: str) -> str:
         return f"aggregate({described}, {start}, (s, tag) -> {advance}, s -> {finish})"
 
-    def every(described: str) -> str:
-        """All spans in order of their opening tags: those that open inside another are closed on their own."""
-        def close(at: str) -> str:
-            # From this opening tag on: how far until its own depth is back to 0.
-            rest = f"slice({described}, {at}, size({described}))"
-            begin = f"named_struct('depth', 0, 'last', 0, 'at', {at} - 1, 'name', element_at({described}, {at}).name)"
-            step = ("IF(s.last > 0 OR tag.name <> s.name, named_struct('depth', s.depth, 'last', s.last, 'at', s.at + 1, 'name', s.name),"
-                    " named_struct('depth', s.depth + tag.step, 'last', IF(s.depth + tag.step <= 0, s.at + 1, 0), 'at', s.at + 1,"
-                    " 'name', s.name))")
-            return f"aggregate({rest}, {begin}, (s, tag) -> {step}, s -> named_struct('first', {at}, 'last', IF(s.last > 0, s.last, s.at + 1)))"
-
-        hits = f"filter(sequence(1, size({described})), n -> element_at({described}, n).hit)"
-        plain = bind(outermost(described), lambda outer: bind(
-            f"size(filter({described}, t -> t.hit))", lambda many: (
-                f"IF({many} = size({outer}), {outer}, transform({hits}, n -> {close('n')}))")))
-        return f"IF(size({described}) = 0, CAST(array() AS ARRAY<STRUCT<first: INT, last: INT>>), {plain})"
+    def scan(page: str, pieces: str) -> str:
+        tags = f"filter({pieces}, (piece, n) -> n % 2 = 1)"
+        described = f"transform({tags}, t -> {_sql_describe('t', hit)})"
+        return bind(outermost(described), lambda found: use(page, pieces, found))
+
+    return bind(html, lambda page: bind(_sql_pieces(page, pattern), lambda pieces: scan(page, pieces)))
+
+
+def _sql_items(html: str, element: str, hit: Callable[[str, str], str], use: Callable[[str, str, str], str]) -> str:
+    """Find all subtrees of an element whose end tag may be omitted, in order of their opening tags.
+
+    One pass with a stack of open elements: an ``element`` ends the one it follows directly, and an end tag ends all that
+    is open inside its own element. An end tag without one, or behind a stronger container, is ignored.
+    """
+    no_spans = "CAST(array() AS ARRAY<STRUCT<first: INT, last: INT>>)"
+    strength = " ".join(f"WHEN {quote(name)} THEN {rank}" for name, rank in _CONTAINERS.items())
+
+    def rank(name: str) -> str:
+        return f"CASE {name} {strength} ELSE {_WEAK} END"
+
+    def keep(last: str) -> str:
+        """How many open elements a tag leaves open; ``last`` is the place of the last one of its name."""
+        barred = f"exists(slice(s.open, {last} + 1, size(s.open) - {last}), o -> o.rank > {rank('tag.name')})"
+        return (f"CASE WHEN tag.step > 0 AND tag.name = {quote(element)} AND {last} = size(s.open) AND {last} > 0 THEN {last} - 1"
+                f" WHEN tag.step < 0 AND {last} > 0 AND NOT {barred} THEN {last} - 1 ELSE size(s.open) END")
+
+    def ended(from_: str) -> str:
+        return (f"transform(filter(slice(s.open, {from_} + 1, size(s.open) - {from_}), o -> o.hit),"
+                " o -> named_struct('first', o.first, 'last', s.at + 1))")
+
+    def after(opened: str, spans: Callable[[], str]) -> str:
+        # Spans are put aside in blocks, so that none is copied for every later one.
+        aside = f"IF(size(s.spans) < {_SPANS}, s.aside, array_append(s.aside, s.spans))"
+        kept = bind(f"IF(size(s.spans) < {_SPANS}, s.spans, {no_spans})", lambda rest: spans().replace("s.spans", rest))
+        return f"named_struct('at', s.at + 1, 'open', {opened}, 'spans', {kept}, 'aside', {aside})"
+
+    def step(kept: str) -> str:
+        opened = f"array(named_struct('name', tag.name, 'rank', {rank('tag.name')}, 'first', s.at + 1, 'hit', tag.hit))"
+        left = f"IF({kept} = size(s.open), s.open, slice(s.open, 1, {kept}))"
+        return after(f"IF(tag.step > 0, concat({left}, {opened}), {left})",
+                     lambda: f"IF({kept} = size(s.open), s.spans, concat(s.spans, {ended(kept)}))")
+
+    position = "array_position(reverse(transform(s.open, o -> o.name)), tag.name)"
+    last = f"CAST(IF({position} > 0, size(s.open) + 1 - {position}, 0) AS INT)"
+    single = after("s.open", lambda: "array_append(s.spans, named_struct('first', s.at + 1, 'last', s.at + 1))")
+    other = "named_struct('at', s.at + 1, 'open', s.open, 'spans', s.spans, 'aside', s.aside)"
+    start = ("named_struct('at', 0, 'open', CAST(array() AS ARRAY<STRUCT<name: STRING, rank: INT, first: INT, hit: BOOLEAN>>),"
+             f" 'spans', {no_spans}, 'aside', CAST(array() AS ARRAY<ARRAY<STRUCT<first: INT, last: INT>>>))")
+    advance = f"CASE WHEN tag.step <> 0 THEN {bind(last, lambda at: bind(keep(at), step))} WHEN tag.hit THEN {single} ELSE {other} END"
+    finish = f"array_sort(flatten(array_append(s.aside, concat(s.spans, {ended('0')}))))"
 
     def scan(page: str, pieces: str) -> str:
         tags = f"filter({pieces}, (piece, n) -> n % 2 = 1)"
-        described = f"transform({tags}, t -> {describe('t')})"
-        spans = bind(described, every) if nested else outermost(described)
+        spans = f"aggregate(transform({tags}, t -> {_sql_describe('t', hit)}), {start}, (s, tag) -> {advance}, s -> {finish})"
         return bind(spans, lambda found: use(page, pieces, found))
 
+    pattern = boundary(element, *_CONTAINERS)
     return bind(html, lambda page: bind(_sql_pieces(page, pattern), lambda pieces: scan(page, pieces)))
 
 
@@ -209,9 +251,14 @@ def sql_first_subtree(html: str, element: str, css_class: str) -> str:
                     + bind(f"get({spans}, 0)", lambda span: _sql_inside(pieces, span)) + ", NULL)", only_first=True)
 
 
-def sql_subtrees(html: str, element: str, css_class: str, nested: bool = False) -> str:
+def sql_subtrees(html: str, element: str, css_class: str) -> str:
     return _sql_cut(html, boundary(element), _sql_is(element, css_class),
-                    lambda page, pieces, spans: f"transform({spans}, span -> {_sql_inside(pieces, 'span')})", nested=nested)
+                    lambda page, pieces, spans: f"transform({spans}, span -> {_sql_inside(pieces, 'span')})")
+
+
+def sql_items(html: str, element: str, css_class: str) -> str:
+    return _sql_items(html, element, _sql_is(element, css_class),
+                      lambda page, pieces, spans: f"transform({spans}, span -> {_sql_inside(pieces, 'span')})")
 
 
 def sql_body_of(html: str) -> str:
@@ -278,9 +325,14 @@ def first_subtree(html: Column, element: str, css_class: str) -> Column:
     return let_sql(html, lambda h: sql_first_subtree(h, element, css_class))
 
 
-def subtrees(html: Column, element: str, css_class: str, nested: bool = False) -> Column:
-    """Markup inside every outermost (or, ``nested``, every) ``element`` with the class, in page order."""
-    return let_sql(html, lambda h: sql_subtrees(h, element, css_class, nested))
+def subtrees(html: Column, element: str, css_class: str) -> Column:
+    """Markup inside every outermost ``element`` with the class, in page order."""
+    return let_sql(html, lambda h: sql_subtrees(h, element, css_class))
+
+
+def items(html: Column, element: str, css_class: str) -> Column:
+    """Markup inside every ``element`` with the class, in page order, ones inside others included; end tags may be omitted."""
+    return let_sql(html, lambda h: sql_items(h, element, css_class))
 
 
 def body_of(html: Column) -> Column:

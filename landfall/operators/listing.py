@@ -44,8 +44,8 @@ def result_count(html: Column) -> Column:
 
 
 def row_markup(html: Column) -> Column:
-    """Markup of every row of a page, in order, broken rows and rows inside rows included."""
-    return markup.subtrees(html, ROW_ELEMENT, ROW_CLASS, nested=True)
+    """Markup of every row of a page, in order; broken rows, rows inside rows and rows without an end tag included."""
+    return markup.items(html, ROW_ELEMENT, ROW_CLASS)
 
 
 def found_counts(pages: DataFrame, rows: DataFrame) -> DataFrame:
@@ -104,7 +104,7 @@ def _sql_entry(row: str) -> str:
 
 def _entries(html: Column) -> Column:
     return let_sql(html, lambda page: (
-        f"transform({markup.sql_subtrees(page, ROW_ELEMENT, ROW_CLASS, nested=True)}, row -> {_sql_entry('row')})"))
+        f"transform({markup.sql_items(page, ROW_ELEMENT, ROW_CLASS)}, row -> {_sql_entry('row')})"))
 
 
 def listing_rows(pages: DataFrame) -> DataFrame:
@@ -115,10 +115,12 @@ def listing_rows(pages: DataFrame) -> DataFrame:
     staged: pages are read once, however often the result is used.
     """
     # Entries are read inside the generator: a filter on them cannot be moved below it, where it would
-    # read every row a second time.
-    exploded = captured(pages).select(
+    # read every row a second time. What is read from the page itself comes before it, once per page.
+    based = captured(pages).select(
         "page_seq", "body_key", "body_id", "body_name", F.col("partition_label").alias("partition_date"),
-        F.col("url").alias("listing_url"), page_base(F.col("url"), F.col("html")).alias("base_url"),
+        F.col("url").alias("listing_url"), page_base(F.col("url"), F.col("html")).alias("base_url"), "html")
+    exploded = based.select(
+        "page_seq", "body_key", "body_id", "body_name", "partition_date", "listing_url", "base_url",
         F.posexplode(_entries(F.col("html"))).alias("row_pos", "entry"))
     numbered = number_rows(stage(exploded, "listing-entries"), "page_seq", "row_pos", "fetch_seq")
     read = numbered.select(

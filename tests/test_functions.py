@@ -3,6 +3,7 @@
 import datetime as dt
 import hashlib
 import os
+import random
 import re
 from html import unescape
 from urllib.parse import urljoin, urlparse
@@ -19,10 +20,10 @@ def column(spark, values, expr, schema="v string"):
 
 
 URLS = [
-    "https://x.example/en/cases/2024/january/adj-00047352.html",
-    "https://x.example/lcr22904.html",
-    "https://x.example/rp2093_2010.html",
-    "https://x.example/ud1189_10_rp1619_10_wt493_10_.html",
+    "https://x.example/files/2023/march/ruling-00318.html",
+    "https://x.example/abc5512.html",
+    "https://x.example/tk77_2019.html",
+    "https://x.example/qa12_08_qb13_08_qc14_08_.html",
     "http://h", "http://h/", "http://h/a/", "http://h/a/b.tar.gz", "http://h/.html", "http://h/..a",
     "http://h/a;p=1/b;q.pdf?x=/y.doc#/z.rtf", "//h/p/q.PDF", "a/b c - d.docx", "  http://h/x y.html", "http://h/a.",
     "http://h?x=/a/b.pdf", "http://h#/a.pdf", "", "mailto:a@b.c", "http://h/straße.html", "http://h/a%20b.htm",
@@ -38,19 +39,19 @@ def expected_identifier(url):
 def test_identifiers_match_the_standard_library(spark):
     got = column(spark, URLS, identity.identifier_from_url)
     assert got == [expected_identifier(u) for u in URLS]
-    assert got[:4] == ["ADJ-00047352", "LCR22904", "RP2093_2010", "UD1189_10_RP1619_10_WT493_10"]
+    assert got[:4] == ["RULING-00318", "ABC5512", "TK77_2019", "QA12_08_QB13_08_QC14_08"]
 
 
 def test_normalize_identifier(spark):
-    raw = ["IR - SC - 00001785", "  DEC-E2024-001  ", "a   b", "straße"]
+    raw = ["QX - ZZ - 0042", "  REF-K77-15  ", "a   b", "straße"]
     assert column(spark, raw, identity.normalize_identifier) == [
-        "IR-SC-00001785", "DEC-E2024-001", "A B", "STRASSE"]
+        "QX-ZZ-0042", "REF-K77-15", "A B", "STRASSE"]
 
 
 def test_extension_and_type(spark):
     got = column(spark, URLS, urls.extension)
     assert got == [os.path.splitext(urlparse(u).path)[1].lower() for u in URLS]
-    names = ["/adj-1.html", "/decision.PDF", "/decision.docx", "/decision", "/a.rtf?x=b.pdf", "/a.doc"]
+    names = ["/note-7.html", "/annex.PDF", "/annex.docx", "/annex", "/a.rtf?x=b.pdf", "/a.doc"]
     assert column(spark, names, identity.document_type) == ["html", "pdf", "doc", "html", "doc", "doc"]
     pairs = spark.createDataFrame(
         [("/a/b.html", "html"), ("/a/b.pdf", "pdf"), ("/a/b.docx", "doc"), ("/a/b", "pdf"), ("/a/b", "doc"),
@@ -63,15 +64,15 @@ def test_extension_and_type(spark):
 
 def test_landing_and_curated_keys(spark):
     row = spark.range(1).select(
-        identity.landing_key(F.lit("labour_court"), F.lit("2024-01"), F.lit("LCR-1"), F.lit(".html"),
+        identity.landing_key(F.lit("river_board"), F.lit("2023-07"), F.lit("RB-9"), F.lit(".html"),
                              F.lit(None).cast("string")).alias("a"),
-        identity.landing_key(F.lit("labour_court"), F.lit("2024-01"), F.lit("LCR-1"), F.lit(".html"),
-                             F.lit("abc123")).alias("b"),
-        identity.curated_key(F.lit("ADJ-00047352"), F.lit(".html")).alias("c"),
-        identity.label_of_key(F.lit("labour_court/2024-01/LCR-1.html")).alias("d"),
+        identity.landing_key(F.lit("river_board"), F.lit("2023-07"), F.lit("RB-9"), F.lit(".html"),
+                             F.lit("f00d42")).alias("b"),
+        identity.curated_key(F.lit("RULING-00318"), F.lit(".html")).alias("c"),
+        identity.label_of_key(F.lit("river_board/2023-07/RB-9.html")).alias("d"),
     ).first()
-    assert list(row) == ["labour_court/2024-01/LCR-1.html", "labour_court/2024-01/LCR-1__abc123.html",
-                         "ADJ-00047352.html", "2024-01"]
+    assert list(row) == ["river_board/2023-07/RB-9.html", "river_board/2023-07/RB-9__f00d42.html",
+                         "RULING-00318.html", "2023-07"]
 
 
 @pytest.mark.parametrize("base", ["http://h/en/cases/x.html?a=1#f", "https://h", "http://h/a//b/c", "http://h/a/b/"])
@@ -156,6 +157,41 @@ def test_subtrees_are_outermost_and_ordered(spark):
         ['a<div class="content">b</div>', "c", "d"], []]
 
 
+ITEM = '<li class="each-item">'
+
+
+@pytest.mark.parametrize(("html", "inside"), [
+    (f"<ul>{ITEM}a{ITEM}b<li>c</ul>after", ["a", "b"]),
+    (f"<ul>{ITEM}a<ul>{ITEM}in{ITEM}in2</ul>b</li>{ITEM}c</li></ul>", [f"a<ul>{ITEM}in{ITEM}in2</ul>b", "in", "in2", "c"]),
+    (f"{ITEM}a</li>x</li>{ITEM}b", ["a", "b"]),
+    (f"<div>{ITEM}a<div>d</div>{ITEM}b</div>t", ["a<div>d</div>", "b"]),
+    (f"<ul>{ITEM}a</div><p>x{ITEM}b</ul>{ITEM}c<td></li>z</td>", ["a</div><p>x", "b", "c<td></li>z</td>"]),
+    (f'{ITEM}<!-- <li> -->a<script>"</li>"</script>{ITEM}', ['<!-- <li> -->a<script>"</li>"</script>', ""]),
+    ("<ul><li>plain</ul>", []), ("", [])])
+def test_items_without_end_tags(spark, html, inside):
+    assert column(spark, [html], lambda h: markup.items(h, "li", "each-item")) == [inside]
+
+
+def random_list(pick, depth):
+    """(markup, insides of its items in page order); end tags of items are left out here and there."""
+    parts, insides = [], []
+    for _ in range(pick.randrange(5)):
+        inner, below = f"t{pick.randrange(9)}", []
+        if depth and pick.random() < 0.4:
+            more, below = random_list(pick, depth - 1)
+            inner += more + pick.choice(["", "<p>u</p>"])
+        wanted = pick.random() < 0.7
+        insides += [inner] * wanted + below
+        parts.append((ITEM if wanted else "<li>") + inner + pick.choice(["", "</li>"]))
+    kind = pick.choice(["ul", "ol"])
+    return f"<{kind}>{''.join(parts)}</{kind}>", insides
+
+
+def test_items_of_random_lists(spark):
+    samples = [random_list(random.Random(seed), 3) for seed in range(60)]
+    assert column(spark, [h for h, _ in samples], lambda h: markup.items(h, "li", "each-item")) == [i for _, i in samples]
+
+
 def test_drop_elements_edges(spark):
     pages = ["<nav>a", "</nav>a<nav>b</nav>c", "a<script>if(a<b){'</nav>'}</script>b", "x<nav/>y", "plain", "", "\x01<p>\x01<nav>\x01</nav>\x01",
              "<nav>a</nav><nav>b</nav>", "<navigation>k</navigation>", "<nav><form>x</nav>y"]

@@ -6,7 +6,7 @@ import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
-from landfall.operators import curate, frontier, landing, reconcile
+from landfall.operators import curate, frontier, landing, listing, reconcile
 from landfall.operators.sequence import compute_once, previous_value
 from landfall.sources import schemas
 from landfall.sources.captures import fetches_from_files, save_fetches
@@ -23,6 +23,28 @@ def plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
+def listed(spark, html):
+    page = spark.createDataFrame([(1, "b", 1, "B", "2024-01", 1, "http://h/x", 200, None, html)], schemas.LISTING_PAGES)
+    return listing.listing_rows(page)
+
+
+def test_rows_without_end_tags_keep_their_own_link(spark):
+    html = '<ul><li class="each-item"><h2 class="title">none</h2><li class="each-item"><h2 class="title"><a href="/q.html">Q</a></h2></ul>'
+    rows = listed(spark, html)
+    assert [(r.row_pos, r.link) for r in rows.orderBy("row_pos").collect()] == [(0, None), (1, "/q.html")]
+    assert listing.row_failures(rows).count() == 1
+
+
+def test_many_open_rows_of_one_page(spark):
+    rows = "".join(f'<li class="each-item"><h2 class="title"><a href="/q{i}">T{i}</a></h2><p>more' for i in range(2000))
+    links = {r.row_pos: r.link for r in listed(spark, f"<base href='http://o/'><ul>{rows}</ul>").collect()}
+    assert links == {i: f"/q{i}" for i in range(2000)}
+
+
+def test_listings_without_pages(spark):
+    assert listing.listing_rows(spark.createDataFrame([], schemas.LISTING_PAGES)).count() == 0
+
+
 def test_calendar(spark):
     year = windows(spark, "2024-01-01", "2025-01-01", "monthly")
     assert len(year) == 12 and year[1] == ("2024-02", "2024-02-01", "2024-02-29")

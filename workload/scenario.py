@@ -86,7 +86,7 @@ def listing_pages(spark: SparkSession, folder: str) -> DataFrame:
     """Every page's navigation as a listing; pages with a query announce a count.
 
     Entries of German pages lose their link, those of French ones get a button
-    instead of a title link.
+    instead of a title link, those of Spanish ones have no end tag.
     """
     url, html = F.col("url"), F.col("html")
     language = F.regexp_extract(url, "^[a-z]+://[^/?#]*/([a-z]+)/", 1)
@@ -98,7 +98,7 @@ def listing_pages(spark: SparkSession, folder: str) -> DataFrame:
     tail = F.concat(
         F.lit('</a></h2><span class="date">'), F.date_format(F.date_add(F.lit("2024-01-01").cast("date"), number), "dd/MM/yyyy"),
         F.lit('</span><p class="description" title="From &quot;'), language, F.lit('&quot;">x</p><span class="refNO"> R-'),
-        F.col("page_id").cast("string"), F.lit(" </span></li>"))
+        F.col("page_id").cast("string"), F.when(language == "es", F.lit(" </span>")).otherwise(F.lit(" </span></li>")))
     closed = F.replace(opened, F.lit("</a></li>"), tail)
     announced = F.when(url.contains("?"), F.concat(
         F.lit("<p>Shows 1 to 10 of "), F.format_number(F.length("html"), 0), F.lit(" Results</p>"))).otherwise(F.lit(""))
