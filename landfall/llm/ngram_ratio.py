@@ -105,7 +105,7 @@ def _tallied(words: Column, count: int) -> Column:
             F.get(ordered, end - 1).alias("bucket"), (end - F.when(k > 0, F.get(e, k - 1)).otherwise(0)).alias("times"),
             F.size(ordered).alias("own"))))
 
-    return bind(F.array_sort(buckets(words, count)), lambda o: F.when(F.size(o) > 0, of(o)))
+    return bind(F.sort_array(buckets(words, count)), lambda o: F.when(F.size(o) > 0, of(o)))
 
 
 def judge(docs: DataFrame, trusted: DataFrame, threshold: float = THRESHOLD, count: int = BUCKETS, smoothing: float = SMOOTHING) -> DataFrame:
