@@ -132,10 +132,14 @@ def classify(decided: DataFrame, known: DataFrame, recheck: bool, block: Column
 
 def name_objects(classified: DataFrame) -> DataFrame:
     """Add the landing key; documents that changed carry a hash version in it."""
-    ext = identity.document_extension(F.col("document_url"), F.col("document_type"))
     version = F.when(F.col("outcome") == "changed", content.short_hash(F.col("file_hash")))
-    return classified.withColumn("storage_path", identity.landing_key(
-        F.col("body_key"), F.col("partition_date"), F.col("identifier"), ext, version))
+    return classified.withColumn("storage_path", object_path(version))
+
+
+def object_path(version: Column) -> Column:
+    """The landing key of a document, with a version if it is not null."""
+    ext = identity.document_extension(F.col("document_url"), F.col("document_type"))
+    return identity.landing_key(F.col("body_key"), F.col("partition_date"), F.col("identifier"), ext, version)
 
 
 def stored(named: DataFrame) -> DataFrame:

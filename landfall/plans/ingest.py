@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from landfall.functions import content
 from landfall.operators import frontier, landing, listing, reconcile
-from landfall.sources.staging import stage
+from landfall.sources.object_files import export_objects
+from landfall.sources.staging import small_side, stage
 from landfall.sources.zones import LandingZone
 
 
@@ -19,14 +21,44 @@ def land(decided: DataFrame, fetches: DataFrame, zone: LandingZone, run_id: str,
     Objects are written before records, so a record never points to bytes that
     are not there. Classification sees earlier runs only and a retry replaces
     what the run wrote before, so retrying is harmless.
+
+    Where the zone also keeps objects as files, files come first. A file that cannot be written does not end the run: the
+    documents it would have been written for, whether as their first object or as a version, fail with a ``persist: ...``
+    reason and leave no trace; the others are classified again without them.
     """
-    classified = landing.classify(decided, zone.hashes(before=run_seq, asked=decided) if known is None else known, recheck)
-    named = stage(landing.name_objects(classified), "classified")
-    stored_before = zone.objects_for(landing.stored(named), before=run_seq).select("storage_path")
-    write_landed(named, landing.new_objects(named, stored_before), fetches, zone, run_id, run_seq)
+    before = stage(zone.hashes(before=run_seq, asked=decided), "known") if known is None else known
+    unwritten: DataFrame | None = None
+    while True:
+        judged = decided if unwritten is None else _without_unwritten(decided, unwritten)
+        named = stage(landing.name_objects(landing.classify(judged, before, recheck)), "classified")
+        stored_before = zone.objects_for(landing.stored(named), before=run_seq).select("storage_path")
+        objects = landing.new_objects(named, stored_before)
+        if zone.files is None:
+            break
+        objects = stage(objects, "to-persist")
+        persisted = stage(export_objects(landing.attach_bytes(objects, fetches), zone.files), "persisted")
+        lost = persisted.filter("reason is not null").select("storage_path", F.col("reason").alias("persist_reason"))
+        if lost.isEmpty():
+            break
+        # Every turn adds paths that no turn before has tried, so there is a last one.
+        unwritten = stage(lost if unwritten is None else lost.unionByName(unwritten), "unwritten")
+    write_landed(named, objects, fetches, zone, run_id, run_seq)
     return named
 
 
+def _without_unwritten(decided: DataFrame, unwritten: DataFrame) -> DataFrame:
+    """Documents with those as failed whose object could not be written under either path it may get."""
+    paths = small_side(unwritten.groupBy("storage_path").agg(F.min("persist_reason").alias("persist_reason")))
+    judged = decided
+    for number, version in enumerate((F.lit(None).cast("string"), content.short_hash(F.col("file_hash")))):
+        path, reason = f"_path_{number}", f"_reason_{number}"
+        judged = judged.withColumn(path, landing.object_path(version)).join(
+            paths.select(F.col("storage_path").alias(path), F.col("persist_reason").alias(reason)), path, "left")
+    reason = F.coalesce("_reason_0", "_reason_1")
+    return stage(judged.withColumns({
+        "file_hash": F.when(reason.isNull(), F.col("file_hash")), "reason": F.coalesce("reason", reason)}).select(*decided.columns), "judged")
+
+
 def write_landed(named: DataFrame, appended: DataFrame, fetches: DataFrame, zone: LandingZone, run_id: str, run_seq: int) -> None:
     """Write the objects of the ``appended`` rows, then the records of all that are stored."""
     objects = stage(appended.select("storage_path", "partition_date", "document_type", "payload_seq", "fetch_seq"), "new-objects")

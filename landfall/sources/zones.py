@@ -199,7 +199,10 @@ class Zone:
 
 
 class LandingZone(Zone):
-    def __init__(self, spark: SparkSession, root: str):
+    """``files`` is a URI below which every landed object is also a file, if it is given."""
+
+    def __init__(self, spark: SparkSession, root: str, files: str | None = None):
+        self.files = files
         super().__init__(spark, root, LANDING_TABLES, "records", ["run_seq", "fetch_seq"], schemas.LANDING_LOG)
 
     def objects_for(self, keys: DataFrame, before: int | None = None) -> DataFrame:

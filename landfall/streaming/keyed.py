@@ -10,12 +10,12 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from landfall.functions import content, identity
+from landfall.functions import content
 from landfall.operators import landing
 from landfall.operators.sequence import compute_once
 from landfall.plans.ingest import write_landed
@@ -29,18 +29,13 @@ _DECIDED = "identifier string, fetch_seq bigint, file_hash string, content_lengt
 _STATE = "file_hash string, paths array<bigint>"
 
 
-def _path(version: Column | None) -> Column:
-    ext = identity.document_extension(F.col("document_url"), F.col("document_type"))
-    return identity.landing_key(F.col("body_key"), F.col("partition_date"), F.col("identifier"), ext, version)
-
-
 def _measured(documents: DataFrame) -> DataFrame:
     read = compute_once(documents.withColumn("file", F.col("_metadata.file_path")), measured=landing.measure(F.col("document_type")))
     hashed = read.select("identifier", "fetch_seq", "body_key", "partition_date", "document_url", "document_type", "file", "measured.*")
     return hashed.select(
         "identifier", "fetch_seq", "file_hash", "content_length", "reason", "status",
-        F.xxhash64(_path(F.lit(None).cast("string"))).alias("plain"),
-        F.xxhash64(_path(content.short_hash(F.col("file_hash")))).alias("versioned"), "file")
+        F.xxhash64(landing.object_path(F.lit(None).cast("string"))).alias("plain"),
+        F.xxhash64(landing.object_path(content.short_hash(F.col("file_hash")))).alias("versioned"), "file")
 
 
 def _decide(recheck: bool):
@@ -87,6 +82,8 @@ def keyed_stream(documents: DataFrame, reread: Callable[[list[str]], DataFrame],
     others = zone.owners().filter(~F.startswith("owner", F.lit(f"{owner} ")))
     if not others.isEmpty():
         raise ValueError("the zone has runs of others, which the state does not know")
+    if zone.files is not None:
+        raise ValueError("a document whose file cannot be written would stay in the state")
 
     def land(batch: DataFrame, batch_id: int) -> None:
         run_seq = zone.claim(f"{owner} {batch_id}")

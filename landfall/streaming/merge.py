@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from landfall.operators import reconcile
 from landfall.operators.landing import measure
 from landfall.operators.sequence import compute_once
 from landfall.plans.ingest import land
@@ -30,7 +31,9 @@ def land_documents(documents: DataFrame, zone: LandingZone, *, run_id: str, run_
 
 
 def write_outcomes(named: DataFrame, zone: LandingZone, run_seq: int) -> None:
+    """Outcomes of a run and the reasons of those that failed."""
     zone.write_run("outcomes", named.select("fetch_seq", "identifier", "body_key", "partition_date", "outcome"), run_seq)
+    zone.write_run("failures", reconcile.document_failures(named), run_seq)
 
 
 def merge_stream(documents: DataFrame, zone: LandingZone, checkpoint: str, *, run_id: str = "stream",

@@ -133,6 +133,10 @@ second_named AS (
          || CASE WHEN o.previous IS NULL THEN '' ELSE '__' || substr(s.file_hash, 1, 12) END || s.ext AS storage_path
   FROM second_hash s LEFT JOIN second_ok o USING (fetch_seq))"""
 
+# The same where no French page can be stored.
+PERSISTED = RUNS.replace(" WHERE page_url LIKE 'https:%'", " WHERE page_url LIKE 'https:%' AND body_key <> 'fr'").replace(
+    "THEN 'empty document body' END)", "THEN 'empty document body' END, CASE WHEN body_key = 'fr' THEN 'persist' END)")
+
 # The same with a first run of all pages.
 WHOLE_RUNS = RUNS.replace(" WHERE page_url LIKE 'https:%'", "")
 
@@ -503,6 +507,11 @@ SELECT CAST(sum(found) AS BIGINT) AS found, CAST(sum(scraped) AS BIGINT) AS scra
        CAST(sum(skipped) AS BIGINT) AS skipped, CAST(sum(failed) AS BIGINT) AS failed, CAST(sum(missing) AS BIGINT) AS missing
 FROM units""",
     "failure_log": f"WITH {UNITS} SELECT * FROM failures",
+    "persist_failures": f"""WITH {PERSISTED}
+SELECT body_key, partition_date, 'failure' AS kind, document_url AS url, reason,
+       CAST(CASE WHEN reason = 'HTTP 404' THEN 404 END AS INTEGER) AS status, count(*) AS rows
+FROM second_named WHERE outcome = 'failed' GROUP BY ALL
+UNION ALL SELECT body_key, partition_date, outcome, NULL, NULL, NULL, count(*) FROM second_named GROUP BY ALL""",
     "range_slice": """
 SELECT o_orderkey, o_totalprice FROM orders WHERE o_orderdate >= DATE '1996-01-15' AND o_orderdate < DATE '1997-03-01'""",
     "curate": f"""WITH {CURATION}

@@ -18,7 +18,7 @@ from landfall.sources.schemas import RECORD_COLUMNS
 from landfall.sources.staging import scratch_root, stage
 from landfall.sources.zones import CuratedZone, LandingZone
 from landfall.streaming.keyed import keyed_stream
-from landfall.streaming.merge import decide, merge_stream
+from landfall.streaming.merge import decide, land_documents, merge_stream
 from workload import scenario
 from workload.scenario import table
 
@@ -405,6 +405,27 @@ def failure_log(spark: SparkSession, folder: str) -> DataFrame:
     return documents.unionByName(_listing_failures(spark, folder))
 
 
+def persist_failures(spark: SparkSession, folder: str) -> DataFrame:
+    """Two runs into a zone that also keeps files, where nothing can be written below the folder of French pages.
+
+    Failures and outcomes of the second run; reasons without what the file system says.
+    """
+    run = f"{scratch_root(spark)}/files-{uuid.uuid4().hex}"
+    blocked = spark._jvm.org.apache.hadoop.fs.Path(f"{run}/files/fr")
+    blocked.getFileSystem(spark._jsc.hadoopConfiguration()).create(blocked).close()  # a file in the folder's place
+    files = run if "://" in run else f"file://{run.removeprefix('file:')}"
+    zone = LandingZone(spark, f"{run}/zone", files=f"{files}/files")
+    for number, batch in enumerate((scenario.first_run, scenario.second_run), 1):
+        land_documents(batch(spark, folder), zone, run_id=f"r{number}", run_seq=number)
+    reason = F.when(F.startswith("reason", F.lit("persist: ")), F.lit("persist")).otherwise(F.col("reason"))
+    failures = zone.read_run("failures", 2).groupBy("body_key", "partition_date", "url", reason.alias("reason"), "status").agg(F.count("*").alias("rows"))
+    outcomes = zone.read_run("outcomes", 2).groupBy("body_key", "partition_date", "outcome").agg(F.count("*").alias("rows"))
+    none = F.lit(None)
+    return failures.select("body_key", "partition_date", F.lit("failure").alias("kind"), "url", "reason", "status", "rows").unionByName(
+        outcomes.select("body_key", "partition_date", F.col("outcome").alias("kind"), none.cast("string").alias("url"),
+                        none.cast("string").alias("reason"), none.cast("int").alias("status"), "rows"))
+
+
 # --- curation ------------------------------------------------------------------------
 
 
@@ -500,6 +521,7 @@ QUERIES = {
     "reconcile": reconcile_units,
     "reconcile_totals": reconcile_totals,
     "failure_log": failure_log,
+    "persist_failures": persist_failures,
     "range_slice": range_slice,
     "curate": curate,
     "curate_outcome": curate_outcome,
