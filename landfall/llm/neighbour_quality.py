@@ -114,7 +114,9 @@ class Space:
 def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, directions: int = DIRECTIONS) -> Space:
     """Space from ``labels`` (``doc_id, quality``; rows without either are left out) and the texts of ``docs``.
 
-    Rarities count all documents; ``sample`` labelled documents at most span the space, repeated texts once.
+    Rarities count all documents; ``sample`` labelled documents, and as many distinct texts, at most span the space.
+    Repeated texts count once, by their highest label, so reruns agree. Without documents or labels nothing is similar and
+    all scores are one half.
     """
     rarity = rarities(docs)
     chosen = labels.where("doc_id is not null and quality is not null").groupBy("doc_id").agg(
@@ -127,8 +129,10 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, directions: in
 
     texts = docs.select("doc_id", "text").join(F.broadcast(chosen), F.col("doc_id") == F.col("_labelled")).select(  # ``sample`` rows
         F.xxhash64("text").alias("key"), "quality", "text")
-    rows = {r["key"]: r for r in texts.mapInPandas(vectors, "key bigint, quality int, terms binary").toLocalIterator()}
-    ordered = [rows[k] for k in sorted(rows)]  # ``sample`` at most
+    counted = texts.mapInPandas(vectors, "key bigint, quality int, terms binary")
+    once = counted.groupBy("key").agg(F.max("quality").alias("quality"), F.first("terms").alias("terms"))
+    # An id may have many texts; ``sample`` at most come here.
+    ordered = sorted(once.orderBy(F.xxhash64("key"), "key").limit(sample).toLocalIterator(), key=lambda r: r["key"])
     if not ordered:
         return Space(rarity, np.zeros((_WIDTH, 1), dtype=np.float32), np.zeros((0, 1), dtype=np.float32), np.zeros(0))
     matrix = weigh(np.stack([np.frombuffer(r["terms"], dtype=np.float32) for r in ordered]), rarity)

@@ -2,9 +2,12 @@
 
 A noisy channel: the writer's letters are wanted, the text's characters are seen. A disguised token is a lattice (a
 character may stand for itself or a letter, a separator or a stretched letter for nothing), and Viterbi decoding picks
-the path with the best sum of channel costs and a character trigram model. The model counts the letters of all
-documents. Any separator between spaced-out letters
-may also end a word. Restored words, and their beginnings, are then scored by a logistic regression on labelled documents.
+the path with the best sum of channel costs and a model of four letters in a row. The model counts the letters of all
+documents. In a run of spaced-out characters a separator may also end a word: the path passes the edge of a word there, at
+the model's cost. Restored words, and their beginnings, are then scored by a logistic regression on labelled documents.
+
+Null and empty texts have no words. Where equal texts have different labels, the highest counts, so reruns agree. Time and
+memory grow in proportion to a text. Full-width forms are folded and invisible characters dropped before decoding.
 """
 
 from __future__ import annotations
@@ -12,6 +15,7 @@ from __future__ import annotations
 import functools
 import math
 import re
+import unicodedata
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 
@@ -32,12 +36,11 @@ LEET = {"0": "o", "1": "il", "3": "e", "4": "a", "5": "s", "7": "t", "8": "b", "
 SUBSTITUTE, SEPARATOR, DOUBLED, STRETCHED, SYMBOL = 1.0, 0.2, 5.0, 1.0, 8.0
 #: Labelled documents that a model is fitted on at most: those with the least hashes of their ids.
 SAMPLE = 30_000
-#: A sign of toxicity is a word or beginning seen in so many toxic documents; so many signs, the most telling, are weighed.
+#: Defaults of a fit: a sign of toxicity is a word or beginning seen in so many toxic texts of the sample; so many signs,
+#: the most telling, are weighed. They bound the model, not the texts that are scored.
 LEAST_SEEN, SIGNS = 4, 6_000
 #: Lengths of beginnings of words.
 STEMS = (4, 5, 6)
-#: Letters of the words that are looked for inside a run of spaced-out characters.
-LEAST_SPACED, LONGEST = 3, 30
 #: Strength of the pull of the weights to zero, and steps of the fit.
 RIDGE, STEPS = 0.1, 400
 
@@ -45,6 +48,7 @@ _SEPARATED = re.compile(r"(?<![^\W_])(?:[^\W\d_]|[0134578@$!|])(?:[ .\-_*]{1,2}(
 _GAP, _WIDE = re.compile(r"[ .\-_*]+"), re.compile(r"[ .\-_*]{2}")
 _BREAK = re.compile(r"(?:[^\w@$!|+(€£]|_)+")
 _STRETCH = re.compile(r"([^\W\d_])\1\1+")
+_HIDDEN = re.compile("[\u00ad\u200b-\u200f\u2060\ufeff]")
 _EDGES = "".join(c for c in map(chr, range(33, 127)) if not c.isalnum()) + "«»„“”‘’…—–¿¡"
 _LETTERS = 28  # 0: edge of a word, 1 to 26: a to z, 27: any other letter
 
@@ -54,7 +58,7 @@ def _class(char: str) -> int:
 
 
 def letter_counts(docs: DataFrame) -> np.ndarray:
-    """Counts of letter trigrams inside words, over all texts: an array of 28 x 28 x 28, edges included."""
+    """Counts of four letters in a row, over all texts: an array of 28 x 28 x 28 x 28, edges of words included."""
     size = _LETTERS
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -63,56 +67,62 @@ def letter_counts(docs: DataFrame) -> np.ndarray:
         for c in range(0x250):
             if chr(c).isalpha():
                 table[c] = _class(chr(c).lower()) if len(chr(c).lower()) == 1 else 27
+        total = np.zeros(size**4, dtype=np.int64)  # of the whole task
         for batch in batches:
-            total = np.zeros(size**3, dtype=np.int64)
             for first in range(0, batch.num_rows, 256):
-                text = "\n\n".join(t for t in batch.column(0).slice(first, 256).to_pylist() if t)
-                points = np.frombuffer(f"\n\n{text}\n\n".encode("utf-32-le", "replace"), dtype=np.uint32)
+                text = "\n\n\n".join(t for t in batch.column(0).slice(first, 256).to_pylist() if t)
+                points = np.frombuffer(f"\n\n\n{text}\n\n\n".encode("utf-32-le", "replace"), dtype=np.uint32)
                 kinds = np.where(points < 0x250, table[np.minimum(points, 0x24F)], 27).astype(np.int32)
-                codes = kinds[:-2] * (size * size) + kinds[1:-1] * size + kinds[2:]
-                total += np.bincount(codes[(kinds[1:-1] > 0) | (kinds[2:] > 0)], minlength=size**3)
-            seen = np.flatnonzero(total)
-            yield pa.RecordBatch.from_arrays([pa.array(seen.astype(np.int32)), pa.array(total[seen])], names=["code", "n"])
+                codes = ((kinds[:-3] * size + kinds[1:-2]) * size + kinds[2:-1]) * size + kinds[3:]
+                total += np.bincount(codes[(kinds[2:-1] > 0) | (kinds[3:] > 0)], minlength=size**4)
+        seen = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(seen.astype(np.int32)), pa.array(total[seen])], names=["code", "n"])
 
-    rows = docs.select("text").mapInArrow(count, "code int, n bigint").groupBy("code").agg(F.sum("n").alias("n")).collect()
-    counts = np.zeros(size**3)
-    for row in rows:  # 28 ** 3 at most
-        counts[row["code"]] = row["n"]
-    return counts.reshape(size, size, size)
+    rows = docs.select("text").mapInArrow(count, "code int, n bigint").groupBy("code").agg(F.sum("n").alias("n")).toPandas()
+    counts = np.zeros(size**4)
+    counts[rows["code"].to_numpy()] = rows["n"].to_numpy()  # 28 ** 4 at most, twelve bytes each
+    return counts.reshape(size, size, size, size)
 
 
 def letter_costs(counts: np.ndarray) -> np.ndarray:
-    """Negative log probabilities of a letter after two others, mixed with those after one and after none."""
-    one = counts.sum(axis=(0, 1)) + 1.0
-    one /= one.sum()
-    two = counts.sum(axis=0) + 8 * one
-    two /= two.sum(axis=1, keepdims=True)
-    three = counts + 8 * two[None, :, :]
-    three /= three.sum(axis=2, keepdims=True)
-    return -np.log(three)
+    """Negative log probabilities of a letter after three others, mixed with those after two, one and none."""
+    likely = counts.sum(axis=(0, 1, 2)) + 1.0
+    likely /= likely.sum()
+    for known in (2, 1, 0):  # letters left out at the front
+        sums = counts.sum(axis=tuple(range(known))) + 8 * likely
+        likely = sums / sums.sum(axis=-1, keepdims=True)
+    return -np.log(likely).round(9)
 
 
 def decode(token: str, costs: list) -> str:
-    """The likeliest letters behind a disguised token in lower case, by Viterbi over states of two letters."""
+    """The likeliest letters behind a disguised token in lower case, by Viterbi over states of three letters.
+
+    A blank may be left out like other separators, or end a word, for the model's cost of the edge.
+    """
     # A path is its last letter and the path before, so that long tokens take time in proportion to their length.
-    best: dict[tuple[int, int], tuple[float, tuple]] = {(0, 0): (0.0, ())}
+    best: dict[tuple[int, int, int], tuple[float, tuple]] = {(0, 0, 0): (0.0, ())}
     before, run = "", 0
     for char in token:
-        run = run + 1 if char == before else 1
         letters = [(char, 0.0)] if char.isalpha() else [(c, SUBSTITUTE) for c in LEET.get(char, "")]
+        if letters:  # separators do not interrupt a stretch
+            run = run + 1 if char == before else 1
+            before = char
         dropped = SEPARATOR if not letters else (DOUBLED if run == 2 else STRETCHED) if run > 1 else (
             None if char.isalpha() else SYMBOL)
-        reached: dict[tuple[int, int], tuple[float, tuple]] = {}
-        for (a, b), (cost, path) in best.items():
-            if dropped is not None and (old := reached.get((a, b)), cost + dropped)[1] < (old[0] if old else math.inf):
-                reached[a, b] = cost + dropped, path
+        reached: dict[tuple[int, int, int], tuple[float, tuple]] = {}
+        for (a, b, c), (cost, path) in best.items():
+            after = costs[a][b][c]
+            if dropped is not None and (old := reached.get((a, b, c)), cost + dropped)[1] < (old[0] if old else math.inf):
+                reached[a, b, c] = cost + dropped, path
+            if char == " " and c and ((old := reached.get((b, c, 0))) is None or cost + after[0] < old[0]):
+                reached[b, c, 0] = cost + after[0], (" ", path)
             for letter, price in letters:
-                c = _class(letter)
-                now = cost + price + costs[a][b][c]
-                if (old := reached.get((b, c))) is None or now < old[0]:
-                    reached[b, c] = now, (letter, path)
-        best, before = reached, char
-    path = min(((cost + costs[a][b][0], path) for (a, b), (cost, path) in best.items()), key=lambda end: end[0])[1]
+                d = _class(letter)
+                now = cost + price + after[d]
+                if (old := reached.get((b, c, d))) is None or now < old[0]:
+                    reached[b, c, d] = now, (letter, path)
+        best = reached
+    path = min(((cost + (costs[a][b][c][0] if c else 0.0), path) for (a, b, c), (cost, path) in best.items()), key=lambda end: end[0])[1]
     text = []
     while path:
         letter, path = path
@@ -127,25 +137,18 @@ def _disguised(core: str) -> bool:
 
 
 def _spaced(run: str, restore: Callable[[str], str]) -> set[str]:
-    """Words that spaced-out characters may spell: each separator is also read as a break between words.
-
-    Trigrams cannot tell which separators are breaks, so all words from one to another count, up to ``LONGEST`` letters;
-    the run as a whole, and what lies between its wider gaps, count at any length.
-    """
-    words: set[str] = set()
-    for part in {run, *_WIDE.split(run)}:
-        letters = _GAP.sub("", part)
-        word = restore(letters)
-        words.add(word)
-        if not letters.isdigit():
-            words.update(word[i:i + n] for n in range(LEAST_SPACED, LONGEST + 1) for i in range(len(word) - n + 1))
+    """Words that spaced-out characters spell: the likeliest with breaks, and what lies between wider gaps as one word."""
+    words = set(restore(_GAP.sub(" ", run)).split())
+    words.update(restore(_GAP.sub("", part)) for part in {run, *_WIDE.split(run)})
     return words
 
 
 def restored_words(text: str | None, restore: Callable[[str], str]) -> set[str]:
-    """The distinct words of a text in lower case, those of disguised tokens restored."""
+    """The distinct words of a text in lower case, those of disguised tokens restored by ``restore``."""
     if not text:
         return set()
+    if not text.isascii():
+        text = _HIDDEN.sub("", unicodedata.normalize("NFKC", text))
     lower = text.lower()
     words: set[str] = set()
     for token in set(lower.split()):
@@ -202,11 +205,12 @@ class Model:
         return 1.0 / (1.0 + math.exp(-max(-30.0, min(30.0, total))))
 
 
-def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
+def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, least_seen: int = LEAST_SEEN, most_signs: int = SIGNS) -> Model:
     """Model from ``labels`` (``doc_id, toxic``; rows without either are left out) and the texts of ``docs``.
 
-    Letters are counted over all documents. Words are weighed on ``sample`` labelled documents at most; repeated
-    texts count once. Without labels of both kinds every score is 0.
+    Letters are counted over all documents. Words are weighed on ``sample`` labelled documents and as many distinct texts at
+    most; repeated texts count once, by their highest label. A sign is seen in ``least_seen`` toxic texts, and ``most_signs``
+    are weighed at most. Without labels of both kinds every score is 0.
     """
     costs = letter_costs(letter_counts(docs)).tolist()
     chosen = labels.where("doc_id is not null and toxic is not null").groupBy("doc_id").agg(
@@ -221,20 +225,21 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
             yield pd.DataFrame({"key": batch["key"], "toxic": batch["toxic"],
                                 "signs": [sorted(signs(restored_words(t, restore))) for t in batch["text"]]})
 
-    known = stage(texts.mapInPandas(spell, "key bigint, toxic boolean, signs array<string>"), "toxic-signs")
-    # One row per text and sign: repeated texts count once.
-    pairs = known.select("key", "toxic", F.explode("signs").alias("sign"))
-    seen = pairs.distinct().groupBy("sign").agg(
+    spelt = texts.mapInPandas(spell, "key bigint, toxic boolean, signs array<string>")
+    # One row per text: equal texts have equal signs, so it does not matter which is first. An id may have many texts.
+    once = spelt.groupBy("key").agg(F.max("toxic").alias("toxic"), F.first("signs").alias("signs"))
+    known = stage(once.orderBy(F.xxhash64("key"), "key").limit(sample), "toxic-signs")
+    seen = known.select("toxic", F.explode("signs").alias("sign")).groupBy("sign").agg(
         F.sum(F.col("toxic").cast("bigint")).alias("t"), F.sum((~F.col("toxic")).cast("bigint")).alias("f")).where(
-        F.col("t") >= LEAST_SEEN)
-    totals = known.groupBy("key").agg(F.max("toxic").alias("toxic")).agg(
+        F.col("t") >= least_seen)
+    totals = known.agg(
         F.sum(F.col("toxic").cast("bigint")).alias("t"), F.sum((~F.col("toxic")).cast("bigint")).alias("f")).first()
     if not totals["t"] or not totals["f"]:
         return Model(costs)
     ratio = F.log((F.col("t") + 0.5) / (totals["t"] + 1)) - F.log((F.col("f") + 0.5) / (totals["f"] + 1))
     best = seen.withColumn("ratio", ratio).where("ratio > 1.5").orderBy(
-        (F.col("ratio") * F.sqrt("t")).desc(), "sign").limit(SIGNS)
-    picked = [r["sign"] for r in best.select("sign").collect()]  # SIGNS at most
+        (F.col("ratio") * F.sqrt("t")).desc(), "sign").limit(most_signs)
+    picked = [r["sign"] for r in best.select("sign").collect()]  # most_signs at most
     numbers = {sign: i for i, sign in enumerate(picked)}
 
     def hits(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -242,7 +247,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
             batch["signs"] = [[numbers[s] for s in row if s in numbers] for row in batch["signs"]]
             yield batch
 
-    rows = known.mapInPandas(hits, "key bigint, toxic boolean, signs array<int>").dropDuplicates(["key"]).collect()
+    rows = known.mapInPandas(hits, "key bigint, toxic boolean, signs array<int>").collect()  # ``sample`` at most
     rows.sort(key=lambda r: r["key"])
     columns = np.array([i for r in rows for i in r["signs"]], dtype=np.int64)
     lines = np.repeat(np.arange(len(rows)), [len(r["signs"]) for r in rows])
