@@ -1,18 +1,15 @@
-"""Document bytes: canonical form, hashes, text decoding."""
+"""Document bytes: canonical form, hashes."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from landfall.functions.charsets import html_text as html_text
+
 # Fixed value: the comment a site renders with a new number on every request.
 VOLATILE_COMMENT = r"(?is)<!--\s*Elapsed time:.*?-->"
 
-# What windows-1252 puts in place of the control codes 0x80-0x9f.
-_C1_BYTES = bytes(b for b in range(0x80, 0xA0) if b not in (0x81, 0x8D, 0x8F, 0x90, 0x9D))
-_C1_CONTROLS = _C1_BYTES.decode("latin-1")
-_C1_PRINTED = _C1_BYTES.decode("cp1252")
-
 _COMMENT_START = bytearray(b"<!--")
 
 
@@ -46,12 +43,3 @@ def short_hash(digest: Column, length: int = 12) -> Column:
 def byte_length(data: Column) -> Column:
     """Number of bytes (not characters)."""
     return F.octet_length(data).cast("bigint")
-
-
-def html_text(data: Column) -> Column:
-    """Markup as a string: UTF-8 where valid, otherwise windows-1252. Never fails."""
-    text = data.cast("string")
-    mark = "\ufeff"
-    utf8 = F.when(text.startswith(mark), F.substring(text, 2, 0x7FFFFFFF)).otherwise(text)
-    western = F.translate(F.decode(data, "ISO-8859-1"), _C1_CONTROLS, _C1_PRINTED)
-    return F.when(F.is_valid_utf8(text), utf8).otherwise(western)

@@ -329,7 +329,23 @@ SELECT identifier, props AS description, CAST(ts AS DATE) AS published_date,
 FROM steps WHERE previous IS NULL OR previous <> event_type
 QUALIFY row_number() OVER (PARTITION BY identifier ORDER BY ts DESC, event_id DESC) = 1"""
 
+def kept(codec: str) -> str:
+    """Markup with ``?`` for what a single-byte charset cannot write."""
+    has = bytes(range(0x80, 0x100)).decode(codec, "ignore")
+    return rf"regexp_replace(coalesce(html, ''), '[^\x00-\x7F{has}]', '?', 'g')"
+
+
 ORACLES = {
+    "declared_charsets": f"""
+WITH texts AS (SELECT page_id, CASE page_id % 5 WHEN 0 THEN '<meta charset="windows-1251">' || {kept("cp1251")}
+  WHEN 1 THEN '<?xml version="1.0" encoding="ISO-8859-2"?>' || {kept("iso8859-2")}
+  WHEN 4 THEN {kept("cp1252")} ELSE coalesce(html, '') END AS text FROM pages)
+SELECT page_id, sha256(text) AS text_sha256, length(text)::BIGINT AS chars FROM texts""",
+    "escaped_titles": """
+WITH titles AS (SELECT page_id, replace(replace(replace('A & B <' || url || '> ' || html, '&', '&amp;'), '<', '&lt;'), '>', '&gt;') AS title FROM pages)
+SELECT page_id, sha256('<!DOCTYPE html>' || chr(10) || '<html lang="en">' || chr(10) || '<head>' || chr(10) || '<meta charset="utf-8">'
+  || chr(10) || '<title>' || title || '</title>' || chr(10) || '</head>' || chr(10) || '<body>' || chr(10) || '<h1>' || title || '</h1>'
+  || chr(10) || 'x' || chr(10) || '</body>' || chr(10) || '</html>' || chr(10)) AS page_sha256 FROM titles""",
     "partition_calendar": f"""WITH {_SPANS}
 SELECT c_nationkey, o_orderpriority, label, window_start, window_end FROM (
   {windows("(SELECT * FROM spans WHERE o_orderpriority LIKE '1%')", "monthly")}

@@ -8,7 +8,7 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from landfall.functions import cleaning, content, identity, markup, periods, stubs, urls
+from landfall.functions import charsets, cleaning, content, identity, markup, periods, stubs, urls
 from landfall.operators import curate as curation
 from landfall.operators import frontier, landing, listing, reconcile
 from landfall.operators.sequence import latest_by
@@ -24,6 +24,34 @@ from workload.scenario import table
 
 
 
+# --- charsets and escaping ----------------------------------------------------
+
+
+def declared_charsets(spark: SparkSession, folder: str) -> DataFrame:
+    """Whole pages written in five charsets, declared, marked or neither, and read back."""
+    html, way = F.coalesce(F.col("html"), F.lit("")), F.col("page_id") % 5
+    upper = F.lit("".join(map(chr, range(0x80, 0x100))))
+
+    def single(codec: str, head: str):
+        has = charsets.upper_half(codec).replace("\ufffd", "")
+        kept = F.concat(F.lit(head), F.regexp_replace(html, f"[^\\x00-\\x7f{has}]", "?"))
+        return F.encode(F.call_function("translate", kept, F.lit(charsets.upper_half(codec)), upper), "ISO-8859-1")
+
+    marked = F.concat(F.lit(bytearray(b"\xff\xfe")), F.encode(html, "UTF-16LE"))
+    written = F.when(way == 0, single("cp1251", '<meta charset="windows-1251">')).when(
+        way == 1, single("iso8859-2", '<?xml version="1.0" encoding="ISO-8859-2"?>')).when(way == 2, marked).when(
+        way == 3, F.concat(F.lit(bytearray(b"\xef\xbb\xbf")), F.encode(html, "UTF-8"))).otherwise(single("cp1252", ""))
+    pages = table(spark, folder, "pages").select("page_id", written.alias("data"))
+    return pages.select("page_id", charsets.html_text(F.col("data")).alias("text")).select(
+        "page_id", F.sha2("text", 256).alias("text_sha256"), F.length("text").cast("bigint").alias("chars"))
+
+
+def escaped_titles(spark: SparkSession, folder: str) -> DataFrame:
+    """Whole markup as the title of a page: every ``&``, ``<`` and ``>`` in it is escaped, once."""
+    pages = table(spark, folder, "pages").select("page_id", cleaning.wrap(F.concat(F.lit("A & B <"), "url", F.lit("> "), "html"), F.lit("x")).alias("page"))
+    return pages.select("page_id", F.sha2("page", 256).alias("page_sha256"))
+
+
 # --- calendar and work frontier ----------------------------------------------
 
 
@@ -485,6 +513,8 @@ def curate_summary(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {
+    "declared_charsets": declared_charsets,
+    "escaped_titles": escaped_titles,
     "partition_calendar": partition_calendar,
     "assign_partition": assign_partition,
     "source_lookup": source_lookup,
