@@ -227,8 +227,9 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, least_seen: in
 
     spelt = texts.mapInPandas(spell, "key bigint, toxic boolean, signs array<string>")
     # One row per text: equal texts have equal signs, so it does not matter which is first. An id may have many texts.
-    once = spelt.groupBy("key").agg(F.max("toxic").alias("toxic"), F.first("signs").alias("signs"))
-    known = stage(once.orderBy(F.xxhash64("key"), "key").limit(sample), "toxic-signs")
+    once = stage(spelt.groupBy("key").agg(F.max("toxic").alias("toxic"), F.first("signs").alias("signs")), "toxic-signs")
+    keys = stage(once.select(F.col("key").alias("_kept")).orderBy(F.xxhash64("_kept"), "_kept").limit(sample), "toxic-texts")
+    known = once.join(F.broadcast(keys), F.col("key") == F.col("_kept"), "left_semi")  # ``sample`` numbers
     seen = known.select("toxic", F.explode("signs").alias("sign")).groupBy("sign").agg(
         F.sum(F.col("toxic").cast("bigint")).alias("t"), F.sum((~F.col("toxic")).cast("bigint")).alias("f")).where(
         F.col("t") >= least_seen)
