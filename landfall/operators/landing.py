@@ -22,8 +22,8 @@ EMPTY_BODY = "empty document body"
 NOT_CAPTURED = "document not captured"
 
 
-def digest(fetches: DataFrame) -> DataFrame:
-    """One short row per fetch: type, canonical hash and length, failure, link to follow.
+def digest(fetches: DataFrame, *carry: str) -> DataFrame:
+    """One short row per fetch: type, canonical hash and length, failure, link to follow, and the ``carry`` columns.
 
     A failed or empty fetch has a ``reason`` and no hash. Emptiness is judged
     after canonicalisation. Work is done per row, in place.
@@ -37,7 +37,7 @@ def digest(fetches: DataFrame) -> DataFrame:
     is_page = (F.col("document_type") == "html") & failure_reason(F.col("status"), F.col("error")).isNull()
     link = F.when(is_page, follow(content.html_text(F.col("data"))))
     read = compute_once(typed, follow_url=link, measured=measure(F.col("document_type")))
-    return read.select("fetch_seq", "url", "document_type", "measured.*", "follow_url")
+    return read.select("fetch_seq", "url", "document_type", "measured.*", "follow_url", *carry)
 
 
 def captures_of(fetches: DataFrame, wanted: DataFrame) -> DataFrame:

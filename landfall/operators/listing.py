@@ -114,17 +114,27 @@ def listing_rows(pages: DataFrame) -> DataFrame:
     entry without a document link; its other fields are then not to be used. Entries are
     staged: pages are read once, however often the result is used.
     """
+    return read_entries(number_rows(stage(cut_entries(pages), "listing-entries"), "page_seq", "row_pos", "fetch_seq"))
+
+
+#: Columns of a page that its entries keep.
+_OF_PAGE = ["page_seq", "body_key", "body_id", "body_name", "partition_date", "listing_url", "base_url"]
+
+
+def cut_entries(pages: DataFrame, *carry: str) -> DataFrame:
+    """The entries of captured pages as structs, with their position and the ``carry`` columns. Works on streams."""
     # Entries are read inside the generator: a filter on them cannot be moved below it, where it would
     # read every row a second time. What is read from the page itself comes before it, once per page.
     based = captured(pages).select(
         "page_seq", "body_key", "body_id", "body_name", F.col("partition_label").alias("partition_date"),
-        F.col("url").alias("listing_url"), page_base(F.col("url"), F.col("html")).alias("base_url"), "html")
-    exploded = based.select(
-        "page_seq", "body_key", "body_id", "body_name", "partition_date", "listing_url", "base_url",
-        F.posexplode(_entries(F.col("html"))).alias("row_pos", "entry"))
-    numbered = number_rows(stage(exploded, "listing-entries"), "page_seq", "row_pos", "fetch_seq")
+        F.col("url").alias("listing_url"), page_base(F.col("url"), F.col("html")).alias("base_url"), "html", *carry)
+    return based.select(*_OF_PAGE, *carry, F.posexplode(_entries(F.col("html"))).alias("row_pos", "entry"))
+
+
+def read_entries(numbered: DataFrame, *carry: str) -> DataFrame:
+    """Fields of numbered entries, their links resolved."""
     read = numbered.select(
-        "page_seq", "body_key", "body_id", "body_name", "partition_date", "listing_url", "base_url", "row_pos",
+        *_OF_PAGE, *carry, "row_pos",
         "fetch_seq", "entry.link", "entry.title_text", "entry.reference", "entry.description_text",
         periods.site_date(F.col("entry.date_text")).alias("published_date"))
     return read.withColumn("document_url", urls.resolve(F.col("base_url"), F.col("link"))).drop("base_url")
@@ -132,16 +142,25 @@ def listing_rows(pages: DataFrame) -> DataFrame:
 
 def candidates(rows: DataFrame) -> DataFrame:
     """Documents to fetch: listing entries with a link, as unfinished records."""
+    return with_identifier(rows.filter(F.col("link").isNotNull())).select(*request_fields())
+
+
+def with_identifier(rows: DataFrame) -> DataFrame:
+    """Entries with the identifier of the document they link to."""
+    return rows.withColumn("identifier", identity.identifier_from_url(F.col("document_url")))
+
+
+def request_fields() -> list[Column]:
+    """Columns of an unfinished record, from an entry with its identifier."""
     url = F.col("document_url")
-    linked = rows.filter(F.col("link").isNotNull()).withColumn("identifier", identity.identifier_from_url(url))
-    return linked.select(
-        "fetch_seq", "identifier",
+    return [
+        F.col("fetch_seq"), F.col("identifier"),
         strip_space(F.coalesce(first_present(F.col("title_text"), F.col("reference")), F.col("identifier")))
         .alias("title"),
         strip_space(F.coalesce(F.col("description_text"), F.lit(""))).alias("description"),
-        "published_date", "body_key", "body_name", "body_id", "partition_date",
-        url.alias("source_url"), "document_url", identity.document_type(url).alias("document_type"),
-    )
+        *[F.col(name) for name in ("published_date", "body_key", "body_name", "body_id", "partition_date")],
+        url.alias("source_url"), url, identity.document_type(url).alias("document_type"),
+    ]
 
 
 def listing_failures(pages: DataFrame) -> DataFrame:

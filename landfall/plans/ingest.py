@@ -81,28 +81,35 @@ def ingest(listings: DataFrame, fetches: DataFrame, zone: LandingZone, *, run_id
     run_seq = zone.claim(run_id, run_seq)
     rows = stage(listing.listing_rows(listings), "listing-rows")
     requests = stage(frontier.capped_batch(landing.url_once(listing.candidates(rows)), limit), "requests")
-    known = zone.identifiers(before=run_seq)
-    if recheck:
-        wanted, skipped = requests, requests.filter(F.lit(False))
-    else:
-        wanted, skipped = (stage(part, "split") for part in landing.skip_known(requests, known))
+    wanted, skipped = split_known(requests, zone, run_seq, recheck)
     direct = stage(landing.captures_of(fetches, wanted.select(F.col("document_url").alias("url"))), "captures")
     stubs = direct.filter(F.col("follow_url").isNotNull()).select(F.col("follow_url").alias("url"))
     followed = stage(landing.captures_of(fetches, stubs), "followed")
     decided = stage(landing.attach_captures(wanted, direct.unionByName(followed), seen=requests), "decided")
+    failures = listing.listing_failures(listings).unionByName(listing.row_failures(rows))
+    return land_requests(decided, skipped, fetches, listing.found_counts(listings, rows), failures, zone, run_id, run_seq, recheck)
+
+
+def split_known(requests: DataFrame, zone: LandingZone, run_seq: int, recheck: bool) -> tuple[DataFrame, DataFrame]:
+    """(requests to process, requests to skip); with ``recheck`` none is skipped."""
+    if recheck:
+        return requests, requests.filter(F.lit(False))
+    wanted, skipped = landing.skip_known(requests, zone.identifiers(before=run_seq))
+    return stage(wanted, "split"), stage(skipped, "split")
+
+
+def land_requests(decided: DataFrame, skipped: DataFrame, fetches: DataFrame, found: DataFrame, listing_failures: DataFrame,
+                  zone: LandingZone, run_id: str, run_seq: int, recheck: bool) -> DataFrame:
+    """Land decided requests and write what the run found, did and failed at; returns its reconciliation."""
     # Whatever is known has been skipped, so nothing that landed before can matter.
     nothing = None if recheck else decided.select("identifier", "file_hash").filter(F.lit(False))
     named = land(decided, fetches, zone, run_id, run_seq, recheck, nothing)
-
     columns = ["fetch_seq", "identifier", *reconcile.UNIT, "outcome"]
     outcomes = named.select(*columns).unionByName(
         skipped.withColumn("outcome", F.lit("skipped")).select(*columns))
-    failures = (
-        listing.listing_failures(listings).unionByName(listing.row_failures(rows))
-        .unionByName(reconcile.document_failures(named)))
-    zone.write_run("found", listing.found_counts(listings, rows), run_seq)
+    zone.write_run("found", found, run_seq)
     zone.write_run("outcomes", outcomes, run_seq)
-    zone.write_run("failures", failures, run_seq)
+    zone.write_run("failures", listing_failures.unionByName(reconcile.document_failures(named)), run_seq)
     return report(zone, run_seq)
 
 

@@ -290,6 +290,21 @@ announced AS (
   SELECT body_key, sum(CASE WHEN url LIKE '%?%' THEN length(html) ELSE coalesce(n, 0) END) AS found
   FROM listed LEFT JOIN page_rows USING (page_seq) WHERE NOT refused AND error IS NULL GROUP BY body_key)"""
 
+#: Documents of the stream that fail: those that are gone and those that come late.
+_GONE_OR_LATE = "(document_url LIKE '%,%' OR regexp_extract(document_url, '[^/]*$') LIKE '%en%') AS gone"
+_RUN_REPORT = """
+marked AS (
+  SELECT body_key, count(*) FILTER (outcome = 'new') AS new, count(*) FILTER (outcome = 'skipped') AS skipped FROM landed
+  GROUP BY body_key),
+lost AS (SELECT body_key, count(*) AS failed FROM link_failures GROUP BY body_key),
+joined AS (
+  SELECT body_key, CAST(coalesce(found, 0) AS BIGINT) AS found, coalesce(new, 0) AS new, coalesce(skipped, 0) AS skipped,
+         coalesce(failed, 0) AS failed
+  FROM announced FULL JOIN marked USING (body_key) FULL JOIN lost USING (body_key))
+SELECT body_key || '/2024-01' AS unit, body_key, '2024-01' AS partition_date, found, new + skipped AS scraped, new,
+       CAST(0 AS BIGINT) AS changed, CAST(0 AS BIGINT) AS unchanged, skipped, failed,
+       greatest(found - new - skipped - failed, 0) AS missing FROM joined"""
+
 _WEEKLY = f"""
 totals AS (
   SELECT c_mktsegment AS body_key, {week("o_orderdate")} AS partition_date, count(*) AS found
@@ -494,18 +509,8 @@ SELECT min(fetch_seq) AS fetch_seq, document_url FROM rows WHERE link IS NOT NUL
     "stream_merge": LAST_EVENTS,
     "snapshot_merge": LAST_EVENTS,
     "stream_keyed": LAST_EVENTS,
-    "ingest_run": f"""WITH {LINKED},
-marked AS (
-  SELECT body_key, count(*) FILTER (outcome = 'new') AS new, count(*) FILTER (outcome = 'skipped') AS skipped FROM landed
-  GROUP BY body_key),
-lost AS (SELECT body_key, count(*) AS failed FROM link_failures GROUP BY body_key),
-joined AS (
-  SELECT body_key, CAST(coalesce(found, 0) AS BIGINT) AS found, coalesce(new, 0) AS new, coalesce(skipped, 0) AS skipped,
-         coalesce(failed, 0) AS failed
-  FROM announced FULL JOIN marked USING (body_key) FULL JOIN lost USING (body_key))
-SELECT body_key || '/2024-01' AS unit, body_key, '2024-01' AS partition_date, found, new + skipped AS scraped, new,
-       CAST(0 AS BIGINT) AS changed, CAST(0 AS BIGINT) AS unchanged, skipped, failed,
-       greatest(found - new - skipped - failed, 0) AS missing FROM joined""",
+    "ingest_run": f"WITH {LINKED},{_RUN_REPORT}",
+    "stream_crawls": f"""WITH {LINKED.replace("document_url LIKE '%,%' AS gone", _GONE_OR_LATE)},{_RUN_REPORT}""",
     "ingest_and_curate": f"""WITH {LINKED},
 pages_out AS (
   SELECT *, '<!DOCTYPE html>' || chr(10) || '<html lang="en">' || chr(10) || '<head>' || chr(10) || '<meta charset="utf-8">'

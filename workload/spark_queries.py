@@ -13,10 +13,11 @@ from landfall.operators import curate as curation
 from landfall.operators import frontier, landing, listing, reconcile
 from landfall.operators.sequence import latest_by
 from landfall.plans.chain import ingest_and_curate
-from landfall.plans.ingest import ingest
+from landfall.plans.ingest import ingest, report
 from landfall.sources.schemas import RECORD_COLUMNS
 from landfall.sources.staging import scratch_root, stage
 from landfall.sources.zones import CuratedZone, LandingZone
+from landfall.streaming.crawls import crawl_stream
 from landfall.streaming.keyed import keyed_stream
 from landfall.streaming.merge import decide, land_documents, merge_stream
 from workload import scenario
@@ -399,6 +400,28 @@ def ingest_and_curate_run(spark: SparkSession, folder: str) -> DataFrame:
                                     "original_storage_path", "original_file_hash")
 
 
+def stream_crawls(spark: SparkSession, folder: str) -> DataFrame:
+    """The landing run as a stream of listing pages and a stream of documents; a second crawl begins before the last documents.
+
+    Documents with ``en`` in their URL arrive when the first crawl is over: its requests for them have failed.
+    """
+    run, (zone, _) = f"{scratch_root(spark)}/crawls-{uuid.uuid4().hex}", _run_zones(spark)
+    pages = scenario.listing_pages(spark, folder)
+    documents = stage(scenario.link_captures(pages), "captured")
+    late = F.substring_index("url", "/", -1).contains("en")
+    begun, later = (F.lit(day).cast("timestamp") for day in ("2024-01-01 00:00:00", "2024-02-01 00:00:00"))
+    for kind, parts in {
+            "pages": [(pages, begun), (pages.filter(F.col("url").contains("?")), later)],
+            "documents": [(documents.filter(~late), begun), (documents.filter("status = 200"), later),
+                          (documents.filter("status <> 200"), later), (documents.filter(late), begun)]}.items():
+        for rows, crawl in parts:
+            rows.withColumn("crawled_at", crawl).coalesce(1).write.mode("append").parquet(f"{run}/{kind}")
+    schemas = {kind: spark.read.parquet(f"{run}/{kind}").schema for kind in ("pages", "documents")}
+    sides = [spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{run}/{kind}") for kind, schema in schemas.items()]
+    crawl_stream(*sides, lambda files: spark.read.schema(schemas["documents"]).parquet(*files), zone, f"{run}/checkpoint").awaitTermination()
+    return report(zone, 0)
+
+
 # --- reconciliation ----------------------------------------------------------------
 
 
@@ -547,6 +570,7 @@ QUERIES = {
     "stream_merge": stream_merge,
     "stream_keyed": stream_keyed,
     "ingest_run": ingest_run,
+    "stream_crawls": stream_crawls,
     "ingest_and_curate": ingest_and_curate_run,
     "reconcile": reconcile_units,
     "reconcile_totals": reconcile_totals,
