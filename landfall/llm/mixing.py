@@ -100,11 +100,12 @@ def schedule(targets: DataFrame, block: int = BLOCK) -> DataFrame:
 
 def mix(docs: DataFrame, block: int = BLOCK, weights: tuple = WEIGHTS, share: float = SHARE, cap: int = CAP,
         carry: tuple = ()) -> DataFrame:
-    """``doc_id, source, size, source_size, target, taken`` and the ``carry`` columns of every document.
+    """``doc_id, source, size, source_size, target, taken, first_slot`` and the ``carry`` columns of every document.
 
     Each source's documents are shuffled by a hash of their id and cut into blocks of ``block`` words; the schedule
     draws blocks, a source's second pass begins when all its blocks are drawn. ``taken`` counts the words of the
-    document in drawn blocks, repeats included; no document exceeds ``cap`` times its size. A null text has no words, a
+    document in drawn blocks, repeats included; no document exceeds ``cap`` times its size. ``first_slot`` is the slot of
+    the schedule at which the mix first takes words of the document, null if it takes none: the order of the mix. A null text has no words, a
     document without words is taken 0 times; null sources are one source, which comes last; repeated rows are
     documents of their own. Other columns are not read. An empty table gives no rows.
     """
@@ -116,7 +117,7 @@ def mix(docs: DataFrame, block: int = BLOCK, weights: tuple = WEIGHTS, share: fl
     placed = stage(running(sized, ["source"], ["_order", "size"], "size", "mix-order").drop("_order"), "mix-placed")
     drawn = schedule(targets, block)
     # How often each block is drawn: in full or, the last one, in part.
-    uses = drawn.groupBy("source", "block").agg(F.collect_list("words").alias("draws"))  # at most ``cap`` draws
+    uses = drawn.groupBy("source", "block").agg(F.collect_list(F.struct("words", "slot")).alias("draws"))  # at most ``cap`` draws
     first, last = F.expr(f"start div {block}"), F.expr(f"(start + size - 1) div {block}")
     pieces = placed.where("size > 0").select(
         "doc_id", "source", "place", "start", "size", F.explode(F.sequence(first, last)).alias("block"))
@@ -124,12 +125,15 @@ def mix(docs: DataFrame, block: int = BLOCK, weights: tuple = WEIGHTS, share: fl
     end = F.least(F.col("start") + F.col("size") - F.col("block") * block, F.lit(block))
     pieces = pieces.select("source", "place", "block", begin.alias("begin"), end.alias("end"))
     uses = stage(uses.withColumnRenamed("source", "_source").withColumnRenamed("block", "_block"), "mix-uses")
-    words = F.aggregate("draws", F.lit(0).cast("bigint"), lambda total, drawn_words: total + F.greatest(
-        F.least(F.col("end").cast("bigint"), drawn_words) - F.col("begin"), F.lit(0)))
+    words = F.aggregate("draws", F.lit(0).cast("bigint"), lambda total, draw: total + F.greatest(
+        F.least(F.col("end").cast("bigint"), draw["words"]) - F.col("begin"), F.lit(0)))
+    reached = F.filter("draws", lambda draw: F.least(F.col("end"), draw["words"]) > F.col("begin"))
     taken = pieces.join(uses, (F.col("block") == F.col("_block")) & F.col("source").eqNullSafe(F.col("_source"))).select(
-        F.col("source").alias("_source"), F.col("place").alias("_place"), words.alias("words"))
-    taken = taken.groupBy("_source", "_place").agg(F.sum("words").alias("taken"))
+        F.col("source").alias("_source"), F.col("place").alias("_place"), words.alias("words"),
+        F.array_min(F.transform(reached, lambda draw: draw["slot"])).alias("slot"))
+    taken = taken.groupBy("_source", "_place").agg(F.sum("words").alias("taken"), F.min("slot").alias("first_slot"))
     whole = placed.join(taken, (F.col("place") == F.col("_place")) & F.col("source").eqNullSafe(F.col("_source")), "left")
     named = targets.select(F.col("source").alias("_of"), "source_size", "target")
     return whole.join(named, F.col("source").eqNullSafe(F.col("_of"))).select(
-        "doc_id", "source", *carry, "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("bigint").alias("taken"))
+        "doc_id", "source", *carry, "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("bigint").alias("taken"),
+        "first_slot")

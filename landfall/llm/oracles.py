@@ -26,11 +26,46 @@ targets AS (
         (SELECT arg_min(level, cap / weight) FROM levels WHERE level * weight < cap), 'inf'::DOUBLE)) AS target FROM levels),
 placed AS (
     SELECT doc_id, source, size, sum(size) OVER (PARTITION BY source ORDER BY md5(coalesce(doc_id::VARCHAR, '')), size, doc_id
-                                                 ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) - size AS start FROM sized)
-SELECT doc_id, size, source_size, target,
-       (greatest(0, least(start + size, floor(target)::BIGINT) - least(start, floor(target)::BIGINT))
-        + greatest(0, least(start + size, floor(target)::BIGINT - source_size) - start))::BIGINT AS taken
+                                                 ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) - size AS start FROM sized),
+plan AS (
+    SELECT source, source_size, ceil(source_size / 128)::BIGINT AS blocks, floor(target)::BIGINT % source_size AS rest,
+           (floor(target)::BIGINT // source_size) * ceil(source_size / 128)::BIGINT
+           + ceil((floor(target)::BIGINT % source_size) / 128)::BIGINT AS quota,
+           sum(target) OVER (ORDER BY source NULLS LAST ROWS UNBOUNDED PRECEDING) / sum(target) OVER () AS high
+    FROM targets WHERE target >= 1),
+spans AS (SELECT *, coalesce(lag(high) OVER (ORDER BY source NULLS LAST), 0) AS low FROM plan),
+points AS (
+    SELECT slot, ((slot::HUGEINT * 5566755282872655) % 9007199254740992)::DOUBLE / 9007199254740992 AS point
+    FROM (SELECT unnest(range(sum(quota)::BIGINT)) AS slot FROM plan)),
+ranked AS (
+    SELECT source, slot, row_number() OVER (PARTITION BY source ORDER BY slot) - 1 AS rank
+    FROM points JOIN spans ON low <= point AND point < high),
+due AS (
+    SELECT r.* FROM ranked r JOIN plan p ON r.source IS NOT DISTINCT FROM p.source WHERE rank < quota),
+reached AS (SELECT source, count(*) AS have FROM due GROUP BY source),
+slots AS (
+    SELECT * FROM due
+    UNION ALL
+    SELECT source, (SELECT sum(quota) FROM plan)::BIGINT + rank, rank
+    FROM (SELECT p.source, unnest(range(coalesce(have, 0), quota)) AS rank
+          FROM plan p LEFT JOIN reached r ON r.source IS NOT DISTINCT FROM p.source)),
+draws AS (
+    SELECT s.source, slot, rank % blocks AS block,
+           CASE WHEN rank = quota - 1 AND rest > 0 THEN rest - (rank % blocks) * 128
+                ELSE least(128, source_size - (rank % blocks) * 128) END AS words
+    FROM slots s JOIN plan p ON s.source IS NOT DISTINCT FROM p.source),
+pieces AS (
+    SELECT doc_id, source, start, size, unnest(range(start // 128, (start + size - 1) // 128 + 1)) AS block FROM placed WHERE size > 0),
+firsts AS (
+    SELECT doc_id, q.source, start, min(slot) AS first_slot
+    FROM pieces q JOIN draws d ON q.source IS NOT DISTINCT FROM d.source AND q.block = d.block
+    WHERE least(start + size - q.block * 128, words) > greatest(start - q.block * 128, 0) GROUP BY doc_id, q.source, start)
+SELECT p.doc_id, p.size, source_size, target,
+       (greatest(0, least(p.start + size, floor(target)::BIGINT) - least(p.start, floor(target)::BIGINT))
+        + greatest(0, least(p.start + size, floor(target)::BIGINT - source_size) - p.start))::BIGINT AS taken,
+       first_slot
 FROM placed p JOIN targets t ON p.source IS NOT DISTINCT FROM t.source
+LEFT JOIN firsts f ON f.doc_id IS NOT DISTINCT FROM p.doc_id AND f.source IS NOT DISTINCT FROM p.source AND f.start = p.start AND p.size > 0
 """
 
 _WORDS = r"list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '')"

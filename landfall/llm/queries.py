@@ -71,7 +71,7 @@ def op5_neighbour_quality(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op6_low_discrepancy_mix(spark: SparkSession, folder: str) -> DataFrame:
-    return mixing.mix(table(spark, folder, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+    return mixing.mix(table(spark, folder, "documents")).select("doc_id", "size", "source_size", "target", "taken", "first_slot")
 
 
 def op7_winnowing(spark: SparkSession, folder: str) -> DataFrame:

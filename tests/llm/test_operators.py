@@ -118,6 +118,29 @@ def test_mix_of_repeated_runs_agrees(docs):
     assert first == second
 
 
+def test_documents_come_at_the_slots_of_their_blocks(spark, docs):
+    block = 7
+    got = mixing.mix(docs, block=block, carry=["text"]).collect()
+    sizes = docs.select("source", mixing.word_count("text").alias("n")).groupBy("source").agg(F.sum("n").alias("source_size"))
+    slots = mixing.schedule(mixing.source_targets(sizes), block).collect()
+    for source in {r.source for r in got}:
+        start, mine = 0, [r for r in slots if r.source == source]
+        for r in sorted((r for r in got if r.source == source), key=lambda r: (
+                hashlib.md5(str("" if r.doc_id is None else r.doc_id).encode()).hexdigest(), r.size)):
+            want = [s.slot for s in mine if min(start + r.size, s.block * block + s.words) > max(start, s.block * block)]
+            assert r.first_slot == min(want, default=None)
+            assert (r.first_slot is None) == (r.taken == 0)
+            start += r.size
+
+
+def test_another_sequence_gives_another_order(spark, docs, monkeypatch):
+    def order_of():
+        return order((r.doc_id, r.size, r.first_slot) for r in mixing.mix(docs, block=7).collect())
+    before = order_of()
+    monkeypatch.setattr(mixing, "GOLDEN", 1)
+    assert order_of() != before
+
+
 def test_schedule_spreads_sources(spark):
     sizes = spark.createDataFrame([("a", 6000), ("b", 6000), ("c", 6000)], "source string, source_size bigint")
     slots = sorted(mixing.schedule(mixing.source_targets(sizes), block=100).collect(), key=lambda r: r.slot)
