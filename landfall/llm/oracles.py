@@ -47,7 +47,7 @@ slots AS (
     SELECT * FROM due
     UNION ALL
     SELECT source, (SELECT sum(quota) FROM plan)::BIGINT + rank, rank
-    FROM (SELECT p.source, unnest(range(coalesce(have, 0), quota)) AS rank
+    FROM (SELECT p.source, unnest(range(coalesce(have, 0)::BIGINT, quota::BIGINT)) AS rank
           FROM plan p LEFT JOIN reached r ON r.source IS NOT DISTINCT FROM p.source)),
 draws AS (
     SELECT s.source, slot, rank % blocks AS block,
@@ -55,7 +55,7 @@ draws AS (
                 ELSE least(128, source_size - (rank % blocks) * 128) END AS words
     FROM slots s JOIN plan p ON s.source IS NOT DISTINCT FROM p.source),
 pieces AS (
-    SELECT doc_id, source, start, size, unnest(range(start // 128, (start + size - 1) // 128 + 1)) AS block FROM placed WHERE size > 0),
+    SELECT doc_id, source, start, size, unnest(range((start // 128)::BIGINT, ((start + size - 1) // 128 + 1)::BIGINT)) AS block FROM placed WHERE size > 0),
 firsts AS (
     SELECT doc_id, q.source, start, min(slot) AS first_slot
     FROM pieces q JOIN draws d ON q.source IS NOT DISTINCT FROM d.source AND q.block = d.block
