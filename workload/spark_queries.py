@@ -410,15 +410,17 @@ def stream_crawls(spark: SparkSession, folder: str) -> DataFrame:
     documents = stage(scenario.link_captures(pages), "captured")
     late = F.substring_index("url", "/", -1).contains("en")
     begun, later = (F.lit(day).cast("timestamp") for day in ("2024-01-01 00:00:00", "2024-02-01 00:00:00"))
-    for kind, parts in {
-            "pages": [(pages, begun), (pages.filter(F.col("url").contains("?")), later)],
-            "documents": [(documents.filter(~late), begun), (documents.filter("status = 200"), later),
-                          (documents.filter("status <> 200"), later), (documents.filter(late), begun)]}.items():
-        for rows, crawl in parts:
-            rows.withColumn("crawled_at", crawl).coalesce(1).write.mode("append").parquet(f"{run}/{kind}")
-    schemas = {kind: spark.read.parquet(f"{run}/{kind}").schema for kind in ("pages", "documents")}
-    sides = [spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{run}/{kind}") for kind, schema in schemas.items()]
-    crawl_stream(*sides, lambda files: spark.read.schema(schemas["documents"]).parquet(*files), zone, f"{run}/checkpoint").awaitTermination()
+    arrivals = [
+        {"pages": (pages, begun), "documents": (documents.filter(~late), begun)},
+        {"pages": (pages.filter(F.col("url").contains("?")), later), "documents": (documents.filter("status = 200"), later)},
+        {"documents": (documents.filter("status <> 200"), later)}, {"documents": (documents.filter(late), begun)}]
+    # What arrives together is written by all tasks, in any number of files, and is one batch: the query goes on when it is there.
+    for arrival in arrivals:
+        for kind, (rows, crawl) in arrival.items():
+            rows.withColumn("crawled_at", crawl).hint("rebalance").write.mode("append").parquet(f"{run}/{kind}")
+        schemas = {kind: spark.read.parquet(f"{run}/{kind}").schema for kind in ("pages", "documents")}
+        sides = [spark.readStream.schema(schema).parquet(f"{run}/{kind}") for kind, schema in schemas.items()]
+        crawl_stream(*sides, lambda files: spark.read.schema(schemas["documents"]).parquet(*files), zone, f"{run}/checkpoint").awaitTermination()
     return report(zone, 0)
 
 
