@@ -7,6 +7,7 @@ read from the batch's own files. Neither the log nor the objects of earlier batc
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Iterator
 
 import pandas as pd
@@ -23,29 +24,36 @@ from landfall.sources.staging import small_side, stage
 from landfall.sources.zones import LandingZone
 from landfall.streaming.merge import write_outcomes
 
-#: What a document's row holds on its way to the state; the paths are hashed.
-_ROW = "identifier string, fetch_seq bigint, file_hash string, content_length bigint, reason string, status int, plain bigint, versioned bigint, file string"
-_DECIDED = "identifier string, fetch_seq bigint, file_hash string, content_length bigint, reason string, status int, outcome string, appends boolean, file string"
+#: What is known of a document on its way to the state, as JSON: a group is a few rows, and every column of it costs more than they do. The paths are hashed.
+_DOCUMENT = "identifier string, fetch_seq bigint, file_hash string, content_length bigint, reason string, status int, plain bigint, versioned bigint, file string"
+_DECIDED = "document string, outcome string, appends boolean"
 _STATE = "file_hash string, paths array<bigint>"
 
 
 def _measured(documents: DataFrame) -> DataFrame:
     read = compute_once(documents.withColumn("file", F.col("_metadata.file_path")), measured=landing.measure(F.col("document_type")))
     hashed = read.select("identifier", "fetch_seq", "body_key", "partition_date", "document_url", "document_type", "file", "measured.*")
-    return hashed.select(
+    document = F.struct(
         "identifier", "fetch_seq", "file_hash", "content_length", "reason", "status",
         F.xxhash64(landing.object_path(F.lit(None).cast("string"))).alias("plain"),
         F.xxhash64(landing.object_path(content.short_hash(F.col("file_hash")))).alias("versioned"), "file")
+    return hashed.select("identifier", F.to_json(document).alias("document"))
 
 
 def _decide(recheck: bool):
+    def order(document: str) -> tuple[bool, int, str | None, int, int, str]:
+        """What outcomes depend on, and the document itself; those without a number come last."""
+        read = json.loads(document)
+        number = read.get("fetch_seq")
+        return number is None, number or 0, read.get("file_hash"), read["plain"], read["versioned"], document
+
     def decide(key: tuple, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         """Outcomes of one identifier's documents of a batch, in fetch order."""
         previous, paths = state.get if state.exists else (None, [])
         known = set(paths)
-        rows = pd.concat(list(parts)).sort_values("fetch_seq", kind="stable")
+        rows = sorted((order(document) for part in parts for document in part["document"]), key=lambda row: row[:2])
         outcomes, appends = [], []
-        for file_hash, plain, versioned in zip(rows["file_hash"], rows["plain"], rows["versioned"]):
+        for _, _, file_hash, plain, versioned, _ in rows:
             failed = file_hash is None
             if not recheck and previous is not None:
                 outcome = "skipped"
@@ -61,8 +69,7 @@ def _decide(recheck: bool):
             outcomes.append(outcome)
         if known or previous is not None:
             state.update((previous, sorted(known)))
-        done = rows.assign(outcome=outcomes, appends=appends)
-        yield done[[part.split()[0] for part in _DECIDED.split(", ")]]
+        yield pd.DataFrame({"document": [row[-1] for row in rows], "outcome": outcomes, "appends": appends})
 
     return decide
 
@@ -87,7 +94,8 @@ def keyed_stream(documents: DataFrame, reread: Callable[[list[str]], DataFrame],
 
     def land(batch: DataFrame, batch_id: int) -> None:
         run_seq = zone.claim(f"{owner} {batch_id}")
-        decided = stage(batch, "keyed")  # the state is asked once
+        read = batch.select(F.inline(F.array(F.from_json("document", _DOCUMENT))), "outcome", "appends")
+        decided = stage(read, "keyed")  # the state is asked once
         files = [r["file"] for r in decided.select("file").distinct().collect()]  # as many as the source puts in a batch
         if not files:
             return

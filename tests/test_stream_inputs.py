@@ -36,3 +36,22 @@ def test_crawls_arrive_in_many_files(scattered, tmp_path, monkeypatch):
     assert seen[0][0][1] == 4 and seen[1][0][1] == 8  # files of the pages
     documents = [rows for _, (rows, _) in seen]
     assert documents == sorted(documents) and documents[-1] > documents[0]
+
+
+def test_events_arrive_in_many_files(scattered, tmp_path, monkeypatch):
+    spark, batches = scattered, []
+    events = spark.range(400).selectExpr(
+        "id + 7 AS event_id", "timestamp'2024-01-01 00:00:00' + make_dt_interval(0, 0, 0, id) AS ts", "id % 9 AS user_id",
+        "if(id % 5 = 0, 'view', 'error') AS event_type", "1.5D AS value", "'{}' AS props")
+    events.write.parquet(f"{tmp_path}/events.parquet")
+
+    def stream(documents, reread, zone, checkpoint):
+        def note(batch, number):
+            at = batch.select("fetch_seq", "_metadata.file_path").collect()
+            batches.append((len(at), min(r.fetch_seq for r in at), max(r.fetch_seq for r in at), len({r.file_path for r in at})))
+        return documents.select("*", "_metadata").writeStream.foreachBatch(note).option("checkpointLocation", checkpoint).trigger(
+            availableNow=True).start()
+
+    monkeypatch.setattr(spark_queries, "keyed_stream", stream)
+    spark_queries.stream_keyed(spark, str(tmp_path))
+    assert batches == [(100, 7, 106, 4), (100, 107, 206, 4), (100, 207, 306, 4), (100, 307, 406, 4)]

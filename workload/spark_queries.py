@@ -354,26 +354,25 @@ def stream_merge(spark: SparkSession, folder: str) -> DataFrame:
                                  "fetch_seq")
 
 
-def _event_files(spark: SparkSession, folder: str, parts: int) -> str:
-    """The events in files of consecutive numbers, written one after another."""
-    path = f"{scratch_root(spark)}/events-{uuid.uuid4().hex}"
-    events = table(spark, folder, "events")
+def _event_parts(events: DataFrame, parts: int) -> list[DataFrame]:
+    """The events in parts of consecutive numbers."""
     first, last = events.agg(F.min("event_id"), F.max("event_id")).first()
     step = (last - first) // parts + 1 if last is not None else 1
-    for part in range(parts):
-        low = (first or 0) + part * step
-        events.filter((F.col("event_id") >= low) & (F.col("event_id") < low + step)).coalesce(1).write.mode("append").parquet(path)
-    return path
+    lows = ((first or 0) + part * step for part in range(parts))
+    return [events.filter((F.col("event_id") >= low) & (F.col("event_id") < low + step)) for low in lows]
 
 
 def stream_keyed(spark: SparkSession, folder: str) -> DataFrame:
     """Events in four micro-batches, against the state of their users; the current records afterwards."""
-    run, source = f"{scratch_root(spark)}/keyed-{uuid.uuid4().hex}", _event_files(spark, folder, 4)
-    schema = table(spark, folder, "events").schema
-    events = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(source)
+    events = table(spark, folder, "events")
+    run, source = f"{scratch_root(spark)}/keyed-{uuid.uuid4().hex}", f"{scratch_root(spark)}/events-{uuid.uuid4().hex}"
     zone = LandingZone(spark, f"{run}/zone")
-    keyed_stream(scenario.events_as_documents(events), lambda files: scenario.events_as_documents(
-        spark.read.schema(schema).parquet(*files)), zone, f"{run}/checkpoint").awaitTermination()
+    # A part is written by all tasks, in any number of files, and is one batch: the query goes on when it is there.
+    for part in _event_parts(events, 4):
+        part.hint("rebalance").write.mode("append").parquet(source)
+        stream = spark.readStream.schema(events.schema).parquet(source)
+        keyed_stream(scenario.events_as_documents(stream), lambda files: scenario.events_as_documents(
+            spark.read.schema(events.schema).parquet(*files)), zone, f"{run}/checkpoint").awaitTermination()
     return zone.current().select("identifier", "description", "published_date", "storage_path", "file_hash", "content_length",
                                  "fetch_seq")
 
