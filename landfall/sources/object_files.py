@@ -23,6 +23,7 @@ def export_objects(objects: DataFrame, root: str, overwrite: bool = False) -> Da
     """
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         system, base = fs.FileSystem.from_uri(root)
+        made: set[str] = set()  # folders
 
         def put(path: pa.Scalar, data: pa.Scalar) -> bool:
             if not path.is_valid or not data.is_valid:
@@ -30,7 +31,10 @@ def export_objects(objects: DataFrame, root: str, overwrite: bool = False) -> Da
             target = f"{base}/{path.as_py()}"
             if not overwrite and system.get_file_info(target).type != fs.FileType.NotFound:
                 return False
-            system.create_dir(target.rsplit("/", 1)[0], recursive=True)
+            folder = target.rsplit("/", 1)[0]
+            if folder not in made:
+                system.create_dir(folder, recursive=True)
+                made.add(folder)
             partial = f"{target}.{uuid.uuid4().hex}.part"
             with system.open_output_stream(partial) as out:
                 out.write(data.as_buffer())

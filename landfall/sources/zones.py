@@ -170,11 +170,15 @@ class Zone:
 
         Rows are written to a folder that readers pass over and take their place when they are complete: a write that
         is killed leaves the earlier rows of the run as they were.
+
+        Rows of a table that is split meet by label before they are written: there are about as many files as labels, not
+        as many as labels in each task that has read some. Labels that hold much are dealt to several tasks.
         """
         aside = f"{self.root}/{table}/_writing-{uuid.uuid4().hex}"
-        writer = rows.drop("run_seq").write
         if table in _SPLIT_BY:
-            writer = writer.partitionBy(_SPLIT_BY[table])
+            writer = rows.drop("run_seq").hint("rebalance", _SPLIT_BY[table]).write.partitionBy(_SPLIT_BY[table])
+        else:
+            writer = rows.drop("run_seq").write
         writer.parquet(aside)
         if table == self.log:
             self.snapshots.forget(run_seq)  # they hold what is replaced
@@ -205,12 +209,16 @@ class LandingZone(Zone):
         self.files = files
         super().__init__(spark, root, LANDING_TABLES, "records", ["run_seq", "fetch_seq"], schemas.LANDING_LOG)
 
-    def objects_for(self, keys: DataFrame, before: int | None = None) -> DataFrame:
-        """Objects that may have one of the (staged) keys: folders of other labels are pruned when the join runs."""
+    def objects_for(self, keys: DataFrame, before: int | None = None, objects: DataFrame | None = None) -> DataFrame:
+        """Objects that may have one of the (staged) keys: folders of other labels are pruned when the join runs.
+
+        ``objects`` is the table if it has been opened: its folders are then not listed again.
+        """
         label = identity.label_of_key(F.col("storage_path")).alias("_label")
         # The filter tells the planner that the labels are worth pruning by.
         labels = keys.filter(F.col("storage_path").isNotNull()).select(label).distinct()
-        return self.read("objects", before).join(labels, F.col("partition_date") == F.col("_label"), "left_semi")
+        rows = self.read("objects", before) if objects is None else objects
+        return rows.join(labels, F.col("partition_date") == F.col("_label"), "left_semi")
 
     def current_between(self, start: date, end: date) -> DataFrame:
         """The current records published in ``[start, end)``."""
