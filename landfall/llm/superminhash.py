@@ -27,8 +27,12 @@ BLOCK = 400_000
 #: Rounds in which members of a bucket are compared with hubs, hubs of a bucket in rounds after the first, and open
 #: pairs per bucket entry that are few enough to skip the rounds that are left.
 HUB_ROUNDS, HUBS, FEW_PAIRS = 2, 8, 2
-#: 64-bit words of the bitmap of a set, from which a bound of its similarity to another set follows.
-BITMAP_WORDS = 32
+#: Bits for an element in the bitmap of a set, from which a bound of its similarity to another set follows, and 64-bit
+#: words of a bitmap, at least and at most. All three are powers of two.
+ELEMENT_BITS, LEAST_WORDS, MOST_WORDS = 16, 32, 1024
+#: Members of a bucket on each side of a cell, which one task compares; pairs of a cell or less that are listed instead of
+#: compared side by side; pairs and words that are held at a time.
+CELL, FEW_IN_CELL, PAIRS_AT_A_TIME, WORDS_AT_A_TIME = 4096, 4096, 65_536, 1 << 21
 
 
 def shingle_set(text: Column, size: int) -> Column:
@@ -122,8 +126,8 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, band_rows
     its group has an id. Repeated rows are one group. An empty table gives no rows.
 
     Rows with equal sets form one class before any pair is made, so copies cost nothing. Within a bucket, members are
-    compared with hubs, not with each other; only members that are still in different components afterwards are paired,
-    and of these only pairs that bitmaps of their sets cannot rule out.
+    compared with hubs, not with each other; only members that are still in different components afterwards are paired, in
+    cells of bounded size, and of these only pairs that bitmaps of their sets cannot rule out.
     """
     slim = docs.select("doc_id", F.xxhash64("doc_id", "text").alias("row_key"), F.xxhash64("text").alias("text_key"),
                        shingle_set(F.col("text"), size).alias("shingles"))
@@ -163,25 +167,27 @@ def _sets_of(docs: DataFrame, size: int, wanted: DataFrame) -> DataFrame:
         "node", "n", "k1", "k2", F.explode(F.array(shingle_set(F.col("_text"), size))).alias("shingles"))
     exact = found.where((F.xxhash64("shingles") == F.col("k1")) & (F.xxhash64(F.lit(1), "shingles") == F.col("k2")))
     mapped = exact.select("node", "n", "shingles").mapInArrow(
-        _bitmaps(BITMAP_WORDS), "node bigint, n bigint, shingles array<bigint>, bitmap array<bigint>")
+        _bitmaps, "node bigint, n bigint, shingles array<bigint>, bitmap array<bigint>")
     sets = stage(mapped, "near-sets")
     rows_of, nodes = sets.agg(F.count("*"), F.countDistinct("node")).first()
     return sets if rows_of == nodes else stage(sets.dropDuplicates(["node"]), "near-sets-once")  # repeated rows
 
 
-def _bitmaps(words: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            shingles = batch.column(2)
-            offsets = shingles.offsets.to_numpy().astype(np.int64)
-            values = _mix(shingles.values.to_numpy(zero_copy_only=False)[offsets[0]:offsets[-1]].astype(np.int64).view(np.uint64))
-            owner = np.repeat(np.arange(batch.num_rows), np.diff(offsets))
-            table = np.zeros((batch.num_rows, words), dtype=np.uint64)
-            np.bitwise_or.at(table, (owner, (values % np.uint64(words)).astype(np.int64)), np.uint64(1) << (values >> np.uint64(58)))
-            lists = pa.ListArray.from_arrays(pa.array(np.arange(0, table.size + 1, words, dtype=np.int32)), pa.array(table.view(np.int64).ravel()))
-            yield pa.RecordBatch.from_arrays([*batch.columns, lists], names=["node", "n", "shingles", "bitmap"])
-
-    return run
+def _bitmaps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        shingles = batch.column(2)
+        offsets = shingles.offsets.to_numpy().astype(np.int64)
+        values = _mix(shingles.values.to_numpy(zero_copy_only=False)[offsets[0]:offsets[-1]].astype(np.int64).view(np.uint64))
+        counts = np.diff(offsets)
+        width = np.full(batch.num_rows, LEAST_WORDS, dtype=np.int64)
+        while (narrow := (width * 64 < counts * ELEMENT_BITS) & (width < MOST_WORDS)).any():
+            width[narrow] *= 2
+        starts = np.concatenate([[0], np.cumsum(width)])
+        word = np.repeat(starts[:-1], counts) + (values & np.repeat(width - 1, counts).astype(np.uint64)).astype(np.int64)
+        table = np.zeros(starts[-1], dtype=np.uint64)
+        np.bitwise_or.at(table, word, np.uint64(1) << (values >> np.uint64(58)))
+        lists = pa.ListArray.from_arrays(pa.array(starts.astype(np.int32)), pa.array(table.view(np.int64)))
+        yield pa.RecordBatch.from_arrays([*batch.columns, lists], names=["node", "n", "shingles", "bitmap"])
 
 
 def _linked(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -230,20 +236,133 @@ def _all_pairs(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """All pairs of a bucket that lie in different components and may be similar, by their sizes and bitmaps.
 
     Bits in which two bitmaps differ stand for at least as many elements in which the sets differ; so a pair with too
-    many of them is not similar, and never leaves the join. One side has no members of the bucket's largest component,
-    which is never paired with itself.
+    many of them is not similar, and never leaves its task. One side has no members of the bucket's largest component,
+    which is never paired with itself. Both sides of a bucket are dealt out over parts of about ``CELL`` members, and each
+    pair of parts is a cell of its own.
     """
     counts = members.groupBy("bucket", "root").agg(F.count("*").alias("c"))
-    largest = counts.groupBy("bucket").agg(F.max_by("root", F.struct("c", "root")).alias("main"))
-    mapped = stage(members.join(sets.select("node", "bitmap"), "node").join(largest, "bucket"), "near-mapped")
-    left = mapped.where("root <> main").select("bucket", F.col("node").alias("a"), F.col("n").alias("na"), F.col("root").alias("ra"), F.col("bitmap").alias("ma"))
-    right = mapped.select("bucket", F.col("node").alias("b"), F.col("n").alias("nb"), F.col("root").alias("rb"), F.col("bitmap").alias("mb"),
-                          (F.col("root") == F.col("main")).alias("in_main"))
-    differing = sum(F.bit_count(F.get("ma", F.lit(i)).bitwiseXOR(F.get("mb", F.lit(i)))) for i in range(BITMAP_WORDS))
-    total = F.col("na") + F.col("nb")
-    return left.join(right, "bucket").where(
-        (F.col("in_main") | (F.col("a") < F.col("b"))) & (F.col("ra") != F.col("rb")) & _near_in_size(F.col("na"), F.col("nb"), percent)
-        & ((total - differing) * (100 + percent) >= total * (2 * percent))).select("a", "b").distinct()
+    sizes = counts.groupBy("bucket").agg(F.max_by("root", F.struct("c", "root")).alias("main"),
+                                         F.sum("c").alias("entries"), F.max("c").alias("of_main")).where("of_main < entries")
+    dealt = members.join(sizes, "bucket").select(
+        "bucket", "node", "n", "root", (F.col("root") == F.col("main")).alias("in_main"),
+        F.ceil((F.col("entries") - F.col("of_main")) / CELL).alias("lefts"), F.ceil(F.col("entries") / CELL).alias("rights")).select(
+        "*", F.pmod(F.xxhash64("node"), "lefts").alias("own_left"), F.pmod(F.xxhash64("node"), "rights").alias("own_right"))
+    places = F.concat(
+        F.transform(F.sequence(F.lit(0).cast("bigint"), F.col("lefts") - 1), lambda i: F.struct(
+            i.alias("l"), F.col("own_right").alias("r"), (~F.col("in_main") & (i == F.col("own_left"))).alias("left"), F.lit(True).alias("right"))),
+        F.transform(F.filter(F.sequence(F.lit(0).cast("bigint"), F.col("rights") - 1), lambda i: ~F.col("in_main") & (i != F.col("own_right"))), lambda i: F.struct(
+            F.col("own_left").alias("l"), i.alias("r"), F.lit(True).alias("left"), F.lit(False).alias("right"))))
+    placed = dealt.select("bucket", "node", "n", "root", "in_main", F.explode(places).alias("place")).select("place.*", "*").drop("place")
+    cells = placed.join(sets.select("node", "bitmap"), "node").repartition("bucket", "l", "r").sortWithinPartitions("bucket", "l", "r")
+    return cells.mapInArrow(_compared(percent), "a bigint, b bigint").distinct()
+
+
+def _compared(percent: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Pairs of the cells, which come one after another."""
+    def found(table: pa.Table) -> pa.RecordBatch:
+        a, b = _cell_pairs(table.combine_chunks(), percent)
+        return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None  # rows of the last cell so far
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            table = pa.Table.from_batches([batch])
+            held = table if held is None else pa.concat_tables([held, table])
+            last = int(_new_cells(held).nonzero()[0][-1])
+            if last:
+                yield found(held.slice(0, last))
+                held = held.slice(last)
+        if held is not None:
+            yield found(held)
+
+    return run
+
+
+def _new_cells(table: pa.Table) -> np.ndarray:
+    new = np.ones(table.num_rows, dtype=bool)
+    new[1:] = False
+    for name in ("bucket", "l", "r"):
+        values = table.column(name).to_numpy()
+        new[1:] |= values[1:] != values[:-1]
+    return new
+
+
+def _cell_pairs(table: pa.Table, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Nodes ``(a, b)`` of the pairs of all cells that sizes and bitmaps cannot rule out."""
+    node, n, root, in_main = (table.column(name).to_numpy() for name in ("node", "n", "root", "in_main"))
+    lists = table.column("bitmap").chunk(0)
+    offsets = lists.offsets.to_numpy().astype(np.int64)
+    words = lists.values.to_numpy(zero_copy_only=False).view(np.uint64)
+    width, place, of_width = np.diff(offsets), np.empty(table.num_rows, dtype=np.int64), {}
+    for w in np.unique(width).tolist():
+        rows = np.flatnonzero(width == w)
+        place[rows] = np.arange(len(rows))
+        of_width[w] = words[offsets[rows][:, None] + np.arange(w)]
+
+    def folded(rows: np.ndarray, to: int) -> np.ndarray:
+        """The bitmaps of the rows as narrower ones."""
+        out = np.empty((len(rows), to), dtype=np.uint64)
+        for w in np.unique(width[rows]).tolist():
+            at = np.flatnonzero(width[rows] == w)
+            maps = of_width[w][place[rows[at]]]
+            out[at] = maps if w == to else np.bitwise_or.reduce(maps.reshape(len(at), w // to, to), axis=1)
+        return out
+
+    def possible(total: np.ndarray, differing: np.ndarray) -> np.ndarray:
+        return (total - differing) * (100 + percent) >= total * (2 * percent)
+
+    def kept(i: np.ndarray, j: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        near = np.minimum(n[i], n[j]) * 100 >= np.maximum(n[i], n[j]) * percent
+        keep = near & (root[i] != root[j]) & (in_main[j] | (node[i] < node[j]))
+        i, j = i[keep], j[keep]
+        narrower, keep = np.minimum(width[i], width[j]), np.zeros(len(i), dtype=bool)
+        for w in np.unique(narrower).tolist():
+            of = np.flatnonzero(narrower == w)
+            for first in range(0, len(of), WORDS_AT_A_TIME // w):
+                at = of[first:first + WORDS_AT_A_TIME // w]
+                differing = np.bitwise_count(folded(i[at], w) ^ folded(j[at], w)).sum(axis=1, dtype=np.int64)
+                keep[at] = possible(n[i[at]] + n[j[at]], differing)
+        a, b = node[i[keep]], node[j[keep]]
+        return np.minimum(a, b), np.maximum(a, b)
+
+    cell = np.cumsum(_new_cells(table)) - 1
+    left, right = (np.flatnonzero(table.column(name).to_numpy()) for name in ("left", "right"))
+    n_cells = int(cell[-1]) + 1
+    lefts, rights = np.bincount(cell[left], minlength=n_cells), np.bincount(cell[right], minlength=n_cells)
+    left_starts, right_starts = np.cumsum(lefts) - lefts, np.cumsum(rights) - rights
+    few = lefts * rights <= FEW_IN_CELL
+    out = []
+
+    listed = left[few[cell[left]]]
+    times = rights[cell[listed]]
+    ends = np.cumsum(times)
+    first = 0
+    while first < len(listed):
+        done = int(ends[first] - times[first])
+        last = max(first + 1, int(np.searchsorted(ends, done + PAIRS_AT_A_TIME, side="right")))
+        i, many = np.repeat(listed[first:last], times[first:last]), times[first:last]
+        within = np.arange(len(i)) - np.repeat(np.cumsum(many) - many, many)
+        out.append(kept(i, right[right_starts[cell[i]] + within]))
+        first = last
+
+    for number in np.flatnonzero(~few).tolist():
+        mine = left[left_starts[number]:left_starts[number] + lefts[number]]
+        others = right[right_starts[number]:right_starts[number] + rights[number]]
+        least = int(min(width[mine].min(), width[others].min()))
+        narrow = max(LEAST_WORDS, least // 4)  # rules out most pairs
+        planes = np.ascontiguousarray(folded(others, narrow).T)
+        step = max(1, PAIRS_AT_A_TIME // len(others))
+        for first in range(0, len(mine), step):
+            rows = mine[first:first + step]
+            maps = folded(rows, narrow)
+            differing = np.zeros((len(rows), len(others)), dtype=np.uint16)
+            for k in range(narrow):
+                differing += np.bitwise_count(planes[k][None, :] ^ maps[:, k][:, None])
+            i, j = np.nonzero(possible(n[rows][:, None] + n[others][None, :], differing))
+            out.append(kept(rows[i], others[j]))
+    return tuple(np.concatenate([pair[side] for pair in out]) if out else np.empty(0, dtype=np.int64) for side in (0, 1))
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:

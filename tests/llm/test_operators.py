@@ -3,16 +3,18 @@
 import hashlib
 import os
 import random
+import time
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from landfall.llm import (common, credentials, mixing, neighbour_quality, ngram_ratio, reply_trees, sharding, superminhash,
                           toxicity, warc, winnowing)
 from landfall.llm.components import connected_components
-from landfall.sources.staging import scratch_root
+from landfall.sources.staging import scratch_root, stage
 from tests.llm import brute
 
 SCHEMA = "doc_id bigint, text string, lang string, source string, n_chars bigint"
@@ -200,6 +202,81 @@ def test_many_near_copies_and_chains(spark):
     assert got == {doc: group[doc] for doc, _ in values}
 
 
+def _sets(spark, shingles):
+    """``node, n, shingles, bitmap`` as near_duplicates stages them, from ``node, shingles``."""
+    return spark.createDataFrame(shingles, "node bigint, shingles array<bigint>").select(
+        "node", F.size("shingles").cast("bigint").alias("n"), F.sort_array("shingles").alias("shingles")).mapInArrow(
+        superminhash._bitmaps, "node bigint, n bigint, shingles array<bigint>, bitmap array<bigint>")
+
+
+def test_cells_of_a_bucket_meet_all_pairs_of_its_components(spark, monkeypatch):
+    pick = random.Random(4)
+    base = {size: pick.sample(range(10**12), size) for size in (9, 120, 1500)}  # bitmaps of three widths
+    sets = {}
+    for node in range(90):
+        mine = list(base[(9, 120, 1500)[node % 3]])
+        for _ in range(pick.randrange(len(mine) // 4 + 1)):
+            mine[pick.randrange(len(mine))] = pick.randrange(10**12)
+        sets[node] = sorted(set(mine + pick.sample(range(10**12), node % 3 * pick.randrange(20))))
+    root = {node: node if node % 4 == 0 else node % 4 for node in sets}
+    buckets = {1: range(90), 2: range(60, 90), 3: [4, 8], 4: [1, 5, 9]}  # the last is one component
+    frame = _sets(spark, list(sets.items())).cache()
+    members = spark.createDataFrame([(b, n, len(sets[n]), root[n]) for b, nodes in buckets.items() for n in nodes],
+                                    "bucket bigint, node bigint, n bigint, root bigint")
+
+    def met():
+        return sorted(tuple(sorted(r)) for r in superminhash._all_pairs(members, frame, 80).collect())
+
+    def like(a, b):
+        return len(set(sets[a]) & set(sets[b])) * 100 >= len(set(sets[a]) | set(sets[b])) * 80
+
+    found = met()
+    monkeypatch.setattr(superminhash, "CELL", 8)
+    assert met() == found and len(set(found)) == len(found)
+    apart = {(a, b) for a in sets for b in sets if a < b and root[a] != root[b]}
+    assert {p for p in apart if like(*p)} <= set(found) <= apart
+    assert len(found) < len(apart) / 4
+
+
+def test_pairs_of_a_cell_are_the_same_listed_and_side_by_side(monkeypatch):
+    pick = np.random.default_rng(8)
+    base, rows = pick.integers(0, 2**62, 1200), []
+    for node in range(150):
+        size = int(pick.choice([60, 300, 1200]))
+        mine = np.where(pick.random(size) < pick.random() / 3, pick.integers(0, 2**62, size), base[:size])
+        rows.append((node, size, node // 2, mine))
+    batch = pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows]), pa.array([r[1] for r in rows]), pa.array([r[3].tolist() for r in rows])],
+                                       names=["node", "n", "shingles"])
+    mapped, = superminhash._bitmaps(iter([batch]))
+    cell = pa.array([r[0] // 50 for r in rows])
+    zero = pa.array([0] * 150)
+    table = pa.table({"bucket": cell, "l": zero, "r": zero, "left": pa.array([r[0] % 5 != 0 for r in rows]), "right": pa.array([r[0] % 7 != 0 for r in rows]),
+                      "node": batch.column(0), "n": batch.column(1), "root": pa.array([r[2] for r in rows]), "in_main": pa.array([r[0] % 5 == 0 for r in rows]),
+                      "bitmap": mapped.column(3)})
+    results = []
+    for few, pairs in ((10**9, 65_536), (10**9, 7), (0, 65_536), (0, 7)):
+        monkeypatch.setattr(superminhash, "FEW_IN_CELL", few)
+        monkeypatch.setattr(superminhash, "PAIRS_AT_A_TIME", pairs)
+        results.append(sorted(zip(*(side.tolist() for side in superminhash._cell_pairs(table, 80)))))
+    parts = [table.slice(0, 30), table.slice(30, 90), table.slice(120)]  # cells go on in the next batch
+    streamed = superminhash._compared(80)(iter(p.combine_chunks().to_batches()[0] for p in parts))
+    results.append(sorted(pair for b in streamed for pair in zip(b.column(0).to_pylist(), b.column(1).to_pylist())))
+    assert results[0] and all(r == results[0] for r in results)
+
+
+def test_a_bucket_of_members_that_all_stay_apart(spark):
+    """One of ten million pairs is similar; each pair was an expression of its own, and all were one task's."""
+    own = F.col("id") - (F.col("id") == 1).cast("bigint")  # node 1 has nearly all elements of node 0
+    frame = spark.range(4500).select(F.col("id").alias("node"), F.lit(400).cast("bigint").alias("n"), F.sort_array(F.transform(
+        F.sequence(F.lit(0), F.lit(399)), lambda i: F.when(i < 300, F.xxhash64(i)).when(i < 390, F.xxhash64(i, own)).otherwise(
+            F.xxhash64(i, "id")))).alias("shingles"))
+    sets = stage(frame.mapInArrow(superminhash._bitmaps, "node bigint, n bigint, shingles array<bigint>, bitmap array<bigint>"), "near-sets-apart")
+    members = sets.select(F.lit(7).cast("bigint").alias("bucket"), "node", "n", F.col("node").alias("root"))
+    began = time.time()
+    assert [tuple(r) for r in superminhash._all_pairs(members, sets, 80).collect()] == [(0, 1)]
+    assert time.time() - began < 30
+
+
 def test_components_of_a_long_path_and_a_star(spark):
     links = [(i, i + 1) for i in range(40)] + [(100, 200 + i) for i in range(30)] + [(5, 5)]
     got = {r.node: r.root for r in connected_components(spark.createDataFrame(links, "a bigint, b bigint")).collect()}
