@@ -31,8 +31,8 @@ HUB_ROUNDS, HUBS, FEW_PAIRS = 2, 8, 2
 #: words of a bitmap, at least and at most. All three are powers of two.
 ELEMENT_BITS, LEAST_WORDS, MOST_WORDS = 16, 32, 1024
 #: Members of a bucket on each side of a cell, which one task compares; pairs of a cell or less that are listed instead of
-#: compared side by side; pairs and words that are held at a time.
-CELL, FEW_IN_CELL, PAIRS_AT_A_TIME, WORDS_AT_A_TIME = 4096, 4096, 65_536, 1 << 21
+#: compared side by side; rows, pairs and words that are taken at a time.
+CELL, FEW_IN_CELL, ROWS_AT_A_TIME, PAIRS_AT_A_TIME, WORDS_AT_A_TIME = 4096, 4096, 1024, 65_536, 1 << 18
 
 
 def shingle_set(text: Column, size: int) -> Column:
@@ -173,8 +173,15 @@ def _sets_of(docs: DataFrame, size: int, wanted: DataFrame) -> DataFrame:
     return sets if rows_of == nodes else stage(sets.dropDuplicates(["node"]), "near-sets-once")  # repeated rows
 
 
-def _bitmaps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches that take little memory."""
     for batch in batches:
+        for first in range(0, batch.num_rows, ROWS_AT_A_TIME):
+            yield batch.slice(first, ROWS_AT_A_TIME)
+
+
+def _bitmaps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in _parts(batches):
         shingles = batch.column(2)
         offsets = shingles.offsets.to_numpy().astype(np.int64)
         values = _mix(shingles.values.to_numpy(zero_copy_only=False)[offsets[0]:offsets[-1]].astype(np.int64).view(np.uint64))
@@ -265,9 +272,7 @@ def _compared(percent: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = None  # rows of the last cell so far
-        for batch in batches:
-            if not batch.num_rows:
-                continue
+        for batch in _parts(batches):
             table = pa.Table.from_batches([batch])
             held = table if held is None else pa.concat_tables([held, table])
             last = int(_new_cells(held).nonzero()[0][-1])
